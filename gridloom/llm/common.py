@@ -111,7 +111,7 @@ class RollingHash:
         m = len(self.sums) - size
         if m <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.sums[size:] - self.sums[:m]) * self.down[:m] + np.uint64(size) * np.uint64(0xA24BAED4963EE407))
+        return mix((self.sums[size:] - self.sums[:m]) * self.down[:m] + np.uint64(size * 0xA24BAED4963EE407 % 2**64))
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:

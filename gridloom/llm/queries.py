@@ -30,6 +30,37 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary(BYTE_BPE))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest_only=True)
+
+
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"), limit=2.0).select("doc_id", "source", "n_tokens", "copies")
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licences import scan
+
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_vectors
+
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audio import audio_features, media_column
+
+    rows, _ = audio_features(media_column(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return rows.drop("file")
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import read_store, write_store
 
@@ -37,11 +68,19 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", "ids_crc32", "verified")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, labelled, score, train
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = train(labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_jaccard
 
     return ngram_jaccard(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_best_fit_packing, op8_token_store, op10_ngram_jaccard)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_best_fit_packing, op3_suffix_dedup, op4_temperature_mixing, op5_licence_scan, op6_embedding_dedup, op7_audio_features, op8_token_store, op9_toxicity, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {}
