@@ -1,10 +1,67 @@
-"""The corpus pipeline: documents -> packed sequences, stage by stage."""
+"""The corpus pipeline: documents -> token sequences, in five stages.
+
+Each stage is a function (spark, docs, sf_dir) -> DataFrame and works on all rows that the stage before it kept; run()
+writes each stage's rows to the shared scratch folder and reads them again. All stages but the last return the columns of
+`documents`. Null and empty texts, repeated rows and empty tables pass through as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridloom.llm.common import materialize
+from gridloom.llm.mixing import mix_sources
+from gridloom.llm.ngram_join import ngram_jaccard
+from gridloom.llm.packing import pack_documents
+from gridloom.llm.queries import BYTE_BPE, vocabulary
+from gridloom.llm.suffix_dedup import remove_repeats
+from gridloom.llm.toxicity import labelled, score, train
+
+#: A removed-id list of up to this many rows is broadcast; a longer one is a shuffled join.
+FEW_IDS = 2_000_000
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents with a toxicity score of one half or more; the model learns from this stage's own input."""
+    model = train(labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies; rows that repeat an id and a text are one document."""
+    groups = materialize(ngram_jaccard(docs), "groups")
+    gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    unique = groups.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return kept if unique else kept.dropDuplicates(["doc_id", "text"])
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts byte strings of 100 that occur earlier in the corpus; a document that loses all its text stays as an empty one."""
+    cut = remove_repeats(docs)
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return cut.select(*[changed[c].alias(c) if c in changed else c for c in docs.columns])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Temperature mixing that keeps every document and repeats small sources up to 1.25 times."""
+    mixed = mix_sources(docs, limit=1.25)
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens."""
+    return pack_documents(docs, vocabulary(BYTE_BPE))
+
+
+STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("repeated_passages", drop_repeated_passages), ("mixing", mix), ("packing", pack)]
+#: Tokenizers, suffix order and a trained grammar are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

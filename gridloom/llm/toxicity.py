@@ -217,15 +217,17 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
     keep = keep or ["doc_id"]
     kinds = dict(docs.dtypes)
     lexicon = Lexicon(model.stems)
+    text = keep.index("text") if kinds.get("text") == "string" and "text" in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([lexicon.features(t) for t in batch.column(len(keep)).to_pylist()]).reshape(-1, len(model.mean))
+            x = np.array([lexicon.features(t) for t in batch.column(text).to_pylist()]).reshape(-1, len(model.mean))
             p = model.probability(x)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*keep, "score", "predicted"])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double, predicted int"
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    read = docs.select(*keep) if text < len(keep) else docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    return read.mapInArrow(run, schema)
 
 
 def held_out(column: str = "doc_id") -> Column:
