@@ -16,9 +16,9 @@ PIECES = {
     "byte": re.compile(f" ?[{_LETTERS}]+{_AFTER}| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"),
     "word": re.compile(f"[{_LETTERS}]+{_AFTER}|[^{_SPACE}]+"),
 }
-#: What to put between plain words to encode many of them as one text: a piece of its own, one id that no plain word has.
-BETWEEN = {"byte": "\n", "word": " | "}
-_PLAIN = re.compile(f" ?[{_LETTERS}]+")
+#: Plain words; many of them are encoded as one text, whose ids fall apart again where a token begins or ends a word.
+_PLAIN = {"byte": re.compile(f" [{_LETTERS}]+"), "word": re.compile(f"[{_LETTERS}]+")}
+_BREAK = {"byte": "\u0120", "word": "</w>"}
 END_ID = 2
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
@@ -30,44 +30,44 @@ class Encoder:
     Null and empty texts have no ids. The cache is bounded: `entries` pieces of at most `longest` characters.
     """
 
-    def __init__(self, path: str, kind: str, entries: int = 600_000, longest: int = 40, group_chars: int = 1_000_000):
+    def __init__(self, path: str, kind: str, entries: int = 1_000_000, longest: int = 40, group_chars: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces, self.between, self.entries, self.longest, self.group_chars = PIECES[kind], BETWEEN[kind], entries, longest, group_chars
-        (self.between_id,) = self._ids(self.between)
+        self.pieces, self.plain, self.kind, self.entries, self.longest, self.group_chars = PIECES[kind], _PLAIN[kind].fullmatch, kind, entries, longest, group_chars
         self.cache: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.breaks = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.breaks[i] = token.startswith(_BREAK[kind]) if kind == "byte" else token.endswith(_BREAK[kind])
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
-        plain = [p for p in pieces if _PLAIN.fullmatch(p)]
-        rest = [p for p in pieces if not _PLAIN.fullmatch(p)]
+    def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
+        plain = list(filter(self.plain, pieces))
+        rest = list(pieces.difference(plain))
         found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))}
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between_id)
-            if len(cuts) != len(plain) - 1:
-                raise ValueError("the tokenizer joined pieces that were expected to stay apart")
-            data, at = ids.tobytes(), [-1, *cuts.tolist(), len(ids)]
-            found.update((p, data[4 * a + 4 : 4 * b]) for p, a, b in zip(plain, at, at[1:]))
+            ids = np.array(self.tokenizer.encode_batch_fast([("" if self.kind == "byte" else " ").join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.breaks[ids])
+            if len(cuts) != len(plain):
+                raise ValueError("the tokenizer joined words that were expected to stay apart")
+            data = ids.tobytes()
+            at = [*cuts.tolist(), len(ids)] if self.kind == "byte" else [0, *(cuts + 1).tolist()]
+            found.update((p, data[4 * a : 4 * b]) for p, a, b in zip(plain, at, at[1:]))
         return found
 
     def _group(self, texts: list[str]) -> list[bytes]:
         lists = [self.pieces.findall(t) for t in texts]
-        used = set().union(*lists)
-        if len(self.cache) > self.entries:
-            self.cache = {}
-        fresh = self._fresh([p for p in used if p not in self.cache])
         cache = self.cache
+        fresh = self._fresh(set().union(*lists).difference(cache))
+        full = len(cache) + len(fresh) > self.entries  # early words are the common ones; later ones then come and go
         cache.update(fresh)
         out = [b"".join(map(cache.__getitem__, pieces)) for pieces in lists]
-        for p in fresh:
-            if len(p) > self.longest:
-                del cache[p]
+        for p in fresh if full else [p for p in fresh if len(p) > self.longest]:
+            del cache[p]
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
