@@ -5,9 +5,10 @@ hash otherwise) is cut into fragments. Linked documents share an n-gram among th
 first n-grams alone find candidate pairs; each fragment then counts its own overlap of a candidate pair, and the sum per
 pair decides. Documents with equal sets are one class from the start.
 
-Candidates never hold all pairs of a group. A group (documents with one n-gram in their prefix) gives pairs with two of its
-members, the least and the greatest class, first. What links joins up as components; only groups that still lie in several
-components give the pairs across them, and those pairs are all counted, so no link between different components is lost.
+A group (documents with one n-gram in their prefix) gives pairs with its poles first: its most central class, the least and
+the greatest. What links joins up as components; only groups that still lie in several components give the pairs across them, with
+the exact count of prefix n-grams that each pair shares. Pairs which that count and their sizes rule out need no sets; all
+others are counted, so no link between different components is lost.
 
 Results for odd inputs: a text with no words (or null) has no n-grams, is linked with nothing and is its own component;
 fewer than n words are one n-gram; equal ids count as one node that has each row's links; null ids are components of their
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import RollingHash, frequent_keys, materialize, mix, release, text_bytes, tune
@@ -95,7 +96,7 @@ def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
 
     def counts(parts: list[np.ndarray]) -> pa.RecordBatch:
         keys, k = np.unique(np.concatenate(parts), return_counts=True)
-        keys, k = keys[k > 3], k[k > 3]
+        keys, k = keys[k > 1], k[k > 1]
         none = pa.nulls(len(keys), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, _long(keys), _long(k)], names=["doc_id", "n", "class", "key", "count"])
 
@@ -170,6 +171,24 @@ def _fragments(docs: DataFrame, n: int, wanted: DataFrame, few: int) -> DataFram
     return materialize(one.mapInArrow(cut, "class long, fragment int, part binary"), "fragments")
 
 
+def _fits(percent: int) -> Column:
+    """Sizes that a link allows."""
+    return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+
+
+def _able(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of `met`, a row for each n-gram that both prefixes share, which may link by their sizes and that count.
+
+    Up to the end of the prefix that ends first in the global order, the shared count is all of the overlap; what lies
+    behind it is at most the rest of that document. A link needs percent * (na + nb) / (100 + percent) in all.
+    """
+    counted = met.groupBy("a", "b").agg(F.count("*").alias("c"))
+    sa, sb = sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), sizes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
+    least = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
+    rest = f"({percent} * greatest(na, nb) + 99) div 100 - 1"
+    return counted.join(sa, "a").join(sb, "b").where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b")
+
+
 def _count(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link: overlaps counted fragment by fragment, summed per pair."""
 
@@ -187,7 +206,7 @@ def _count(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -
     return summed.join(sa, "a").join(sb, "b").where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
 
 
-def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: int = 1 << 18, few: int = 1 << 21) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: int = 1 << 20, few: int = 1 << 21) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
     order_keys bounds the frequent n-grams that are broadcast to order the prefixes; few bounds the class list that is
@@ -196,20 +215,22 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: in
     spark = docs.sparkSession
     tune(spark)
     sets, repeated = _sets(docs, n)
-    last = frequent_keys(repeated, order_keys, 16)
+    last = frequent_keys(repeated, order_keys, 6)
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
     kept = _prefixes(docs, n, percent, last).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
     members = materialize(kept.select("key", "class", "n").distinct(), "members")
-    ends = materialize(members.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b"), "ends")
+    # poles of a group: its most central class (whose prefix n-grams have the most classes; of edited copies that is the original), the least and the greatest
+    shared = materialize(members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared")
+    take = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    central = materialize(members.join(shared, "key").groupBy("class").agg((F.sum("m") / F.first(take)).alias("score")), "central")
+    poles = F.array_distinct(F.array(F.max_by("class", "score"), F.min("class"), F.max("class")))
+    ends = materialize(members.join(central, "class").groupBy("key").agg(poles.alias("poles")).where(F.size("poles") > 1), "ends")
     sizes = materialize(sets.groupBy("class").agg(F.min("n").alias("n")).where("n > 0"), "sizes")
-    fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    met = members.join(ends, "key").join(sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("class").alias("b"), F.col("n").alias("nb")), "b")
-    low = met.select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb"))
-    high = met.select(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb")
-    first = materialize(low.unionByName(high).where("a < b").where(fits).select("a", "b").distinct(), "pairs")
+    met = members.join(ends, "key").select("class", F.array_contains("poles", F.col("class")).alias("own"), F.explode("poles").alias("pole")).where("pole < class OR pole > class AND NOT own")
+    first = materialize(_able(met.select(F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b")), sizes, percent), "pairs")
     release(spark)
-    wanted = materialize(members.join(ends, "key", "left_semi").select("class").distinct(), "wanted")
+    wanted = materialize(first.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
     parts = _fragments(docs, n, wanted, few)
     links = materialize(_count(first, parts, sizes, percent), "links")
     roots = components(links)
@@ -219,8 +240,9 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: in
     open_ = materialize(placed.join(split, "key", "left_semi"), "open")
     left = open_.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = open_.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = left.join(right, "key").where("a < b AND ra <> rb").where(fits).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = _count(materialize(across, "across"), parts, sizes, percent)
+    across = materialize(_able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).select("a", "b"), sizes, percent).join(first, ["a", "b"], "left_anti"), "across")
+    wanted = materialize(across.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
+    more = _count(across, _fragments(docs, n, wanted, few), sizes, percent)
     roots = components(links.unionByName(more))
     release(spark)
     labelled = sets.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
