@@ -83,4 +83,37 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_best_fit_packing, op3_suffix_dedup, op4_temperature_mixing, op5_licence_scan, op6_embedding_dedup, op7_audio_features, op8_token_store, op9_toxicity, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {}
+_DIGITS = ", ".join(f"(v >> {k}) & 31" for k in (15, 10, 5, 0))
+_MIXED = "((((({0} + {1}) % 2147483647 * 48271 + 12345) % 2147483647 * 69621 + 12345) % 2147483647 * 16807 + 12345) % 2147483647)"
+
+ORACLE_SQL: dict[str, str] = {
+    # five hex digits of the SHA-1 are four base32 digits
+    "op1_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, max(page_id) AS top FROM p GROUP BY h),
+d AS (SELECT h, string_agg(array_to_string(list_transform([{_DIGITS}], lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x::INT + 1, 1)), ''), '' ORDER BY i) AS b32
+      FROM (SELECT h, i, ('0x' || substr(h, (5 * i + 1)::INT, 5))::BIGINT AS v FROM g, range(8) r(i)) GROUP BY h)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, b32 AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to FROM p JOIN g USING (h) JOIN d USING (h)""",
+    "op4_temperature_mixing": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> ''))::BIGINT AS n, {_MIXED.format("doc_id % 2147483647", 7)} AS h FROM documents),
+tot AS (SELECT source, sum(n)::BIGINT AS n FROM docs GROUP BY 1 HAVING sum(n) > 0),
+p AS (SELECT source, n, n / (SELECT sum(n) FROM tot)::DOUBLE AS p FROM tot),
+ends AS (SELECT min(p) AS least, max(p) AS most FROM p),
+bis(k, lo, hi) AS (SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE UNION ALL
+  SELECT k + 1, CASE WHEN pow(least, (lo + hi) / 2 - 1) / pow(most, (lo + hi) / 2 - 1) <= 2.0 THEN lo ELSE (lo + hi) / 2 END, CASE WHEN pow(least, (lo + hi) / 2 - 1) / pow(most, (lo + hi) / 2 - 1) <= 2.0 THEN (lo + hi) / 2 ELSE hi END FROM bis, ends WHERE k < 50),
+alpha AS (SELECT round(CASE WHEN pow(least, -1) / pow(most, -1) <= 2.0 THEN 0.0 ELSE hi END, 9) AS a FROM bis, ends WHERE k = 50),
+norm AS (SELECT sum(pow(p, a)) AS s FROM p, alpha),
+plan AS (SELECT source, n, round(round(pow(p, a) / s, 18) * ((SELECT sum(n) FROM tot)::DOUBLE * pow(most, 1 - a) * s) + 1e-6)::BIGINT AS owed FROM p, alpha, norm, ends),
+blocks AS (SELECT source, h % 1024 AS b, sum(n)::BIGINT AS size FROM docs GROUP BY 1, 2),
+placed AS (SELECT k.source, b, size, owed // n AS full_, owed % n - coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY {_MIXED.format("b", 8)}, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_ FROM blocks k JOIN plan w ON k.source IS NOT DISTINCT FROM w.source),
+met AS (SELECT d.*, full_, left_, size, sum(d.n) OVER (PARTITION BY d.source, d.h % 1024 ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM docs d LEFT JOIN placed k ON d.source IS NOT DISTINCT FROM k.source AND d.h % 1024 = k.b)
+SELECT doc_id, source, n AS n_tokens, coalesce(full_ + CASE WHEN n > 0 AND left_ > 0 AND (left_ >= size OR upto <= left_) THEN 1 ELSE 0 END, 1)::BIGINT AS copies FROM met""",
+    "op10_ngram_jaccard": """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(doc_id, label) AS (SELECT doc_id, doc_id FROM s UNION SELECT CASE WHEN l.a = r.doc_id THEN l.b ELSE l.a END, r.label FROM r JOIN l ON l.a = r.doc_id OR l.b = r.doc_id)
+SELECT s.doc_id, len(any_value(g))::BIGINT AS n_shingles, min(label)::BIGINT AS component_id FROM s JOIN r USING (doc_id) GROUP BY 1""",
+}
