@@ -2,9 +2,9 @@
 
 Token documents are cut into pieces and packed into sequences of `capacity` tokens. Pieces are dealt to groups of bounded
 size by a hash; each group is packed by best-fit decreasing (BFD) and certified by a lower bound from dual-feasible
-functions (DFF). Groups whose bin count is above their bound give the documents of their underfull bins to an exchange
-pool, which is dealt anew, to fewer groups, and packed again; that repeats until every group is certified, the pool is
-one group, or an exchange wins nothing.
+functions (DFF). Groups whose bin count is above their bound give their documents to an exchange pool, which is dealt anew
+by another hash, to fewer and larger groups, and packed again; that repeats until every group is certified, the pool is one
+group, an exchange wins nothing, or a few rounds are over. Only ids and lengths move.
 
 Results for odd inputs: a null text is empty and is one piece that holds the end id alone; rows with equal ids are packed
 on their own each; a null id stays null; extra columns are ignored; an empty table gives no rows.
@@ -113,7 +113,7 @@ def _round(items: DataFrame, groups: int, salt: int, capacity: int) -> DataFrame
 def best_fit_pack(pieces: DataFrame, capacity: int = 1024, group_pieces: int = 100_000, rounds: int = 4) -> DataFrame:
     """pieces (length, any other columns) -> the same rows with sequence_id and offset.
 
-    group_pieces bounds what one task packs; each later round deals what is left to at most a quarter of the groups.
+    group_pieces bounds what one task packs; it doubles with each of the few later rounds.
     """
     spark = pieces.sparkSession
     kept = materialize(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
@@ -123,16 +123,17 @@ def best_fit_pack(pieces: DataFrame, capacity: int = 1024, group_pieces: int = 1
     groups, done, before = max(1, -(-n // group_pieces)), None, None
     for k in range(rounds):
         packed = materialize(_round(pool, groups, k, capacity), "packed")
-        placed = packed.select("uid", ((F.col("grp").cast("long") * F.lit(1 << 32) + F.col("bin")) * 8 + (k + 1)).alias("sequence_id"), "offset", ((F.col("gap") > 0) & (F.col("load") < capacity)).alias("open"))
-        state = packed.where((F.col("gap") > 0) & (F.col("load") < capacity)).agg(F.count("*").alias("n"), F.sum(F.when(F.col("offset") == 0, 1)).alias("bins")).first()
-        last = groups == 1 or not state["n"] or k == rounds - 1 or before is not None and state["bins"] >= before
+        placed = packed.select("uid", ((F.col("grp").cast("long") * F.lit(1 << 32) + F.col("bin")) * 8 + (k + 1)).alias("sequence_id"), "offset", (F.col("gap") > 0).alias("open"))
+        is_open = F.col("gap") > 0
+        state = packed.agg(F.count_if(is_open).alias("n"), F.count_if(is_open & (F.col("offset") == 0)).alias("bins"), F.count_if(F.col("offset") == 0).alias("all_bins")).first()
+        last = groups == 1 or not state["n"] or k == rounds - 1 or before is not None and state["all_bins"] >= before
         keep = (placed if last else placed.where(~F.col("open"))).select("uid", "sequence_id", "offset")
         done = keep if done is None else done.unionByName(keep)
         if last:
             break
         before = state["bins"]
-        pool = packed.where((F.col("gap") > 0) & (F.col("load") < capacity)).select("uid", "length")
-        groups = max(1, min(groups // 4, -(-state["n"] // group_pieces)))
+        pool = packed.where("gap > 0").select("uid", "length")
+        groups = max(1, -(-state["n"] // (group_pieces << (k + 1))))
     release(spark)
     rest = kept.where(F.col("length") < capacity).join(done, "uid")
     return full.unionByName(rest).drop("uid")
