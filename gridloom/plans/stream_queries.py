@@ -39,3 +39,41 @@ def r8_worker_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r4_lease_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stateful fencing; tests compare it with a replay."""
     return jobs.drain(jobs.leases(_events(spark, sf_dir)), "append")
+
+
+@query("WITH c AS (SELECT worker, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY worker ORDER BY ts) AS prev FROM f_job_events WHERE state='complete') SELECT worker, prev::BIGINT AS from_us, us::BIGINT AS to_us FROM c WHERE us-prev>7200000000", "f_job_events")
+def r2_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.drain(jobs.stalls(_events(spark, sf_dir)), "append")
+
+
+@query("SELECT DISTINCT tile, stage FROM f_job_events WHERE state='complete'", "f_job_events")
+def r7_publish_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = _events(spark, sf_dir).where("state = 'complete'").select("tile", "stage")
+    return jobs.publish_once(done, ["tile", "stage"], jobs.scratch(spark, "published"))
+
+
+@query("WITH r AS (SELECT tile, stage, worker, event_id, row_number() OVER (PARTITION BY tile, stage ORDER BY worker DESC, event_id) AS k FROM f_job_events) SELECT tile, stage, worker AS state FROM r WHERE k=1 AND worker%2=0", "f_job_events")
+def r6_edit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edits that expect an empty cell (even workers) apply to the empty world; the others fail their precondition."""
+    e = _events(spark, sf_dir)
+    edits = e.select("tile", "stage", F.col("worker").alias("state"), F.when(F.col("worker") % 2 == 1, F.lit(-1).cast("long")).alias("expect"), F.col("worker").alias("priority"), F.col("event_id").alias("seq"))
+    return jobs.apply_edit_stream(edits, ["tile", "stage"], jobs.scratch(spark, "blocks"))
+
+
+@query()
+def f12_page_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page, centre and page-local place of every position, with the error of the way back in millimetres; a table per page is F12 and A14."""
+    from gridloom.functions import atlas
+    from gridloom.sources.derived import f_places
+
+    p = f_places(spark, sf_dir).select("pid", (F.col("x_dm") / 57 - 180).alias("lon"), (F.col("z_dm") / 120 - 85).alias("lat"))
+    band, column = atlas.page(F.col("lon"), F.col("lat"))
+    p = p.withColumns({"band": band, "column": column}).withColumn("page", atlas.page_id(F.col("band"), F.col("column")))
+    lon, lat = atlas.page_centre(F.col("band"), F.col("column"))
+    p = p.withColumns({"clon": lon, "clat": lat})
+    x, z = atlas.page_local(F.col("lon"), F.col("lat"), F.col("clon"), F.col("clat"))
+    p = p.withColumns({"x": x, "z": z})
+    blon, blat = atlas.page_geographic(F.col("x"), F.col("z"), F.col("clon"), F.col("clat"))
+    p = p.withColumns({"blon": blon, "blat": blat})
+    error = F.sqrt(F.pow((F.col("blat") - F.col("lat")) * 111_000_000, 2) + F.pow((F.pmod(F.col("blon") - F.col("lon") + 180, F.lit(360.0)) - 180) * 111_000_000 * F.cos(F.radians("lat")), 2))
+    return p.select("pid", "page", F.round("x", 3).alias("x"), F.round("z", 3).alias("z"), F.round(error, 3).alias("error_mm"))

@@ -97,3 +97,72 @@ def leases(events: DataFrame, ttl_s: int = 3600) -> DataFrame:
 
     wanted = events.where("state IN ('running', 'complete')").select("tile", "stage", "event_id", "worker", "state", F.unix_micros("ts").alias("us"))
     return wanted.groupBy("tile", "stage").applyInPandasWithState(step, "tile string, stage long, event_id long, outcome string", "owner long, expires long", "append", GroupStateTimeout.NoTimeout)
+
+
+def stalls(events: DataFrame, stall_s: int = 7200) -> DataFrame:
+    """worker, from_us, to_us: times between a worker's completed tiles that are longer than a stall; state is the last completion."""
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        out = []
+        for us in pd.concat(list(parts))["us"].sort_values():
+            if last is not None and us - last > stall_s * 1_000_000:
+                out.append((key[0], last, int(us)))
+            last = int(us) if last is None else max(last, int(us))
+        state.update((last,))
+        yield pd.DataFrame(out, columns=["worker", "from_us", "to_us"])
+
+    done = events.where("state = 'complete'").select("worker", F.unix_micros("ts").alias("us"))
+    return done.groupBy("worker").applyInPandasWithState(step, "worker long, from_us long, to_us long", "last long", "append", GroupStateTimeout.NoTimeout)
+
+
+def publish_once(stream: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Each key is published once, however often it arrives: a batch is joined against the ledger of earlier batches.
+
+    A batch writes under its number, so a batch that is run again replaces what it wrote and never counts against itself.
+    """
+    spark = stream.sparkSession
+    schema = ", ".join(f"`{n}` {t}" for n, t in stream.dtypes)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.limit(0).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        ledger = spark.read.schema(f"{schema}, batch long").parquet(path).where(F.col("batch") < number).select(*keys)
+        batch.dropDuplicates(keys).join(ledger, keys, "left_anti").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = stream.writeStream.option("checkpointLocation", f"{path}-state").trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.schema(f"{schema}, batch long").parquet(path).drop("batch")
+
+
+def apply_edit_stream(edits: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Edit layers (keys, state, expect, priority, seq) applied once each, in order of arrival, to a versioned block table.
+
+    Batch n reads version n and writes version n + 1; a repeated batch writes the same version again.
+    """
+    from gridloom.operators.merges import apply_edits
+    from gridloom.operators.rasters import resolve
+
+    spark = edits.sparkSession
+    kinds = dict(edits.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", state {kinds['state']}"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/v0")
+
+    def write(batch: DataFrame, number: int) -> None:
+        blocks = spark.read.schema(schema).parquet(f"{path}/v{number}")
+        layer = resolve(batch, keys).select(*keys, "state", "expect")
+        apply_edits(blocks, layer, keys)[0].write.mode("overwrite").parquet(f"{path}/v{number + 1}")
+
+    query = edits.writeStream.option("checkpointLocation", f"{path}-state").trigger(availableNow=True).foreachBatch(write).start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    last = (query.lastProgress or {}).get("batchId", -1) + 1
+    return spark.read.schema(schema).parquet(f"{path}/v{last}")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-streams-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
