@@ -97,3 +97,21 @@ def test_lease_fencing(spark):
     rows = QUERIES["r4_lease_state"](spark, "/root/testdata/sf0.001").collect()
     assert {r.outcome for r in rows} <= {"claimed", "renewed", "completed", "rejected"}
     assert len({r.event_id for r in rows}) == len(rows)
+
+
+def test_crowns_do_not_depend_on_the_tile(spark):
+    import numpy as np
+
+    from gridloom.operators import crowns
+
+    dome = lambda r, x, z, h: np.maximum(0, h - np.hypot(np.arange(40)[:, None] - z, np.arange(40)[None, :] - x) * h / r)
+    canopy = np.maximum(dome(5, 12, 12, 12), dome(4, 25, 12, 8))
+    canopy[canopy < 2] = np.nan
+    tops = crowns.local_tops(canopy, 4)
+    assert tops.tolist() == [[12, 12], [12, 25]]
+    label = crowns.grow(canopy, tops, 6)
+    assert label[12, 13] == 0 and label[12, 24] == 1 and label[30, 30] == -1
+    rows = [(int(x), int(z), float(canopy[z, x])) for z in range(40) for x in range(40) if canopy[z, x] > 0]
+    cells = spark.createDataFrame(rows, "x long, z long, top double")
+    a, b = (sorted(map(tuple, crowns.segment(cells, "top", 2, 5, t).collect())) for t in (17, 64))
+    assert a == b and {c for *_, c in a} == {12 * crowns.SPAN + 12, 25 * crowns.SPAN + 12}
