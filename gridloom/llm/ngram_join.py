@@ -176,17 +176,15 @@ def _fits(percent: int) -> Column:
     return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
 
-def _able(met: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of `met`, a row for each n-gram that both prefixes share, which may link by their sizes and that count.
+def _able(counted: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb, c: n-grams that both prefixes share) which may link by their sizes and that count.
 
     Up to the end of the prefix that ends first in the global order, the shared count is all of the overlap; what lies
     behind it is at most the rest of that document. A link needs percent * (na + nb) / (100 + percent) in all.
     """
-    counted = met.groupBy("a", "b").agg(F.count("*").alias("c"))
-    sa, sb = sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), sizes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
     least = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
     rest = f"({percent} * greatest(na, nb) + 99) div 100 - 1"
-    return counted.join(sa, "a").join(sb, "b").where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b")
+    return counted.where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b")
 
 
 def _count(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -228,7 +226,9 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: in
     ends = materialize(members.join(central, "class").groupBy("key").agg(poles.alias("poles")).where(F.size("poles") > 1), "ends")
     sizes = materialize(sets.groupBy("class").agg(F.min("n").alias("n")).where("n > 0"), "sizes")
     met = members.join(ends, "key").select("class", F.array_contains("poles", F.col("class")).alias("own"), F.explode("poles").alias("pole")).where("pole < class OR pole > class AND NOT own")
-    first = materialize(_able(met.select(F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b")), sizes, percent), "pairs")
+    counted = met.groupBy(F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b")).agg(F.count("*").alias("c"))
+    size_of = lambda c, n: sizes.select(F.col("class").alias(c), F.col("n").alias(n))
+    first = materialize(_able(counted.join(size_of("a", "na"), "a").join(size_of("b", "nb"), "b"), percent), "pairs")
     release(spark)
     wanted = materialize(first.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
     parts = _fragments(docs, n, wanted, few)
@@ -240,7 +240,8 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: in
     open_ = materialize(placed.join(split, "key", "left_semi"), "open")
     left = open_.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = open_.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = materialize(_able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).select("a", "b"), sizes, percent).join(first, ["a", "b"], "left_anti"), "across")
+    met = left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    across = materialize(_able(met, percent).join(first, ["a", "b"], "left_anti"), "across")
     wanted = materialize(across.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
     more = _count(across, _fragments(docs, n, wanted, few), sizes, percent)
     roots = components(links.unionByName(more))
