@@ -174,7 +174,7 @@ def _anchor_rows(docs: DataFrame, frequent: np.ndarray, length: int, k: int) ->
     return _rows(docs).mapInArrow(run, "key long, context long, d long, salt long")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, rows: int = 250_000, size: int = 4 << 20) -> Iterator[pa.Table]:
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, rows: int = 250_000, size: int = 2 << 20) -> Iterator[pa.Table]:
     """Rows sorted by a key column, in tables that hold whole groups of about so many rows or bytes."""
     held: list[pa.RecordBatch] = []
     n = b = 0
@@ -233,8 +233,8 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
                 first = np.zeros(len(at), bool)
                 first[once] = True
                 covered = ~first | np.isin(code, flags[COVERED])
-                for s, e in _merge(np.stack([start[covered], end[covered]], 1)).tolist():
-                    out.append((0, doc, None, s, e, None))
+                spans = _merge(np.stack([start[covered], end[covered]], 1))
+                out += [(0, doc, None, s, e, None) for s, e in spans.tolist()]
                 for j in np.flatnonzero(first & np.isin(code, flags[OPEN])):
                     out.append((1, doc, int(h[j].view(np.int64)), int(start[j]), int(end[j]), data[start[j] : end[j]].tobytes()))
                 often = np.flatnonzero(first & np.isin(code, flags[OPEN_FREQUENT]))
@@ -245,7 +245,11 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
                     again = np.ones(len(w), bool)
                     again[once] = False
                     out += [(0, doc, None, s, e, None) for s, e in _merge(np.stack([w[again], w[again] + length], 1)).tolist()]
-                    out += [(2, doc, key, s, s + length, None) for key, s in zip(wh[once].tolist(), w[once].tolist())]
+                    # a string whose bytes all go already is still the earliest of its kind for others, but needs no answer
+                    w, wh = w[once], wh[once]
+                    into = np.searchsorted(spans[:, 0], w, "right") - 1
+                    gone = (into >= 0) & (spans[np.maximum(into, 0), 1] >= w + length) if len(spans) else np.zeros(len(w), bool)
+                    out += [(2, doc, key, s, None if g else s + length, None) for key, s, g in zip(wh.tolist(), w.tolist(), gone.tolist())]
                 if len(out) > 20_000:
                     yield rows(out)
                     out = []
@@ -298,10 +302,11 @@ def _bundles(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: int = 1 << 16, often: int = 256) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: int = 1 << 16, often: int = 2048) -> DataFrame:
     """documents -> d, s, e: byte spans (they may overlap) whose union is what goes.
 
-    frequent bounds the list of anchors met `often` times or more that is broadcast; it spreads work and bounds no result.
+    A bundle holds the open contexts of one anchor, up to about `often` of them (a third of a megabyte); `frequent` bounds the
+    list of anchors beyond that, which is broadcast. Both spread work and bound no result.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -319,7 +324,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: in
     matched = open_.mapInArrow(_bundles(length), "d long, s long, e long")
     strings = found.where("kind = 2").select("key", "d", "s", "e")
     again = materialize(strings.groupBy("key").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("key", "d0"), "again")
-    later = strings.join(again, "key").where("d > d0").select("d", "s", "e")
+    later = strings.where("e IS NOT NULL").join(again, "key").where("d > d0").select("d", "s", "e")
     return materialize(found.where("kind = 0").select("d", "s", "e").unionByName(matched).unionByName(later), "spans")
 
 
