@@ -243,6 +243,21 @@ def test_near_vectors(spark):
     assert near_vectors(df.where("false")).count() == 0
 
 
+def test_near_vectors_with_a_common_direction(spark):
+    rng, n, dim, pairs = np.random.default_rng(4), 3000, 32, 300
+    x = rng.standard_normal((n, dim))
+    x = 0.9 * np.eye(dim)[0] + np.sqrt(1 - 0.9**2) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = rng.standard_normal((pairs, dim))
+    near -= (near * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    x[pairs : 2 * pairs] = 0.98 * x[:pairs] + np.sqrt(1 - 0.98**2) * near / np.linalg.norm(near, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, 0, v) for i, v in enumerate(x.tolist())], "vec_id long, label int, embedding array<double>")
+    links = x @ x.T >= 0.97
+    np.fill_diagonal(links, False)
+    got = sum(r.n_links for r in near_vectors(df, threshold=0.97, window=3).collect())
+    assert 0.97 * links.sum() <= got <= links.sum()
+
+
 def test_mixing(docs, none, spark):
     got = mix_sources(docs, limit=2.0)
     assert got.count() == len(corpus()) and got.where("copies < 1").count() == 0
