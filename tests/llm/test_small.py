@@ -285,6 +285,32 @@ def test_licences(spark, none):
     assert licences.scan(none, model).count() == 0
 
 
+WRAPPED = {
+    "GPL-3.0": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:",
+    "BSD": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at",
+}
+
+
+def test_licences_in_wrapped_headers(spark):
+    lines = "\n".join(prose(k, 9) for k in range(40))
+    rows = [(f, f"{prose(1, 20)}\n\n{t}\n\n{prose(2, 10)}") for f, t in WRAPPED.items()]
+    rows += [(f, f"{lines}\n{t}\n{lines}") for f, t in WRAPPED.items()]
+    rows += [("GPL-3.0,MIT", "Released under the MIT License.\n" + WRAPPED["GPL-3.0"]), (None, lines)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan(df).collect()}
+    assert {i: r.families for i, r in got.items()} == {i: f for i, (f, _) in enumerate(rows)}
+    assert all(got[i].n_confirmed == len(f.split(",")) for i, (f, _) in enumerate(rows) if f)
+
+
+def test_licence_gate_loses_nothing(spark, none):
+    model = licences.train(none)
+    for family, weights in model.weights.items():
+        free = sum(v for g, v in weights.items() if v > 0 and not set(model.gate) & set(g.split()))
+        assert 1 / (1 + np.exp(-(free + model.bias[family]))) < model.threshold[family], family
+
+
 def test_toxicity(spark, none):
     bad = ["gronk", "blarg", "snirt"]
     rows = []
