@@ -14,7 +14,8 @@ A suffix array of a whole corpus can't be cut into tasks, so suffixes are first
 Exact copies of a document are settled by a hash of the whole text.
 
 Results for odd inputs: null texts are empty; texts shorter than `length` keep all bytes; rows with equal ids stand at
-the same place of the order, so neither removes from the other; null ids come first; an empty table gives no rows.
+the same place of the order, so neither removes from the other: a row is known by its id and its text, and rows that are
+equal in both lose the same; null ids come first; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import RollingHash, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tune
@@ -74,19 +75,25 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def earlier_match(text: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+def earlier_match(text: np.ndarray, starts: np.ndarray, order: np.ndarray, length: int, owner: np.ndarray | None = None) -> np.ndarray:
     """For suffixes at `starts` (each with `length` bytes left) of places `order`: whether LPF >= length.
 
     Suffixes are sorted by rank, then place; the previous smaller place in suffix order with the same first `length` bytes
-    is then among the entries before, the least of its run at the run's head.
+    is then among the entries before, the least of its run at the run's head. With owners (rows), an order is a document's
+    rank << 40 | place, and an entry of the same document matches only if it has the same owner.
     """
     rank = suffix_ranks(text, length)[starts]
-    at = np.lexsort((order, rank))
+    at = np.lexsort((order, rank) if owner is None else (order, owner, order >> 40, rank))
     r, o = rank[at], order[at]
     head = np.concatenate([[True], r[1:] != r[:-1]])
     first = o[np.maximum.accumulate(np.where(head, np.arange(len(r)), 0))]
     out = np.empty(len(r), bool)
-    out[at] = o > first
+    if owner is None:
+        out[at] = o > first
+    else:
+        w = owner[at]
+        own = head | np.concatenate([[True], w[1:] != w[:-1]])
+        out[at] = (o >> 40 > first >> 40) | (o > o[np.maximum.accumulate(np.where(own, np.arange(len(r)), 0))])
     return out
 
 
@@ -101,8 +108,14 @@ def _merge(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[i, 0], reach[np.concatenate([i[1:] - 1, [len(spans) - 1]])]], 1)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(doc_key().alias("d"), F.col("text").cast("string").alias("text"))
+def _row_key(length: int, clash: bool) -> Column:
+    """With the id, what tells rows apart: a hash of the text where an id has several texts, else whether the text is long enough to have spans."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.xxhash64(text) if clash else F.when(F.octet_length(text) >= length, 0).otherwise(1).cast("long")
+
+
+def _rows(docs: DataFrame, length: int, clash: bool = True) -> DataFrame:
+    return docs.select(doc_key().alias("d"), F.col("text").cast("string").alias("text"), _row_key(length, clash).alias("t"))
 
 
 def _text_hash(data: np.ndarray) -> int:
@@ -110,7 +123,7 @@ def _text_hash(data: np.ndarray) -> int:
 
 
 def _survey(docs: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(d, text hash) of each document that is long enough, and each task's counts of anchors met more than a few times."""
+    """(d, text hash, row key t) of each document that is long enough, and each task's counts of anchors met more than a few times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -119,37 +132,38 @@ def _survey(docs: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame]
             keys, n = np.unique(np.concatenate(held), return_counts=True)
             keys, n = keys[n > 3], n[n > 3]
             none = pa.nulls(len(keys), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["d", "hash", "key", "n"])
+            return pa.RecordBatch.from_arrays([none, none, none, pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["d", "hash", "t", "key", "n"])
 
         for batch in batches:
-            d, hashes = [], []
-            for doc, data in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            d, hashes, ts = [], [], []
+            for doc, data, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 found = anchors(data, length, k)
                 if found is not None:
                     d.append(doc)
                     hashes.append(_text_hash(data))
+                    ts.append(t)
                     held.append(np.unique(found[1]))
             none = pa.nulls(len(d), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(hashes, pa.int64()), none, none], names=["d", "hash", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(hashes, pa.int64()), pa.array(ts, pa.int64()), none, none], names=["d", "hash", "t", "key", "n"])
             if sum(map(len, held)) > 4_000_000:
                 yield counts()
                 held = []
         if held:
             yield counts()
 
-    both = materialize(_rows(docs).mapInArrow(run, "d long, hash long, key long, n long"), "survey")
-    return both.where("d IS NOT NULL").select("d", "hash"), both.where("d IS NULL").select("key", "n")
+    both = materialize(_rows(docs, length).mapInArrow(run, "d long, hash long, t long, key long, n long"), "survey")
+    return both.where("d IS NOT NULL").select("d", "hash", "t"), both.where("d IS NULL").select("key", "n")
 
 
-def _anchor_rows(docs: DataFrame, frequent: np.ndarray, length: int, k: int) -> DataFrame:
-    """key, context, d, salt: once per document; exact copies of an earlier document that the task has met give none."""
+def _anchor_rows(docs: DataFrame, frequent: np.ndarray, length: int, k: int, clash: bool) -> DataFrame:
+    """key, context, d, salt, t: once per document; exact copies of an earlier document that the task has met give none."""
     held = docs.sparkSession.sparkContext.broadcast(np.sort(frequent.view(np.uint64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = held.value, {}
         for batch in batches:
-            keys, contexts, ds, salts = [], [], [], []
-            for doc, data in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            keys, contexts, ds, salts, ts = [], [], [], [], []
+            for doc, data, row in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 if len(data) < length:
                     continue
                 t = _text_hash(data)
@@ -168,10 +182,11 @@ def _anchor_rows(docs: DataFrame, frequent: np.ndarray, length: int, k: int) ->
                 contexts.append(c.view(np.int64))
                 ds.append(np.full(len(h), doc, np.int64))
                 salts.append(salt)
+                ts.append(np.full(len(h), row, np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, contexts, ds, salts)], names=["key", "context", "d", "salt"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, contexts, ds, salts, ts)], names=["key", "context", "d", "salt", "t"])
 
-    return _rows(docs).mapInArrow(run, "key long, context long, d long, salt long")
+    return _rows(docs, length, clash).mapInArrow(run, "key long, context long, d long, salt long, t long")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, rows: int = 250_000, size: int = 2 << 20) -> Iterator[pa.Table]:
@@ -198,7 +213,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, rows: int = 250_0
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors sorted by (key, salt, context, d): which are covered, which open."""
     for table in _whole_groups(batches, 0):
-        key, context, d, salt = (table.column(i).to_numpy() for i in range(4))
+        key, context, d, salt, t = (table.column(i).to_numpy() for i in range(5))
         new_key = np.concatenate([[True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])
         new = new_key | np.concatenate([[True], context[1:] != context[:-1]])
         group = np.cumsum(new_key) - 1
@@ -208,23 +223,23 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # of a first context one row per document is enough; d == least more than once: rows with equal ids
         keep = flag >= 0
         code = _code(key.view(np.uint64), context.view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(d[keep]), pa.array(code[keep]), pa.array(flag[keep].astype(np.int32))], names=["d", "code", "flag"])
+        yield pa.RecordBatch.from_arrays([pa.array(d[keep]), pa.array(t[keep]), pa.array(code[keep]), pa.array(flag[keep].astype(np.int32))], names=["d", "t", "code", "flag"])
 
 
 def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
-    """d, text, codes by flag -> kind, d, key, s, e, context: spans (kind 0), open contexts (1) and strings of frequent anchors (2)."""
+    """d, text, codes by flag, t -> kind, d, t, key, s, e, context: spans (kind 0), open contexts (1) and strings of frequent anchors (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             codes = batch.column(2)
-            for i, (doc, data) in enumerate(zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)))):
+            for i, (doc, data, t) in enumerate(zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(3).to_pylist())):
                 if len(data) < length:
                     continue
                 listed = codes[i].as_py() or []
                 flags = {f: np.array([x["code"] for x in listed if x["flag"] == f], np.int64) for f in (COVERED, OPEN, OPEN_FREQUENT)}
                 if any(x["flag"] == WHOLE for x in listed):
-                    out.append((0, doc, None, 0, len(data), None))
+                    out.append((0, doc, t, None, 0, len(data), None))
                     continue
                 at, h, c, roll = anchors(data, length, k)
                 code = _code(h, c)
@@ -234,9 +249,9 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
                 first[once] = True
                 covered = ~first | np.isin(code, flags[COVERED])
                 spans = _merge(np.stack([start[covered], end[covered]], 1))
-                out += [(0, doc, None, s, e, None) for s, e in spans.tolist()]
+                out += [(0, doc, t, None, s, e, None) for s, e in spans.tolist()]
                 for j in np.flatnonzero(first & np.isin(code, flags[OPEN])):
-                    out.append((1, doc, int(h[j].view(np.int64)), int(start[j]), int(end[j]), data[start[j] : end[j]].tobytes()))
+                    out.append((1, doc, t, int(h[j].view(np.int64)), int(start[j]), int(end[j]), data[start[j] : end[j]].tobytes()))
                 often = np.flatnonzero(first & np.isin(code, flags[OPEN_FREQUENT]))
                 if len(often):
                     w = np.unique(np.concatenate([np.arange(start[j], end[j] - length + 1) for j in often]))
@@ -244,12 +259,12 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
                     _, once = np.unique(wh, return_index=True)
                     again = np.ones(len(w), bool)
                     again[once] = False
-                    out += [(0, doc, None, s, e, None) for s, e in _merge(np.stack([w[again], w[again] + length], 1)).tolist()]
+                    out += [(0, doc, t, None, s, e, None) for s, e in _merge(np.stack([w[again], w[again] + length], 1)).tolist()]
                     # a string whose bytes all go already is still the earliest of its kind for others, but needs no answer
                     w, wh = w[once], wh[once]
                     into = np.searchsorted(spans[:, 0], w, "right") - 1
                     gone = (into >= 0) & (spans[np.maximum(into, 0), 1] >= w + length) if len(spans) else np.zeros(len(w), bool)
-                    out += [(2, doc, key, s, None if g else s + length, None) for key, s, g in zip(wh.tolist(), w.tolist(), gone.tolist())]
+                    out += [(2, doc, t, key, s, None if g else s + length, None) for key, s, g in zip(wh.tolist(), w.tolist(), gone.tolist())]
                 if len(out) > 20_000:
                     yield rows(out)
                     out = []
@@ -257,18 +272,18 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
                 yield rows(out)
 
     def rows(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["kind", "d", "key", "s", "e", "context"])
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["kind", "d", "t", "key", "s", "e", "context"])
 
-    return texts.mapInArrow(run, "kind int, d long, key long, s long, e long, context binary")
+    return texts.mapInArrow(run, "kind int, d long, t long, key long, s long, e long, context binary")
 
 
 def _bundles(length: int):
-    """Open contexts sorted by anchor -> spans (d, s, e) of strings that occur earlier."""
+    """Open contexts sorted by anchor -> spans (d, t, s, e) of strings that occur earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, 0):
-            d, s = table.column(1).to_numpy(), table.column(2).to_numpy()
+            d, s, t = table.column(1).to_numpy(), table.column(2).to_numpy(), table.column(4).to_numpy()
             parts = text_bytes(table.column(3))
             sizes = np.array([len(x) for x in parts])
             text = np.concatenate(parts)
@@ -290,42 +305,45 @@ def _bundles(length: int):
             text, starts, which, place = text[keep], (starts - shift[which])[live], which[live], place[live]
             rank_d = np.unique(d, return_inverse=True)[1]
             order = rank_d[which].astype(np.int64) << 40 | place
-            hit = earlier_match(text, starts, order, length)
+            owner = np.unique(mix(rank_d.astype(np.uint64)) ^ t.view(np.uint64), return_inverse=True)[1][which] if t.any() else None
+            hit = earlier_match(text, starts, order, length, owner)
             w, p = which[hit], place[hit]
             if len(w) == 0:
                 continue
             new = np.concatenate([[True], (w[1:] != w[:-1]) | (p[1:] != p[:-1] + 1)])
             i = np.flatnonzero(new)
             last = np.concatenate([i[1:] - 1, [len(w) - 1]])
-            yield pa.RecordBatch.from_arrays([pa.array(d[w[i]]), pa.array(p[i]), pa.array(p[last] + length)], names=["d", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(d[w[i]]), pa.array(t[w[i]]), pa.array(p[i]), pa.array(p[last] + length)], names=["d", "t", "s", "e"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: int = 1 << 16, often: int = 2048) -> DataFrame:
-    """documents -> d, s, e: byte spans (they may overlap) whose union is what goes.
+def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: int = 1 << 16, often: int = 2048) -> tuple[DataFrame, bool]:
+    """documents -> d, t, s, e (t: the row key): byte spans (they may overlap) whose union is what goes.
 
     A bundle holds the open contexts of one anchor, up to about `often` of them (a third of a megabyte); `frequent` bounds the
     list of anchors beyond that, which is broadcast. Both spread work and bound no result.
+    Also returns whether an id has several texts.
     """
     spark = docs.sparkSession
     tune(spark)
     n = partitions(spark)
     survey, counts = _survey(docs, length, k)
+    clash = not survey.groupBy("d").agg(F.min("hash").alias("h0"), F.max("hash").alias("h1")).where("h0 < h1").isEmpty()
     held = frequent_keys(counts, frequent, often)
     copies = materialize(survey.groupBy("hash").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("hash", "d0"), "copies")
-    whole = survey.join(copies, "hash").where("d > d0").select("d", F.lit(0).cast("long").alias("code"), F.lit(WHOLE).alias("flag"))
-    met = _anchor_rows(docs, held, length, k).repartition(n, "key", "salt").sortWithinPartitions("key", "salt", "context", "d")
-    judged = met.mapInArrow(_judge, "d long, code long, flag int")
-    listed = judged.unionByName(whole.distinct()).groupBy("d").agg(F.collect_list(F.struct("code", "flag")).alias("codes"))
-    found = materialize(_resolve(_rows(docs).join(listed.withColumnRenamed("d", "ld"), F.col("d") == F.col("ld"), "left").select("d", "text", "codes"), length, k), "resolved")
+    whole = survey.join(copies, "hash").where("d > d0").select("d", F.col("t") if clash else F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("code"), F.lit(WHOLE).alias("flag"))
+    met = _anchor_rows(docs, held, length, k, clash).repartition(n, "key", "salt").sortWithinPartitions("key", "salt", "context", "d")
+    judged = met.mapInArrow(_judge, "d long, t long, code long, flag int")
+    listed = judged.unionByName(whole.distinct()).groupBy("d", "t").agg(F.collect_list(F.struct("code", "flag")).alias("codes"))
+    found = materialize(_resolve(_rows(docs, length, clash).join(listed.withColumnsRenamed({"d": "ld", "t": "lt"}), (F.col("d") == F.col("ld")) & (F.col("t") == F.col("lt")), "left").select("d", "text", "codes", "t"), length, k), "resolved")
     release(spark)
-    open_ = found.where("kind = 1").select("key", "d", "s", "context").repartition(n, "key").sortWithinPartitions("key")
-    matched = open_.mapInArrow(_bundles(length), "d long, s long, e long")
-    strings = found.where("kind = 2").select("key", "d", "s", "e")
+    open_ = found.where("kind = 1").select("key", "d", "s", "context", "t").repartition(n, "key").sortWithinPartitions("key")
+    matched = open_.mapInArrow(_bundles(length), "d long, t long, s long, e long")
+    strings = found.where("kind = 2").select("key", "d", "t", "s", "e")
     again = materialize(strings.groupBy("key").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("key", "d0"), "again")
-    later = strings.where("e IS NOT NULL").join(again, "key").where("d > d0").select("d", "s", "e")
-    return materialize(found.where("kind = 0").select("d", "s", "e").unionByName(matched).unionByName(later), "spans")
+    later = strings.where("e IS NOT NULL").join(again, "key").where("d > d0").select("d", "t", "s", "e")
+    return materialize(found.where("kind = 0").select("d", "t", "s", "e").unionByName(matched).unionByName(later), "spans"), clash
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False, **options: int) -> DataFrame:
@@ -333,12 +351,12 @@ def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False
 
     digest_only leaves out kept and the other columns.
     """
-    spans = repeated_spans(docs, length, **options)
+    spans, clash = repeated_spans(docs, length, **options)
     release(docs.sparkSession)
-    listed = spans.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    others = [] if digest_only else [c for c in docs.columns if c not in ("doc_id", "text", "d", "ld", "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), doc_key().alias("d"), *others)
-    joined = rows.join(listed.withColumnRenamed("d", "ld"), F.col("d") == F.col("ld"), "left").select("doc_id", "text", "spans", *others)
+    listed = spans.groupBy(F.col("d").alias("_ld"), F.col("t").alias("_lt")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    others = [] if digest_only else [c for c in docs.columns if c not in ("doc_id", "text", "_d", "_t", "_ld", "_lt", "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), doc_key().alias("_d"), _row_key(length, clash).alias("_t"), *others)
+    joined = rows.join(listed, (F.col("_d") == F.col("_ld")) & (F.col("_t") == F.col("_lt")), "left").select("doc_id", "text", "spans", *others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -176,6 +176,27 @@ def test_suffix_dedup(docs, none, often):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("often", [256, 2])
+def test_suffix_dedup_of_ids_with_several_texts(spark, often):
+    base, other, passage = prose(21, 60), prose(22, 60), prose(23, 40)
+    twice = passage + " " + prose(24, 20) + " " + passage
+    rows = [(1, base), (5, base), (5, other), (None, twice), (None, prose(25, 60)), (6, prose(26, 9) + " " + passage), (7, twice), (7, prose(27, 30) + passage), (9, prose(28, 30) + prose(29, 30)), (9, prose(28, 9) + " " + prose(29, 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first, own = {}, {}
+    for i, (d, text) in enumerate(rows):
+        b = text.encode()
+        for p in range(len(b) - 99):
+            first[b[p : p + 100]] = min(first.get(b[p : p + 100], 10**9), -1 if d is None else d)
+            own.setdefault((i, b[p : p + 100]), p)
+    want = []
+    for i, (d, text) in enumerate(rows):
+        b = text.encode()
+        gone = {q for p in range(len(b) - 99) if first[b[p : p + 100]] < (-1 if d is None else d) or own[i, b[p : p + 100]] < p for q in range(p, p + 100)}
+        want.append((d, len(b), len(gone), hashlib.sha256(bytes(c for q, c in enumerate(b) if q not in gone)).hexdigest()))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, often=often).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def brute_jaccard(rows):
     sets = {}
     for i, t, *_ in rows:
