@@ -29,12 +29,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies; rows that repeat an id and a text are one document."""
-    groups = materialize(ngram_jaccard(docs), "groups")
-    gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    unique = groups.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return kept if unique else kept.dropDuplicates(["doc_id", "text"])
+    """Keeps the first document of each group of near copies: the one with the smallest id, null first, then by the text's hash; rows that repeat an id and a text are one document."""
+    # range-sorted, so the numbers rise with the ids; each distinct row has its own, so nothing is joined by an id that rows share
+    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text"))
+    gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+    kept = rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("_row") == F.col("_gone"), "left_anti")
+    return kept.select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,3 +33,12 @@ def test_stages(spark, tmp_path):
     assert set(ids("mixing")) == set(ids("repeated_passages"))
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert np.isin([r.doc_id for r in packed], ids("mixing")).all() and len({(r.doc_id) for r in packed}) == len(set(ids("mixing")))
+
+
+def test_near_copies_of_ids_with_several_texts(spark):
+    base = prose(31, 80)
+    rows = [(1, base), (5, base + " end"), (5, prose(32, 80)), (None, prose(33, 80)), (None, prose(33, 80) + " end"), (7, prose(33, 80) + " stop"), (8, None), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, df, "").collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "5", "8", "None"]
+    assert [r.text for r in got if r.doc_id == 5] == [rows[2][1]]
