@@ -1,18 +1,25 @@
 """Jaccard self-join on word n-grams by vertical partitioning.
 
-Every document is the set of its distinct n-grams, as 64-bit hashes. One global order of n-grams (frequent ones last, by
-hash otherwise) is cut into fragments. Linked documents share an n-gram among the first of each (prefix filter), so those
-first n-grams alone find candidate pairs; each fragment then counts its own overlap of a candidate pair, and the sum per
-pair decides. Documents with equal sets are one class from the start.
-
-A group (documents with one n-gram in their prefix) gives pairs with its poles first: its most central class, the least and
-the greatest. What links joins up as components; only groups that still lie in several components give the pairs across them, with
-the exact count of prefix n-grams that each pair shares. Pairs which that count and their sizes rule out need no sets; all
-others are counted, so no link between different components is lost.
+Every document is the set of its distinct n-grams, as 64-bit hashes, computed once; documents with equal sets are one class.
+One global order of n-grams (rare ones first, by a count sketch of fixed size, then by hash) is cut at pivots into fragments.
+Each fragment of a class counts its own overlap with that of a candidate partner, and the sum per pair decides.
+
+Candidates: linked classes share an n-gram among the first of each in the order (prefix filter). The classes of such an
+n-gram are a group. First each group's poles (its most central class, the least and the greatest) meet the others, and what
+links is joined up as components. Groups that still lie in several components are settled exactly:
+- of up to `direct` classes: the pairs across components, with the count of prefix n-grams that each pair shares;
+- larger ones by their differences to the group's central class p. S(x) = x symmetric difference p has |x sym.diff. y| =
+  |S(x) sym.diff. S(y)|, so S(x) and S(y) of a link share a known least number t of n-grams. What all copies of p share is
+  in no S. Two classes that both link to p are one component; so in any pair that is open one, x, does not, which makes t
+  more than half of S(y). A prefix filter on S, n-grams that p lacks first, then finds the pairs: rows in proportion to
+  the group's differences, not to its pairs.
+Pairs that counts, sizes or the triangle inequality rule out need no sets; all others are counted, so no link between
+different components is lost.
 
 Results for odd inputs: a text with no words (or null) has no n-grams, is linked with nothing and is its own component;
 fewer than n words are one n-gram; equal ids count as one node that has each row's links; null ids are components of their
-own (null) and never a component's id while another member has one; extra columns are ignored.
+own (null) and never a component's id while another member has one; texts of any length are read whole, a text's set is one
+row; an empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RollingHash, frequent_keys, materialize, mix, release, text_bytes, tune
+from .common import RollingHash, materialize, mix, partitions, release, text_bytes, tune
 from .components import components
 
 _WORD = np.ones(256, bool)
@@ -32,22 +41,59 @@ _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 FRAGMENTS = 4
+#: The count sketch has 2^SKETCH buckets, whatever the corpus; they are sent in pieces of 2^PIECE.
+SKETCH, PIECE = 20, 14
+
+
+def shingle_sets(texts: list[np.ndarray], n: int = 5) -> list[np.ndarray]:
+    """Sorted distinct hashes of the word n-grams of UTF-8 bytes, for each text; A-Z are lower-cased, words are [^\\x20\\x09-\\x0D]+."""
+    out: list[np.ndarray] = []
+    for group in _groups(texts):
+        sizes = np.array([len(x) + 1 for x in group])
+        data = np.full(int(sizes.sum()), 0x20, np.uint8)
+        ends = np.cumsum(sizes)
+        for x, end in zip(group, ends.tolist()):
+            data[end - 1 - len(x) : end - 1] = x
+        word = _WORD[data]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], word]).view(np.int8)))  # each text ends with a space, so words do not join
+        start, end = edge[::2], edge[1::2]
+        h = RollingHash(_LOWER[data]).ranges(start, end)
+        at = np.searchsorted(start, np.concatenate([[0], ends]))  # words of text i: at[i] to at[i + 1]
+        total = h.copy()
+        for k in range(1, min(n, len(h))):  # total[i]: of the n words from i, where there are so many
+            total[: len(h) - k] = mix(total[: len(h) - k] + np.uint64(0x9E3779B97F4A7C15)) + h[k:]
+        whole = mix(total ^ np.uint64(n))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            m = b - a
+            if m >= n:
+                s = whole[a : b - n + 1].copy()
+                s.sort()
+                out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+            elif m:
+                t = h[a : a + 1].copy()
+                for k in range(1, m):
+                    t = mix(t + np.uint64(0x9E3779B97F4A7C15)) + h[a + k : a + k + 1]
+                out.append(mix(t ^ np.uint64(m)))
+            else:
+                out.append(np.zeros(0, np.uint64))
+    return out
+
+
+def _groups(texts: list[np.ndarray], size: int = 1 << 18) -> Iterator[list[np.ndarray]]:
+    """Runs of texts of about so many bytes, which stay in the processor's cache."""
+    group, held = [], 0
+    for x in texts:
+        group.append(x)
+        held += len(x)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def shingles(data: np.ndarray, n: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams of UTF-8 bytes; A-Z are lower-cased, words are [^\\x20\\x09-\\x0D]+."""
-    word = _WORD[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
-    start, end = edge[::2], edge[1::2]
-    m = len(start)
-    if m == 0:
-        return np.zeros(0, np.uint64)
-    h = RollingHash(_LOWER[data]).ranges(start, end)
-    size = min(n, m)
-    total = h[: m - size + 1].copy()
-    for k in range(1, size):
-        total = mix(total + np.uint64(0x9E3779B97F4A7C15)) + h[k : m - size + 1 + k]
-    return np.unique(mix(total ^ np.uint64(size)))
+    return shingle_sets([data], n)[0]
 
 
 def set_digest(s: np.ndarray) -> int:
@@ -72,103 +118,131 @@ def _long(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64) if a.dtype == np.uint64 else a, pa.int64())
 
 
+def _bucket(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SKETCH)).astype(np.int64)
+
+
 def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, class) of every document, and each task's counts of the n-grams that it meets more than once."""
+    """(doc_id, n, class, uid, own, grams: the set where own, once per task and class), and each task's bucket counts (piece, task, at, count)."""
+    names = ["doc_id", "n", "class", "uid", "own", "grams", "piece", "at", "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[np.ndarray] = []
-        held = 0
+        seen: set[int] = set()
+        counts = np.zeros(1 << SKETCH, np.uint32)
+        task = TaskContext.get().partitionId()
+        uid = task << 32
         for batch in batches:
-            sizes, classes = [], []
-            for data in text_bytes(batch.column(1)):
-                s = shingles(data, n)
-                sizes.append(len(s))
-                classes.append(set_digest(s))
-                pending.append(s)
-                held += len(s)
-            none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), none, none], names=["doc_id", "n", "class", "key", "count"])
-            if held > 4_000_000:
-                yield counts(pending)
-                pending, held = [], 0
-        if held:
-            yield counts(pending)
-
-    def counts(parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys, k = np.unique(np.concatenate(parts), return_counts=True)
-        keys, k = keys[k > 1], k[k > 1]
-        none = pa.nulls(len(keys), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, _long(keys), _long(k)], names=["doc_id", "n", "class", "key", "count"])
-
-    both = materialize(_docs(docs).mapInArrow(run, "doc_id long, n long, class long, key long, count long"), "sets")
-    return both.where("n IS NOT NULL").select("doc_id", "n", "class"), both.where("key IS NOT NULL").select("key", F.col("count").alias("n"))
-
-
-def _prefixes(docs: DataFrame, n: int, percent: int, last: np.ndarray) -> DataFrame:
-    """The n-grams of each class's prefix: key, class, n, salt. `last` (sorted): frequent n-grams, which come last in the order.
-
-    A task gives a class once, however many copies it meets. salt is 0 but for frequent n-grams, whose rows it spreads.
+            ids = batch.column(0)
+            sets = shingle_sets(text_bytes(batch.column(1)), n)
+            sizes, classes, own = [len(s) for s in sets], [set_digest(s) for s in sets], []
+            for size, c in zip(sizes, classes):
+                own.append(size > 0 and c not in seen)
+                if own[-1] and len(seen) < 1 << 20:
+                    seen.add(c)
+            blobs = [s.tobytes() if new else None for s, new in zip(sets, own)]
+            if any(own):
+                counts += np.bincount(_bucket(np.concatenate([s for s, new in zip(sets, own) if new])), minlength=1 << SKETCH).astype(np.uint32)
+            uids = np.arange(uid, uid + len(sets))
+            uid += len(sets)
+            lost = pa.nulls(len(sets), pa.binary())
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(uids, pa.int64()), pa.array(own), pa.array(blobs, pa.binary()), pa.nulls(len(sets), pa.int32()), lost, lost], names=names)
+        for piece in range(1 << SKETCH - PIECE):
+            part = counts[piece << PIECE : piece + 1 << PIECE]
+            at = np.flatnonzero(part).astype("<u2")
+            if len(at):
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, none, pa.array([task], pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()), pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([part[at].astype("<u4").tobytes()], pa.binary())], names=names)
+
+    both = materialize(_docs(docs).mapInArrow(run, "doc_id long, n long, class long, uid long, own boolean, grams binary, piece int, at binary, count binary"), "sets")
+    return both.where("piece IS NULL").select("doc_id", "n", "class", "uid", "own", "grams"), both.where("piece IS NOT NULL").select("piece", F.col("uid").alias("task"), "at", "count")
+
+
+def _levels(counts: DataFrame) -> np.ndarray:
+    """A level (uint8) for each bucket: 0 for what is within chance of the mean, then the logarithm of what exceeds it.
+
+    Counts are summed in tasks, first by piece and salt, then by piece; the driver gets 2^SKETCH numbers, whatever the corpus.
     """
-    held = docs.sparkSession.sparkContext.broadcast(np.sort(last.view(np.uint64)))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, at, count in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if piece not in held:
+                    held[piece] = np.zeros(1 << PIECE, np.uint64)
+                held[piece][np.frombuffer(at, "<u2")] += np.frombuffer(count, "<u4") if len(count) == 2 * len(at) else np.frombuffer(count, "<u8")
+        for piece, total in held.items():
+            at = np.flatnonzero(total).astype("<u2")
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([total[at].astype("<u8").tobytes()], pa.binary())], names=["piece", "at", "count"])
+
+    n, kind = partitions(counts.sparkSession), "piece int, at binary, count binary"
+    salted = counts.repartition(n, "piece", F.pmod("task", F.lit(64))).select("piece", "at", "count").mapInArrow(add, kind)
+    total = np.zeros(1 << SKETCH, np.float64)
+    for row in salted.repartition(n, "piece").mapInArrow(add, kind).collect():
+        total[np.frombuffer(row["at"], "<u2").astype(np.int64) + (row["piece"] << PIECE)] = np.frombuffer(row["count"], "<u8")
+    mean = np.median(total)
+    over = np.maximum(0, total - mean - 5 * np.sqrt(mean) - 4)
+    return np.where(over > 0, 1 + np.log2(1 + over), 0).astype(np.uint8)
+
+
+def _order(s: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted hashes, and their levels in it: by level, then hash."""
+    level = levels[_bucket(s)]
+    at = np.argsort(level, kind="stable")
+    return at, level[at]
+
+
+def _prefixes(sets: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
+    """The first n-grams of each class: key, class, n, salt. salt is 0 but for frequent n-grams, whose rows it spreads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, seen = held.value, set()
         for batch in batches:
             keys, classes, sizes, salts = [], [], [], []
-            for data in text_bytes(batch.column(1)):
-                s = shingles(data, n)
-                if not len(s) or (c := set_digest(s)) in seen:
-                    continue
-                if len(seen) < 1 << 20:
-                    seen.add(c)
+            for c, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                s = np.frombuffer(whole, np.uint64)
                 take = len(s) - _need(len(s), percent) + 1
-                late = np.zeros(len(s), bool)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    late = frequent[at] == s
-                early = s[~late][:take]
-                p = np.concatenate([early, s[late][: take - len(early)]])
-                keys.append(p)
-                classes.append(np.full(len(p), c, np.int64))
-                sizes.append(np.full(len(p), len(s), np.int64))
-                salts.append(np.where(np.arange(len(p)) < len(early), 0, c).astype(np.int64))
+                at, level = _order(s, levels.value)
+                keys.append(s[at[:take]])
+                classes.append(np.full(take, c, np.int64))
+                sizes.append(np.full(take, len(s), np.int64))
+                salts.append(np.where(level[:take] > 0, c | 1, 0))
             if keys:
                 yield pa.RecordBatch.from_arrays([_long(np.concatenate(x)) for x in (keys, classes, sizes, salts)], names=["key", "class", "n", "salt"])
 
-    return _docs(docs).mapInArrow(run, "key long, class long, n long, salt long")
+    return sets.where("own").select("class", "grams").mapInArrow(run, "key long, class long, n long, salt long")
 
 
-def _fragments(docs: DataFrame, n: int, wanted: DataFrame, few: int) -> DataFrame:
-    """class, fragment, part (hashes, binary) of the classes in `wanted`; a small `wanted` is broadcast, else it is a shuffled join."""
+def _wholes(sets: DataFrame, wanted: DataFrame, sizes: DataFrame, few: int) -> DataFrame:
+    """class, grams of the classes in `wanted`, once each; a small list is broadcast, else it is a shuffled join."""
+    uids = materialize(sizes.join(wanted, "class", "left_semi").select("uid"), "uids")
+    whole = sets.where("own").select("uid", "class", "grams")
+    return whole.join(F.broadcast(uids) if uids.count() <= few else uids, "uid", "left_semi").select("class", "grams")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes, sets = [], []
-            for data in text_bytes(batch.column(1)):
-                s = shingles(data, n)
-                classes.append(set_digest(s))
-                sets.append(s.tobytes())
-                if len(sets) == 256:
-                    yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], names=["class", "whole"])
-                    classes, sets = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], names=["class", "whole"])
+
+def _cut(wholes: DataFrame, levels: Broadcast) -> DataFrame:
+    """class, fragment, part: each set cut at the pivots of the global order; what frequent n-grams hold is the last fragment."""
+    pivots = np.array([k * (2**64 // (FRAGMENTS - 1)) for k in range(1, FRAGMENTS - 1)], np.uint64)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = [np.uint64(k * (2**64 // FRAGMENTS)) for k in range(1, FRAGMENTS)]
         for batch in batches:
             c, f, p = [], [], []
             for key, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = np.frombuffer(whole, np.uint64)
-                at = [0, *np.searchsorted(s, edges).tolist(), len(s)]
+                often = levels.value[_bucket(s)] > 0
+                rare = s[~often]
+                at = [0, *np.searchsorted(rare, pivots).tolist(), len(rare)]
                 c += [key] * FRAGMENTS
                 f += range(FRAGMENTS)
-                p += [s[i:j].tobytes() for i, j in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(p, pa.binary())], names=["class", "fragment", "part"])
+                p += [*(rare[i:j].tobytes() for i, j in zip(at, at[1:])), s[often].tobytes()]
+                if len(p) >= 512:
+                    yield rows(c, f, p)
+                    c, f, p = [], [], []
+            if p:
+                yield rows(c, f, p)
+
+    def rows(c: list, f: list, p: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(p, pa.binary())], names=["class", "fragment", "part"])
 
-    all_sets = _docs(docs).mapInArrow(run, "class long, whole binary")
-    found = all_sets.join(F.broadcast(wanted) if wanted.count() <= few else wanted.hint("merge"), "class", "left_semi")
-    one = found.groupBy("class").agg(F.first("whole").alias("whole"))  # combined in each task before the shuffle
-    return materialize(one.mapInArrow(cut, "class long, fragment int, part binary"), "fragments")
+    return materialize(wholes.mapInArrow(cut, "class long, fragment int, part binary").where("length(part) > 0"), "fragments")
 
 
 def _fits(percent: int) -> Column:
@@ -184,68 +258,136 @@ def _able(counted: DataFrame, percent: int) -> DataFrame:
     """
     least = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
     rest = f"({percent} * greatest(na, nb) + 99) div 100 - 1"
-    return counted.where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b")
+    return counted.where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b", "na", "nb")
 
 
-def _count(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: overlaps counted fragment by fragment, summed per pair."""
+def _count(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) that link: overlaps counted fragment by fragment, summed per pair."""
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            got = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) if x and y else 0 for x, y in zip(left, right)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.int64())], names=["a", "b", "overlap"])
+            left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            got = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(left, right)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(got, pa.int64())], names=["a", "b", "na", "nb", "overlap"])
 
     a = parts.select(F.col("class").alias("a"), "fragment", F.col("part").alias("pa"))
     b = parts.select(F.col("class").alias("b"), "fragment", F.col("part").alias("pb"))
-    met = pairs.select("a", "b").join(b, "b").join(a, ["a", "fragment"]).select("a", "b", "pa", "pb")
-    summed = met.mapInArrow(overlap, "a long, b long, overlap long").groupBy("a", "b").agg(F.sum("overlap").alias("o"))
-    sa, sb = sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), sizes.select(F.col("class").alias("b"), F.col("n").alias("nb"))
-    return summed.join(sa, "a").join(sb, "b").where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
+    met = pairs.select("a", "b", "na", "nb").join(b, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
+    summed = met.mapInArrow(overlap, "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
+    return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
 
 
-def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, order_keys: int = 1 << 20, few: int = 1 << 21) -> DataFrame:
+def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
+    """coded (x, p) with their sets -> p, x, n, np, k = |S(x)|, short, long: prefixes of S(x), as bytes; long is null if x links to p.
+
+    short holds an n-gram of S(y) for each link of x to a y that does not link to p; long is the prefix that such a y needs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread = 100 - percent
+        for batch in batches:
+            out: list[tuple] = []
+            for x, p, s, q in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                s, q = np.frombuffer(s, np.uint64), np.frombuffer(q, np.uint64)
+                new, gone = np.setdiff1d(s, q, assume_unique=True), np.setdiff1d(q, s, assume_unique=True)
+                e = np.concatenate([new[_order(new, levels.value)[0]], gone[_order(gone, levels.value)[0]]])
+                k = len(e)
+                links = (100 + percent) * k <= spread * (len(s) + len(q))
+                # |S(x) and S(y)| = (|S(x)| + |S(y)| - |x sym.diff. y|) / 2, and |x sym.diff. y| <= spread / (100 + percent) * (nx + ny)
+                far = len(s) * spread // percent  # a partner's S is shorter by this at most
+                t = max(((100 + percent) * k + spread * (len(q) - len(s))) // (2 * (100 + percent)) + 1, k - far)
+                out.append((p, x, len(s), len(q), k, e[: max(0, k - t + 1)].tobytes(), None if links else e[: far + 1].tobytes()))
+            kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["p", "x", "n", "np", "k", "short", "long"])
+
+    sx, sp = wholes.select(F.col("class").alias("x"), F.col("grams").alias("gx")), wholes.select(F.col("class").alias("p"), F.col("grams").alias("gp"))
+    both = coded.join(sx, "x").join(sp, "p").select("x", "p", "gx", "gp")
+    return materialize(both.mapInArrow(run, "p long, x long, n long, np long, k long, short binary, long binary"), "differences")
+
+
+def _unpack(rows: DataFrame, what: str) -> DataFrame:
+    """p, x, n, k, rest (of S(x) behind the prefix), far, e: a row per n-gram of the prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(b, np.uint64) for b in batch.column(4).to_pylist()]
+            many = np.array([len(p) for p in parts], np.int64)
+            p, x, n, k = (np.repeat(batch.column(i).to_numpy(), many) for i in range(4))
+            far = np.repeat(batch.column(5).to_numpy(zero_copy_only=False), many)
+            e = np.concatenate(parts) if len(parts) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([*map(_long, (p, x, n, k, k - np.repeat(many, many))), pa.array(far), _long(e)], names=["p", "x", "n", "k", "rest", "far", "e"])
+
+    return rows.select("p", "x", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(run, "p long, x long, n long, k long, rest long, far boolean, e long")
+
+
+def _by_differences(open_: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """open_ (x, p: classes of large groups with the group's central class) -> links (a, b) with p, and candidate pairs (a, b, na, nb)."""
+    coded = _differences(open_, wholes, percent, levels)
+    straight = coded.where("long IS NULL AND x <> p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
+    root = roots.select(F.col("node").alias("x"), "root")
+    rooted = materialize(coded.join(root, "x", "left").select("p", "x", "n", "k", "short", "long", F.coalesce("root", "x").alias("root")), "rooted")
+    names = {"x": "y", "n": "ny", "k": "ky", "rest": "ry", "far": "far_y"}
+    lo, hi = _unpack(rooted, "short").withColumnsRenamed(names), _unpack(rooted, "long").drop("far")
+    near = F.expr(f"100 * least(n, ny) >= {percent} * greatest(n, ny) AND {100 + percent} * abs(k - ky) <= {100 - percent} * (n + ny)")
+    met = hi.join(lo, ["p", "e"]).where("x <> y AND NOT (far_y AND x > y)").where(near)
+    counted = met.groupBy("p", "x", "y", "n", "ny", "k", "ky", "rest", "ry").agg(F.count("*").alias("c"))
+    may = counted.where(F.expr(f"2 * {100 + percent} * (c + greatest(rest, ry)) >= {100 + percent} * (k + ky) - {100 - percent} * (n + ny)"))
+    rx, ry = (rooted.select("p", F.col("x").alias(v), F.col("root").alias(f"root_{v}")) for v in "xy")
+    apart = may.join(rx, ["p", "x"]).join(ry, ["p", "y"]).where("root_x <> root_y")
+    a_first = F.col("x") < F.col("y")
+    return straight, apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("ny")).alias("na"), F.when(a_first, F.col("ny")).otherwise(F.col("n")).alias("nb"))
+
+
+def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int = 32, few: int = 1 << 20) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
-    order_keys bounds the frequent n-grams that are broadcast to order the prefixes; few bounds the class list that is
-    broadcast to pick out the sets to verify. Neither bounds the result.
+    direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
+    in a group; larger groups go by their differences. few bounds the row list that is broadcast to pick out the sets to
+    verify. Neither bounds the result.
     """
     spark = docs.sparkSession
     tune(spark)
-    sets, repeated = _sets(docs, n)
-    last = frequent_keys(repeated, order_keys, 6)
+    sets, counts = _sets(docs, n)
+    levels = spark.sparkContext.broadcast(_levels(counts))
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
-    kept = _prefixes(docs, n, percent, last).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
+    kept = _prefixes(sets, percent, levels).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
     members = materialize(kept.select("key", "class", "n").distinct(), "members")
+    release(spark)
+    sizes = materialize(sets.where("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min(F.when(F.col("own"), F.col("uid"))).alias("uid")), "sizes")
     # poles of a group: its most central class (whose prefix n-grams have the most classes; of edited copies that is the original), the least and the greatest
-    shared = materialize(members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared")
+    shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     take = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
-    central = materialize(members.join(shared, "key").groupBy("class").agg((F.sum("m") / F.first(take)).alias("score")), "central")
-    poles = F.array_distinct(F.array(F.max_by("class", "score"), F.min("class"), F.max("class")))
-    ends = materialize(members.join(central, "class").groupBy("key").agg(poles.alias("poles")).where(F.size("poles") > 1), "ends")
-    sizes = materialize(sets.groupBy("class").agg(F.min("n").alias("n")).where("n > 0"), "sizes")
-    met = members.join(ends, "key").select("class", F.array_contains("poles", F.col("class")).alias("own"), F.explode("poles").alias("pole")).where("pole < class OR pole > class AND NOT own")
-    counted = met.groupBy(F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b")).agg(F.count("*").alias("c"))
-    size_of = lambda c, n: sizes.select(F.col("class").alias(c), F.col("n").alias(n))
-    first = materialize(_able(counted.join(size_of("a", "na"), "a").join(size_of("b", "nb"), "b"), percent), "pairs")
-    release(spark)
-    wanted = materialize(first.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
-    parts = _fragments(docs, n, wanted, few)
-    links = materialize(_count(first, parts, sizes, percent), "links")
+    central = materialize(members.join(shared, "key").groupBy("class", "n").agg((F.sum("m") / take).alias("score")).select("class", "score"), "central")
+    poles = F.struct(F.max(F.struct("score", F.col("class").alias("id")))["id"].alias("p"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("m"))
+    ends = materialize(members.join(central, "class").groupBy("key").agg(poles.alias("poles")).select("key", "poles.*").where("lo < hi"), "ends")
+    met = members.join(ends, "key").select("class", "n", F.explode(F.array_distinct(F.array("p", "lo", "hi"))).alias("pole")).where("pole <> class").groupBy("class", "pole", "n").agg(F.count("*").alias("c"))
+    # a pair of two poles is seen from both sides
+    sized = met.join(sizes.select(F.col("class").alias("pole"), F.col("n").alias("np")), "pole")
+    a_first = F.col("class") < F.col("pole")
+    pair = [F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("np")).alias("na"), F.when(a_first, F.col("np")).otherwise(F.col("n")).alias("nb")]
+    first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")), percent), "pairs")
+    ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
+    links = materialize(_count(first, _cut(_wholes(sets, ends_of(first), sizes, few), levels), percent), "links")
     roots = components(links)
-    # groups that lie in several components yet: the pairs across them
+    release(spark)
+    # groups that lie in several components yet
     placed = materialize(members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("key", "class", "n", F.coalesce("root", "class").alias("root")), "placed")
-    split = materialize(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "split")
-    open_ = materialize(placed.join(split, "key", "left_semi"), "open")
-    left = open_.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = open_.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    across = materialize(_able(met, percent).join(first, ["a", "b"], "left_anti"), "across")
-    wanted = materialize(across.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
-    more = _count(across, _fragments(docs, n, wanted, few), sizes, percent)
-    roots = components(links.unionByName(more))
+    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key").join(ends.select("key", "p", "m"), "key")
+    open_ = materialize(placed.join(split, "key"), "open")
+    small = open_.where(F.col("m") <= direct)
+    left = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    right = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    across = _able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent)
+    # a pair that shares a small group and a large one is counted too low here, but the large one finds it
+    large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p").distinct(), "large")
+    ends_of_large = materialize(large.select(F.explode(F.array("x", "p")).alias("class")).distinct(), "wanted")
+    straight, more = _by_differences(large, _wholes(sets, ends_of_large, sizes, few), percent, levels, roots)
+    across = materialize(across.unionByName(more).distinct().join(first, ["a", "b"], "left_anti"), "across")
+    found = _count(across, _cut(_wholes(sets, ends_of(across), sizes, few), levels), percent)
+    roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(straight).unionByName(found))
     release(spark)
     labelled = sets.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
     least = materialize(labelled.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
+    levels.unpersist()
     return labelled.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
