@@ -1,6 +1,6 @@
 """Jaccard self-join on word n-grams by vertical partitioning.
 
-Every document is the set of its distinct n-grams, as 64-bit hashes, computed once; documents with equal sets are one class.
+Every document is the set of its distinct n-grams, as 64-bit hashes; documents with equal sets are one class.
 One global order of n-grams (rare ones first, by a count sketch of fixed size, then by hash) is cut at pivots into fragments.
 Each fragment of a class counts its own overlap with that of a candidate partner, and the sum per pair decides.
 
@@ -33,7 +33,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RollingHash, materialize, mix, partitions, release, text_bytes, tune
+from .common import RollingHash, doc_key, materialize, mix, partitions, release, text_bytes, tune
 from .components import components
 
 _WORD = np.ones(256, bool)
@@ -111,7 +111,9 @@ def _need(n: int, percent: int) -> int:
 
 
 def _docs(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, text, d and h: what a text is found by again, its id as a sort key and a hash."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), doc_key().alias("d"), F.xxhash64(text).alias("h"))
 
 
 def _long(a: np.ndarray) -> pa.Array:
@@ -123,38 +125,33 @@ def _bucket(s: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, class, uid, own, grams: the set where own, once per task and class), and each task's bucket counts (piece, task, at, count)."""
-    names = ["doc_id", "n", "class", "uid", "own", "grams", "piece", "at", "count"]
+    """(doc_id, d, h, n, class) of every document, and each task's bucket counts (piece, task, at, count)."""
+    names = ["doc_id", "d", "h", "n", "class", "piece", "at", "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         counts = np.zeros(1 << SKETCH, np.uint32)
-        task = TaskContext.get().partitionId()
-        uid = task << 32
         for batch in batches:
-            ids = batch.column(0)
             sets = shingle_sets(text_bytes(batch.column(1)), n)
-            sizes, classes, own = [len(s) for s in sets], [set_digest(s) for s in sets], []
-            for size, c in zip(sizes, classes):
-                own.append(size > 0 and c not in seen)
-                if own[-1] and len(seen) < 1 << 20:
-                    seen.add(c)
-            blobs = [s.tobytes() if new else None for s, new in zip(sets, own)]
-            if any(own):
-                counts += np.bincount(_bucket(np.concatenate([s for s, new in zip(sets, own) if new])), minlength=1 << SKETCH).astype(np.uint32)
-            uids = np.arange(uid, uid + len(sets))
-            uid += len(sets)
-            lost = pa.nulls(len(sets), pa.binary())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(uids, pa.int64()), pa.array(own), pa.array(blobs, pa.binary()), pa.nulls(len(sets), pa.int32()), lost, lost], names=names)
+            sizes, classes, new = [len(s) for s in sets], [set_digest(s) for s in sets], []
+            for s, c in zip(sets, classes):
+                if len(s) and c not in seen:
+                    new.append(s)
+                    if len(seen) < 1 << 20:
+                        seen.add(c)
+            if new:
+                counts += np.bincount(_bucket(np.concatenate(new)), minlength=1 << SKETCH).astype(np.uint32)
+            none, lost = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), none, lost, lost], names=names)
+        none, task = pa.nulls(1, pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())
         for piece in range(1 << SKETCH - PIECE):
             part = counts[piece << PIECE : piece + 1 << PIECE]
             at = np.flatnonzero(part).astype("<u2")
             if len(at):
-                none = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, pa.array([task], pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()), pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([part[at].astype("<u4").tobytes()], pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([none, task, none, none, none, pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([part[at].astype("<u4").tobytes()], pa.binary())], names=names)
 
-    both = materialize(_docs(docs).mapInArrow(run, "doc_id long, n long, class long, uid long, own boolean, grams binary, piece int, at binary, count binary"), "sets")
-    return both.where("piece IS NULL").select("doc_id", "n", "class", "uid", "own", "grams"), both.where("piece IS NOT NULL").select("piece", F.col("uid").alias("task"), "at", "count")
+    both = materialize(_docs(docs).mapInArrow(run, "doc_id long, d long, h long, n long, class long, piece int, at binary, count binary"), "sets")
+    return both.where("piece IS NULL").select("doc_id", "d", "h", "n", "class"), both.where("piece IS NOT NULL").select("piece", F.col("d").alias("task"), "at", "count")
 
 
 def _levels(counts: DataFrame) -> np.ndarray:
@@ -191,14 +188,21 @@ def _order(s: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, level[at]
 
 
-def _prefixes(sets: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
-    """The first n-grams of each class: key, class, n, salt. salt is 0 but for frequent n-grams, whose rows it spreads."""
+def _prefixes(docs: DataFrame, n: int, percent: int, levels: Broadcast) -> DataFrame:
+    """The first n-grams of each class: key, class, n, salt. A task gives a class once, however many copies it meets.
+
+    salt is 0 but for frequent n-grams, whose rows it spreads.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             keys, classes, sizes, salts = [], [], [], []
-            for c, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = np.frombuffer(whole, np.uint64)
+            for s in shingle_sets(text_bytes(batch.column(0)), n):
+                if not len(s) or (c := set_digest(s)) in seen:
+                    continue
+                if len(seen) < 1 << 20:
+                    seen.add(c)
                 take = len(s) - _need(len(s), percent) + 1
                 at, level = _order(s, levels.value)
                 keys.append(s[at[:take]])
@@ -208,14 +212,20 @@ def _prefixes(sets: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
             if keys:
                 yield pa.RecordBatch.from_arrays([_long(np.concatenate(x)) for x in (keys, classes, sizes, salts)], names=["key", "class", "n", "salt"])
 
-    return sets.where("own").select("class", "grams").mapInArrow(run, "key long, class long, n long, salt long")
+    return _docs(docs).select("text").mapInArrow(run, "key long, class long, n long, salt long")
 
 
-def _wholes(sets: DataFrame, wanted: DataFrame, sizes: DataFrame, few: int) -> DataFrame:
-    """class, grams of the classes in `wanted`, once each; a small list is broadcast, else it is a shuffled join."""
-    uids = materialize(sizes.join(wanted, "class", "left_semi").select("uid"), "uids")
-    whole = sets.where("own").select("uid", "class", "grams")
-    return whole.join(F.broadcast(uids) if uids.count() <= few else uids, "uid", "left_semi").select("class", "grams")
+def _wholes(docs: DataFrame, n: int, wanted: DataFrame, sizes: DataFrame, few: int) -> DataFrame:
+    """class, grams (the set) of the classes in `wanted`, once each, from one text of each; a small list is broadcast, else it is a shuffled join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(text_bytes(batch.column(1)), n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["class", "grams"])
+
+    places = materialize(sizes.join(wanted, "class", "left_semi").select("class", "at.d", "at.h"), "places")
+    texts = _docs(docs).join(F.broadcast(places) if places.count() <= few else places, ["d", "h"]).select("class", "text")
+    return texts.mapInArrow(run, "class long, grams binary").groupBy("class").agg(F.first("grams").alias("grams"))
 
 
 def _cut(wholes: DataFrame, levels: Broadcast) -> DataFrame:
@@ -342,7 +352,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
     direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
-    in a group; larger groups go by their differences. few bounds the row list that is broadcast to pick out the sets to
+    in a group; larger groups go by their differences. few bounds the list of texts that is broadcast to pick out the sets to
     verify. Neither bounds the result.
     """
     spark = docs.sparkSession
@@ -351,10 +361,10 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     levels = spark.sparkContext.broadcast(_levels(counts))
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
-    kept = _prefixes(sets, percent, levels).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
+    kept = _prefixes(docs, n, percent, levels).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
     members = materialize(kept.select("key", "class", "n").distinct(), "members")
     release(spark)
-    sizes = materialize(sets.where("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min(F.when(F.col("own"), F.col("uid"))).alias("uid")), "sizes")
+    sizes = materialize(sets.where("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min(F.struct("d", "h")).alias("at")), "sizes")
     # poles of a group: its most central class (whose prefix n-grams have the most classes; of edited copies that is the original), the least and the greatest
     shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     take = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
@@ -368,7 +378,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     pair = [F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("np")).alias("na"), F.when(a_first, F.col("np")).otherwise(F.col("n")).alias("nb")]
     first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")), percent), "pairs")
     ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
-    links = materialize(_count(first, _cut(_wholes(sets, ends_of(first), sizes, few), levels), percent), "links")
+    links = materialize(_count(first, _cut(_wholes(docs, n, ends_of(first), sizes, few), levels), percent), "links")
     roots = components(links)
     release(spark)
     # groups that lie in several components yet
@@ -382,9 +392,9 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     # a pair that shares a small group and a large one is counted too low here, but the large one finds it
     large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p").distinct(), "large")
     ends_of_large = materialize(large.select(F.explode(F.array("x", "p")).alias("class")).distinct(), "wanted")
-    straight, more = _by_differences(large, _wholes(sets, ends_of_large, sizes, few), percent, levels, roots)
+    straight, more = _by_differences(large, _wholes(docs, n, ends_of_large, sizes, few), percent, levels, roots)
     across = materialize(across.unionByName(more).distinct().join(first, ["a", "b"], "left_anti"), "across")
-    found = _count(across, _cut(_wholes(sets, ends_of(across), sizes, few), levels), percent)
+    found = _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent)
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(straight).unionByName(found))
     release(spark)
     labelled = sets.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
