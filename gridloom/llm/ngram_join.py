@@ -42,7 +42,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 FRAGMENTS = 4
 #: The count sketch has 2^SKETCH buckets, whatever the corpus; they are sent in pieces of 2^PIECE.
-SKETCH, PIECE = 20, 14
+SKETCH, PIECE = 21, 14
 
 
 def shingle_sets(texts: list[np.ndarray], n: int = 5) -> list[np.ndarray]:
@@ -145,15 +145,24 @@ def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), none, lost, lost], names=names)
         none, task = pa.nulls(1, pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())
         for piece in range(1 << SKETCH - PIECE):
-            part = counts[piece << PIECE : piece + 1 << PIECE]
-            at = np.flatnonzero(part).astype("<u2")
-            if len(at):
-                yield pa.RecordBatch.from_arrays([none, task, none, none, none, pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([part[at].astype("<u4").tobytes()], pa.binary())], names=names)
+            at, count = _pack(counts[piece << PIECE : piece + 1 << PIECE])
+            if at:
+                yield pa.RecordBatch.from_arrays([none, task, none, none, none, pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=names)
 
     both = materialize(_docs(docs).mapInArrow(run, "doc_id long, d long, h long, n long, class long, piece int, at binary, count binary"), "sets")
     return both.where("piece IS NULL").select("doc_id", "d", "h", "n", "class"), both.where("piece IS NOT NULL").select("piece", F.col("d").alias("task"), "at", "count")
 
 
+def _pack(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Places and values of the counts above 0, in one byte each where they fit, else eight."""
+    at = np.flatnonzero(counts).astype("<u2")
+    return at.tobytes(), counts[at].astype("<u1" if not len(at) or counts.max() < 256 else "<u8").tobytes()
+
+
+def _unpacked(at: bytes, count: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(at, "<u2").astype(np.int64), np.frombuffer(count, "<u1" if 2 * len(count) == len(at) else "<u8")
+
+
 def _levels(counts: DataFrame) -> np.ndarray:
     """A level (uint8) for each bucket: 0 for what is within chance of the mean, then the logarithm of what exceeds it.
 
@@ -166,16 +175,18 @@ def _levels(counts: DataFrame) -> np.ndarray:
             for piece, at, count in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if piece not in held:
                     held[piece] = np.zeros(1 << PIECE, np.uint64)
-                held[piece][np.frombuffer(at, "<u2")] += np.frombuffer(count, "<u4") if len(count) == 2 * len(at) else np.frombuffer(count, "<u8")
+                places, values = _unpacked(at, count)
+                held[piece][places] += values
         for piece, total in held.items():
-            at = np.flatnonzero(total).astype("<u2")
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([total[at].astype("<u8").tobytes()], pa.binary())], names=["piece", "at", "count"])
+            at, count = _pack(total)
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=["piece", "at", "count"])
 
     n, kind = partitions(counts.sparkSession), "piece int, at binary, count binary"
     salted = counts.repartition(n, "piece", F.pmod("task", F.lit(64))).select("piece", "at", "count").mapInArrow(add, kind)
     total = np.zeros(1 << SKETCH, np.float64)
     for row in salted.repartition(n, "piece").mapInArrow(add, kind).collect():
-        total[np.frombuffer(row["at"], "<u2").astype(np.int64) + (row["piece"] << PIECE)] = np.frombuffer(row["count"], "<u8")
+        places, values = _unpacked(row["at"], row["count"])
+        total[places + (row["piece"] << PIECE)] = values
     mean = np.median(total)
     over = np.maximum(0, total - mean - 5 * np.sqrt(mean) - 4)
     return np.where(over > 0, 1 + np.log2(1 + over), 0).astype(np.uint8)
@@ -288,7 +299,7 @@ def _count(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 
 def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
-    """coded (x, p) with their sets -> p, x, n, np, k = |S(x)|, short, long: prefixes of S(x), as bytes; long is null if x links to p.
+    """coded (x, p, root of x) with their sets -> p, x, root, n, k = |S(x)|, short, long: prefixes of S(x), as bytes; long is null if x links to p.
 
     short holds an n-gram of S(y) for each link of x to a y that does not link to p; long is the prefix that such a y needs.
     """
@@ -297,7 +308,7 @@ def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broa
         spread = 100 - percent
         for batch in batches:
             out: list[tuple] = []
-            for x, p, s, q in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for x, p, root, s, q in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 s, q = np.frombuffer(s, np.uint64), np.frombuffer(q, np.uint64)
                 new, gone = np.setdiff1d(s, q, assume_unique=True), np.setdiff1d(q, s, assume_unique=True)
                 e = np.concatenate([new[_order(new, levels.value)[0]], gone[_order(gone, levels.value)[0]]])
@@ -306,13 +317,14 @@ def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broa
                 # |S(x) and S(y)| = (|S(x)| + |S(y)| - |x sym.diff. y|) / 2, and |x sym.diff. y| <= spread / (100 + percent) * (nx + ny)
                 far = len(s) * spread // percent  # a partner's S is shorter by this at most
                 t = max(((100 + percent) * k + spread * (len(q) - len(s))) // (2 * (100 + percent)) + 1, k - far)
-                out.append((p, x, len(s), len(q), k, e[: max(0, k - t + 1)].tobytes(), None if links else e[: far + 1].tobytes()))
+                out.append((p, x, root, len(s), k, e[: max(0, k - t + 1)].tobytes(), None if links else e[: far + 1].tobytes()))
             kinds = [pa.int64()] * 5 + [pa.binary()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["p", "x", "n", "np", "k", "short", "long"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["p", "x", "root", "n", "k", "short", "long"])
 
     sx, sp = wholes.select(F.col("class").alias("x"), F.col("grams").alias("gx")), wholes.select(F.col("class").alias("p"), F.col("grams").alias("gp"))
-    both = coded.join(sx, "x").join(sp, "p").select("x", "p", "gx", "gp")
-    return materialize(both.mapInArrow(run, "p long, x long, n long, np long, k long, short binary, long binary"), "differences")
+    release(coded.sparkSession)
+    both = coded.join(sx, "x").join(sp, "p").select("x", "p", "root", "gx", "gp")
+    return materialize(both.mapInArrow(run, "p long, x long, root long, n long, k long, short binary, long binary"), "differences")
 
 
 def _unpack(rows: DataFrame, what: str) -> DataFrame:
@@ -330,25 +342,24 @@ def _unpack(rows: DataFrame, what: str) -> DataFrame:
     return rows.select("p", "x", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(run, "p long, x long, n long, k long, rest long, far boolean, e long")
 
 
-def _by_differences(open_: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """open_ (x, p: classes of large groups with the group's central class) -> links (a, b) with p, and candidate pairs (a, b, na, nb)."""
-    coded = _differences(open_, wholes, percent, levels)
+def _by_differences(open_: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> tuple[DataFrame, DataFrame]:
+    """open_ (x, p, root: classes of large groups with the group's central class) -> links (a, b) with p, and candidate pairs (a, b, na, nb)."""
+    coded = _differences(open_, materialize(wholes, "wholes"), percent, levels)
+    release(coded.sparkSession)
     straight = coded.where("long IS NULL AND x <> p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
-    root = roots.select(F.col("node").alias("x"), "root")
-    rooted = materialize(coded.join(root, "x", "left").select("p", "x", "n", "k", "short", "long", F.coalesce("root", "x").alias("root")), "rooted")
     names = {"x": "y", "n": "ny", "k": "ky", "rest": "ry", "far": "far_y"}
-    lo, hi = _unpack(rooted, "short").withColumnsRenamed(names), _unpack(rooted, "long").drop("far")
+    lo, hi = _unpack(coded, "short").withColumnsRenamed(names), _unpack(coded, "long").drop("far")
     near = F.expr(f"100 * least(n, ny) >= {percent} * greatest(n, ny) AND {100 + percent} * abs(k - ky) <= {100 - percent} * (n + ny)")
     met = hi.join(lo, ["p", "e"]).where("x <> y AND NOT (far_y AND x > y)").where(near)
     counted = met.groupBy("p", "x", "y", "n", "ny", "k", "ky", "rest", "ry").agg(F.count("*").alias("c"))
     may = counted.where(F.expr(f"2 * {100 + percent} * (c + greatest(rest, ry)) >= {100 + percent} * (k + ky) - {100 - percent} * (n + ny)"))
-    rx, ry = (rooted.select("p", F.col("x").alias(v), F.col("root").alias(f"root_{v}")) for v in "xy")
+    rx, ry = (coded.select("p", F.col("x").alias(v), F.col("root").alias(f"root_{v}")) for v in "xy")
     apart = may.join(rx, ["p", "x"]).join(ry, ["p", "y"]).where("root_x <> root_y")
     a_first = F.col("x") < F.col("y")
     return straight, apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("ny")).alias("na"), F.when(a_first, F.col("ny")).otherwise(F.col("n")).alias("nb"))
 
 
-def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int = 32, few: int = 1 << 20) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int = 48, few: int = 1 << 20) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
     direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
@@ -368,6 +379,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     # poles of a group: its most central class (whose prefix n-grams have the most classes; of edited copies that is the original), the least and the greatest
     shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     take = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
+    release(spark)
     central = materialize(members.join(shared, "key").groupBy("class", "n").agg((F.sum("m") / take).alias("score")).select("class", "score"), "central")
     poles = F.struct(F.max(F.struct("score", F.col("class").alias("id")))["id"].alias("p"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("m"))
     ends = materialize(members.join(central, "class").groupBy("key").agg(poles.alias("poles")).select("key", "poles.*").where("lo < hi"), "ends")
@@ -377,23 +389,29 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     a_first = F.col("class") < F.col("pole")
     pair = [F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("np")).alias("na"), F.when(a_first, F.col("np")).otherwise(F.col("n")).alias("nb")]
     first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")), percent), "pairs")
+    release(spark)
     ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
-    links = materialize(_count(first, _cut(_wholes(docs, n, ends_of(first), sizes, few), levels), percent), "links")
+    parts = _cut(_wholes(docs, n, ends_of(first), sizes, few), levels)
+    release(spark)
+    links = materialize(_count(first, parts, percent), "links")
     roots = components(links)
     release(spark)
     # groups that lie in several components yet
     placed = materialize(members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("key", "class", "n", F.coalesce("root", "class").alias("root")), "placed")
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key").join(ends.select("key", "p", "m"), "key")
     open_ = materialize(placed.join(split, "key"), "open")
+    release(spark)
     small = open_.where(F.col("m") <= direct)
     left = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = _able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent)
+    across = materialize(_able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent), "small")
+    release(spark)
     # a pair that shares a small group and a large one is counted too low here, but the large one finds it
-    large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p").distinct(), "large")
+    large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p", "root").distinct(), "large")
     ends_of_large = materialize(large.select(F.explode(F.array("x", "p")).alias("class")).distinct(), "wanted")
-    straight, more = _by_differences(large, _wholes(docs, n, ends_of_large, sizes, few), percent, levels, roots)
+    straight, more = _by_differences(large, _wholes(docs, n, ends_of_large, sizes, few), percent, levels)
     across = materialize(across.unionByName(more).distinct().join(first, ["a", "b"], "left_anti"), "across")
+    release(spark)
     found = _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent)
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(straight).unionByName(found))
     release(spark)
