@@ -182,7 +182,7 @@ def _levels(counts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=["piece", "at", "count"])
 
     n, kind = partitions(counts.sparkSession), "piece int, at binary, count binary"
-    salted = counts.repartition(n, "piece", F.pmod("task", F.lit(64))).select("piece", "at", "count").mapInArrow(add, kind)
+    salted = counts.repartition(n, "piece", F.pmod("task", F.lit(8))).select("piece", "at", "count").mapInArrow(add, kind)
     total = np.zeros(1 << SKETCH, np.float64)
     for row in salted.repartition(n, "piece").mapInArrow(add, kind).collect():
         places, values = _unpacked(row["at"], row["count"])
@@ -328,41 +328,44 @@ def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broa
 
 
 def _unpack(rows: DataFrame, what: str) -> DataFrame:
-    """p, x, n, k, rest (of S(x) behind the prefix), far, e: a row per n-gram of the prefix."""
+    """p, x, root, n, k, rest (n-grams of S(x) from this one on), far, e: a row per n-gram of the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [np.frombuffer(b, np.uint64) for b in batch.column(4).to_pylist()]
+            parts = [np.frombuffer(b, np.uint64) for b in batch.column(5).to_pylist()]
             many = np.array([len(p) for p in parts], np.int64)
-            p, x, n, k = (np.repeat(batch.column(i).to_numpy(), many) for i in range(4))
-            far = np.repeat(batch.column(5).to_numpy(zero_copy_only=False), many)
+            p, x, root, n, k = (np.repeat(batch.column(i).to_numpy(), many) for i in range(5))
+            far = np.repeat(batch.column(6).to_numpy(zero_copy_only=False), many)
+            at = np.arange(len(p)) - np.repeat(np.cumsum(many) - many, many)
             e = np.concatenate(parts) if len(parts) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*map(_long, (p, x, n, k, k - np.repeat(many, many))), pa.array(far), _long(e)], names=["p", "x", "n", "k", "rest", "far", "e"])
+            yield pa.RecordBatch.from_arrays([*map(_long, (p, x, root, n, k, k - at)), pa.array(far), _long(e)], names=["p", "x", "root", "n", "k", "rest", "far", "e"])
 
-    return rows.select("p", "x", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(run, "p long, x long, n long, k long, rest long, far boolean, e long")
+    return rows.select("p", "x", "root", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(run, "p long, x long, root long, n long, k long, rest long, far boolean, e long")
 
 
 def _by_differences(open_: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> tuple[DataFrame, DataFrame]:
-    """open_ (x, p, root: classes of large groups with the group's central class) -> links (a, b) with p, and candidate pairs (a, b, na, nb)."""
+    """open_ (x, p, root: classes of large groups with the group's central class) -> links (a, b) with p, and candidate pairs (a, b, na, nb).
+
+    A link's first shared n-gram in the order leaves it no more than what follows in the shorter rest; a pair without such an n-gram is none.
+    """
     coded = _differences(open_, materialize(wholes, "wholes"), percent, levels)
     release(coded.sparkSession)
     straight = coded.where("long IS NULL AND x <> p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
-    names = {"x": "y", "n": "ny", "k": "ky", "rest": "ry", "far": "far_y"}
-    lo, hi = _unpack(coded, "short").withColumnsRenamed(names), _unpack(coded, "long").drop("far")
+    lo = _unpack(coded, "short").withColumnsRenamed({"x": "y", "root": "root_y", "n": "ny", "k": "ky", "rest": "ry", "far": "far_y"})
+    hi = _unpack(coded, "long").drop("far")
+    apart = F.expr("x <> y AND root <> root_y AND NOT (far_y AND x > y)")
     near = F.expr(f"100 * least(n, ny) >= {percent} * greatest(n, ny) AND {100 + percent} * abs(k - ky) <= {100 - percent} * (n + ny)")
-    met = hi.join(lo, ["p", "e"]).where("x <> y AND NOT (far_y AND x > y)").where(near)
-    counted = met.groupBy("p", "x", "y", "n", "ny", "k", "ky", "rest", "ry").agg(F.count("*").alias("c"))
-    may = counted.where(F.expr(f"2 * {100 + percent} * (c + greatest(rest, ry)) >= {100 + percent} * (k + ky) - {100 - percent} * (n + ny)"))
-    rx, ry = (coded.select("p", F.col("x").alias(v), F.col("root").alias(f"root_{v}")) for v in "xy")
-    apart = may.join(rx, ["p", "x"]).join(ry, ["p", "y"]).where("root_x <> root_y")
+    enough = F.expr(f"2 * {100 + percent} * least(rest, ry) >= {100 + percent} * (k + ky) - {100 - percent} * (n + ny)")
+    met = hi.join(lo, ["p", "e"]).where(apart & near & enough)
     a_first = F.col("x") < F.col("y")
-    return straight, apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("ny")).alias("na"), F.when(a_first, F.col("ny")).otherwise(F.col("n")).alias("nb"))
+    pair = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("ny")).alias("na"), F.when(a_first, F.col("ny")).otherwise(F.col("n")).alias("nb")]
+    return straight, met.select(*pair).distinct()
 
 
-def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int = 48, few: int = 1 << 20) -> DataFrame:
+def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int = 48, tiny: int = 4, few: int = 1 << 20) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
-    direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
+    Groups of up to `tiny` rows give their pairs at once. direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
     in a group; larger groups go by their differences. few bounds the list of texts that is broadcast to pick out the sets to
     verify. Neither bounds the result.
     """
@@ -370,10 +373,18 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     tune(spark)
     sets, counts = _sets(docs, n)
     levels = spark.sparkContext.broadcast(_levels(counts))
+    release(spark)
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
-    kept = _prefixes(docs, n, percent, levels).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).where("salt <> 0 OR lo < hi")
-    members = materialize(kept.select("key", "class", "n").distinct(), "members")
+    after = F.array(*(F.lead(F.struct("class", "n"), k).over(same.orderBy("class")) for k in range(1, tiny)))
+    kept = _prefixes(docs, n, percent, levels).withColumn("next", after).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).withColumn("m", F.count("*").over(same))
+    is_tiny = F.expr(f"salt = 0 AND m <= {tiny}")
+    kept = materialize(kept.where("salt <> 0 OR lo < hi").select("key", "class", "n", F.when(is_tiny, F.col("next")).alias("next"), is_tiny.alias("tiny")), "kept")
+    release(spark)
+    # groups of up to `tiny` rows: their few pairs at once
+    listed = kept.where("tiny").select(F.col("class").alias("a"), F.col("n").alias("na"), F.explode("next").alias("o")).where("o IS NOT NULL AND o.class <> a")
+    listed = materialize(listed.select("a", F.col("o.class").alias("b"), "na", F.col("o.n").alias("nb")).where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), "listed")
+    members = materialize(kept.where("NOT tiny").select("key", "class", "n").distinct(), "members")
     release(spark)
     sizes = materialize(sets.where("n > 0").groupBy("class").agg(F.min("n").alias("n"), F.min(F.struct("d", "h")).alias("at")), "sizes")
     # poles of a group: its most central class (whose prefix n-grams have the most classes; of edited copies that is the original), the least and the greatest
@@ -388,7 +399,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     sized = met.join(sizes.select(F.col("class").alias("pole"), F.col("n").alias("np")), "pole")
     a_first = F.col("class") < F.col("pole")
     pair = [F.least("class", "pole").alias("a"), F.greatest("class", "pole").alias("b"), F.when(a_first, F.col("n")).otherwise(F.col("np")).alias("na"), F.when(a_first, F.col("np")).otherwise(F.col("n")).alias("nb")]
-    first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")), percent), "pairs")
+    first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")).unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent), "pairs")
     release(spark)
     ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
     parts = _cut(_wholes(docs, n, ends_of(first), sizes, few), levels)
@@ -404,7 +415,8 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     small = open_.where(F.col("m") <= direct)
     left = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = materialize(_able(left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), percent), "small")
+    met = left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    across = materialize(_able(met.unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent), "small")
     release(spark)
     # a pair that shares a small group and a large one is counted too low here, but the large one finds it
     large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p", "root").distinct(), "large")
