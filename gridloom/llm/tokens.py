@@ -20,6 +20,8 @@ PIECES = {
 _PLAIN = {"byte": re.compile(f" [{_LETTERS}]+"), "word": re.compile(f"[{_LETTERS}]+")}
 _BREAK = {"byte": "\u0120", "word": "</w>"}
 END_ID = 2
+#: Cached pieces, some 100 bytes each: beyond these a piece costs more to keep than to encode again.
+ENTRIES = {"byte": 200_000, "word": 500_000}
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -30,12 +32,12 @@ class Encoder:
     Null and empty texts have no ids. The cache is bounded: `entries` pieces of at most `longest` characters.
     """
 
-    def __init__(self, path: str, kind: str, entries: int = 1_000_000, longest: int = 40, group_chars: int = 1_000_000):
+    def __init__(self, path: str, kind: str, entries: int | None = None, longest: int = 40, group_chars: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces, self.plain, self.kind, self.entries, self.longest, self.group_chars = PIECES[kind], _PLAIN[kind].fullmatch, kind, entries, longest, group_chars
+        self.pieces, self.plain, self.kind, self.entries, self.longest, self.group_chars = PIECES[kind], _PLAIN[kind].fullmatch, kind, entries or ENTRIES[kind], longest, group_chars
         self.cache: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.breaks = np.zeros(self.tokenizer.get_vocab_size(), bool)

@@ -325,11 +325,34 @@ def test_licences_in_wrapped_headers(spark):
     assert all(got[i].n_confirmed == len(f.split(",")) for i, (f, _) in enumerate(rows) if f)
 
 
-def test_licence_gate_loses_nothing(spark, none):
+def test_licence_scan_equals_the_ungated_classifier(spark, none):
     model = licences.train(none)
-    for family, weights in model.weights.items():
-        free = sum(v for g, v in weights.items() if v > 0 and not set(model.gate) & set(g.split()))
-        assert 1 / (1 + np.exp(-(free + model.bias[family]))) < model.threshold[family], family
+    assert all(1 / (1 + np.exp(-b)) < model.threshold[f] for f, b in model.bias.items())
+    rng, notices = np.random.default_rng(2), [n for ns in licences.NOTICES.values() for n in ns] + licences.OTHER_NOTICES + licences.OTHER_TEXT
+    texts = []
+    for i in range(300):  # parts of notices among other words
+        w = rng.choice(notices).split()
+        a, b = sorted(rng.integers(0, len(w) + 1, 2).tolist())
+        texts.append(" ".join([prose(i, 3), *w[a : b + 1], prose(i + 7, 2)]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for i, t in enumerate(texts):
+        x = licences._grams(t)
+        x = x if set(x) & set(model.markers) else []
+        z = {f: model.bias[f] + sum(model.weights[f].get(g, 0.0) for g in x) for f in model.bias}
+        able = [f for f in z if round(1 / (1 + np.exp(-z[f])), 6) >= model.threshold[f]]
+        if able:
+            want[i] = min(able, key=lambda f: (f == licences.UNKNOWN, -z[f], f))
+    got = {r.doc_id: r.families for r in licences.scan(df, model).collect() if r.families}
+    assert got == want and len(want) > 60
+
+
+def test_unknown_licences(spark, none):
+    model = licences.train(none)
+    texts = ["Licensed under the Sleepycat License, version 1.1.", "This software is released under the terms of the OpenSSL License.", "All rights reserved.", "The driver lost the license last year.", prose(4, 60)]
+    df = spark.createDataFrame([(i, f"{prose(i, 20)}\n\n{t}\n\n{prose(9 + i, 20)}") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licences.scan(df, model).collect()}
+    assert got == {0: "unknown", 1: "unknown", 2: None, 3: None, 4: None}
 
 
 def test_toxicity(spark, none):
