@@ -33,7 +33,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RollingHash, doc_key, materialize, mix, partitions, release, text_bytes, tune
+from .common import RollingHash, doc_key, materialize, mix, partitions, release, text_bytes, tidy, tune
 from .components import components
 
 _WORD = np.ones(256, bool)
@@ -149,7 +149,7 @@ def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
             if at:
                 yield pa.RecordBatch.from_arrays([none, task, none, none, none, pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=names)
 
-    both = materialize(_docs(docs).mapInArrow(run, "doc_id long, d long, h long, n long, class long, piece int, at binary, count binary"), "sets")
+    both = materialize(_docs(docs).mapInArrow(tidy(run), "doc_id long, d long, h long, n long, class long, piece int, at binary, count binary"), "sets")
     return both.where("piece IS NULL").select("doc_id", "d", "h", "n", "class"), both.where("piece IS NOT NULL").select("piece", F.col("d").alias("task"), "at", "count")
 
 
@@ -182,9 +182,9 @@ def _levels(counts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=["piece", "at", "count"])
 
     n, kind = partitions(counts.sparkSession), "piece int, at binary, count binary"
-    salted = counts.repartition(n, "piece", F.pmod("task", F.lit(8))).select("piece", "at", "count").mapInArrow(add, kind)
+    salted = counts.repartition(n, "piece", F.pmod("task", F.lit(8))).select("piece", "at", "count").mapInArrow(tidy(add), kind)
     total = np.zeros(1 << SKETCH, np.float64)
-    for row in salted.repartition(n, "piece").mapInArrow(add, kind).collect():
+    for row in salted.repartition(n, "piece").mapInArrow(tidy(add), kind).collect():
         places, values = _unpacked(row["at"], row["count"])
         total[places + (row["piece"] << PIECE)] = values
     mean = np.median(total)
@@ -223,7 +223,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, levels: Broadcast) -> DataF
             if keys:
                 yield pa.RecordBatch.from_arrays([_long(np.concatenate(x)) for x in (keys, classes, sizes, salts)], names=["key", "class", "n", "salt"])
 
-    return _docs(docs).select("text").mapInArrow(run, "key long, class long, n long, salt long")
+    return _docs(docs).select("text").mapInArrow(tidy(run), "key long, class long, n long, salt long")
 
 
 def _wholes(docs: DataFrame, n: int, wanted: DataFrame, sizes: DataFrame, few: int) -> DataFrame:
@@ -236,7 +236,7 @@ def _wholes(docs: DataFrame, n: int, wanted: DataFrame, sizes: DataFrame, few: i
 
     places = materialize(sizes.join(wanted, "class", "left_semi").select("class", "at.d", "at.h"), "places")
     texts = _docs(docs).join(F.broadcast(places) if places.count() <= few else places, ["d", "h"]).select("class", "text")
-    return texts.mapInArrow(run, "class long, grams binary").groupBy("class").agg(F.first("grams").alias("grams"))
+    return texts.mapInArrow(tidy(run), "class long, grams binary").groupBy("class").agg(F.first("grams").alias("grams"))
 
 
 def _cut(wholes: DataFrame, levels: Broadcast) -> DataFrame:
@@ -263,7 +263,7 @@ def _cut(wholes: DataFrame, levels: Broadcast) -> DataFrame:
     def rows(c: list, f: list, p: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(p, pa.binary())], names=["class", "fragment", "part"])
 
-    return materialize(wholes.mapInArrow(cut, "class long, fragment int, part binary").where("length(part) > 0"), "fragments")
+    return materialize(wholes.mapInArrow(tidy(cut), "class long, fragment int, part binary").where("length(part) > 0"), "fragments")
 
 
 def _fits(percent: int) -> Column:
@@ -294,7 +294,7 @@ def _count(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     a = parts.select(F.col("class").alias("a"), "fragment", F.col("part").alias("pa"))
     b = parts.select(F.col("class").alias("b"), "fragment", F.col("part").alias("pb"))
     met = pairs.select("a", "b", "na", "nb").join(b, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
-    summed = met.mapInArrow(overlap, "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
+    summed = met.mapInArrow(tidy(overlap), "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
     return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
 
 
@@ -324,7 +324,7 @@ def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broa
     sx, sp = wholes.select(F.col("class").alias("x"), F.col("grams").alias("gx")), wholes.select(F.col("class").alias("p"), F.col("grams").alias("gp"))
     release(coded.sparkSession)
     both = coded.join(sx, "x").join(sp, "p").select("x", "p", "root", "gx", "gp")
-    return materialize(both.mapInArrow(run, "p long, x long, root long, n long, k long, short binary, long binary"), "differences")
+    return materialize(both.mapInArrow(tidy(run), "p long, x long, root long, n long, k long, short binary, long binary"), "differences")
 
 
 def _unpack(rows: DataFrame, what: str) -> DataFrame:
@@ -340,7 +340,7 @@ def _unpack(rows: DataFrame, what: str) -> DataFrame:
             e = np.concatenate(parts) if len(parts) else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([*map(_long, (p, x, root, n, k, k - at)), pa.array(far), _long(e)], names=["p", "x", "root", "n", "k", "rest", "far", "e"])
 
-    return rows.select("p", "x", "root", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(run, "p long, x long, root long, n long, k long, rest long, far boolean, e long")
+    return rows.select("p", "x", "root", "n", "k", what, F.col("long").isNotNull().alias("far")).where(F.col(what).isNotNull()).mapInArrow(tidy(run), "p long, x long, root long, n long, k long, rest long, far boolean, e long")
 
 
 def _by_differences(open_: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, release, tune
+from .common import materialize, partitions, release, tidy, tune
 from .tokens import END_ID, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, path: str, kind: str = "byte", capacity: int =
             d, p, s, n, c = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(p, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), PIECES)
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tune
+from .common import RollingHash, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tidy, tune
 
 COVERED, OPEN, OPEN_FREQUENT, WHOLE = 0, 1, 2, 3
 
@@ -151,7 +151,7 @@ def _survey(docs: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame]
         if held:
             yield counts()
 
-    both = materialize(_rows(docs, length).mapInArrow(run, "d long, hash long, t long, key long, n long"), "survey")
+    both = materialize(_rows(docs, length).mapInArrow(tidy(run), "d long, hash long, t long, key long, n long"), "survey")
     return both.where("d IS NOT NULL").select("d", "hash", "t"), both.where("d IS NULL").select("key", "n")
 
 
@@ -186,7 +186,7 @@ def _anchor_rows(docs: DataFrame, frequent: np.ndarray, length: int, k: int, cla
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, contexts, ds, salts, ts)], names=["key", "context", "d", "salt", "t"])
 
-    return _rows(docs, length, clash).mapInArrow(run, "key long, context long, d long, salt long, t long")
+    return _rows(docs, length, clash).mapInArrow(tidy(run), "key long, context long, d long, salt long, t long")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, rows: int = 250_000, size: int = 2 << 20) -> Iterator[pa.Table]:
@@ -275,7 +275,7 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["kind", "d", "t", "key", "s", "e", "context"])
 
-    return texts.mapInArrow(run, "kind int, d long, t long, key long, s long, e long, context binary")
+    return texts.mapInArrow(tidy(run), "kind int, d long, t long, key long, s long, e long, context binary")
 
 
 def _bundles(length: int):
@@ -334,12 +334,12 @@ def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: in
     copies = materialize(survey.groupBy("hash").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("hash", "d0"), "copies")
     whole = survey.join(copies, "hash").where("d > d0").select("d", F.col("t") if clash else F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("code"), F.lit(WHOLE).alias("flag"))
     met = _anchor_rows(docs, held, length, k, clash).repartition(n, "key", "salt").sortWithinPartitions("key", "salt", "context", "d")
-    judged = met.mapInArrow(_judge, "d long, t long, code long, flag int")
+    judged = met.mapInArrow(tidy(_judge), "d long, t long, code long, flag int")
     listed = judged.unionByName(whole.distinct()).groupBy("d", "t").agg(F.collect_list(F.struct("code", "flag")).alias("codes"))
     found = materialize(_resolve(_rows(docs, length, clash).join(listed.withColumnsRenamed({"d": "ld", "t": "lt"}), (F.col("d") == F.col("ld")) & (F.col("t") == F.col("lt")), "left").select("d", "text", "codes", "t"), length, k), "resolved")
     release(spark)
     open_ = found.where("kind = 1").select("key", "d", "s", "context", "t").repartition(n, "key").sortWithinPartitions("key")
-    matched = open_.mapInArrow(_bundles(length), "d long, t long, s long, e long")
+    matched = open_.mapInArrow(tidy(_bundles(length)), "d long, t long, s long, e long")
     strings = found.where("kind = 2").select("key", "d", "t", "s", "e")
     again = materialize(strings.groupBy("key").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("key", "d0"), "again")
     later = strings.where("e IS NOT NULL").join(again, "key").where("d > d0").select("d", "t", "s", "e")
@@ -382,4 +382,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False
     if not digest_only:
         kinds = dict(docs.dtypes)
         schema += ", kept string" + "".join(f", `{c}` {kinds[c]}" for c in others)
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)

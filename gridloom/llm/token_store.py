@@ -29,7 +29,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_key, materialize, mix, partitions, scratch, tune
+from .common import doc_key, materialize, mix, partitions, scratch, tidy, tune
 from .tokens import END_ID, encoder
 
 DIGEST = 16
@@ -124,7 +124,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
                 out.close()
 
     schema = "doc_id long, n_tokens long, root binary, chunks binary, sizes array<int>, places array<long>, packed array<long>, pack string"
-    spooled = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(spool, schema), "spooled")
+    spooled = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(spool), schema), "spooled")
     each = spooled.select("pack", F.posexplode("places").alias("i", "place"), "chunks", "packed").select(
         F.expr(f"substring(chunks, i * {DIGEST} + 1, {DIGEST})").alias("digest"), "pack", "place", F.col("packed")[F.col("i")].alias("packed")
     )
@@ -158,7 +158,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
             target.close()
 
     owned = owners.select("digest", "pack", "place", "packed").repartition(partitions(spark), "pack").sortWithinPartitions("pack", "place")
-    index = materialize(owned.mapInArrow(compact, "digest binary, pack string, place long, packed long"), "index")
+    index = materialize(owned.mapInArrow(tidy(compact), "digest binary, pack string, place long, packed long"), "index")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = pafs.FileSystem.from_uri(root)
@@ -168,7 +168,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
                     files.delete_file(f"{base}/packs/{name}")
             yield batch
 
-    spooled.select("pack").distinct().mapInArrow(drop, "pack string").write.format("noop").mode("overwrite").save()
+    spooled.select("pack").distinct().mapInArrow(tidy(drop), "pack string").write.format("noop").mode("overwrite").save()
 
     # recipes, in ascending document order, with the ids before each document
     ordered = spooled.select("doc_id", "n_tokens", "root", "chunks", "sizes").repartitionByRange(partitions(spark), doc_key(), "root").sortWithinPartitions(doc_key(), "root").withColumn("part", F.spark_partition_id())
@@ -180,7 +180,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
             part, ids, docs_, roots = (batch.column(k).to_pylist() for k in range(4))
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(ids, pa.int64()), pa.array(docs_, pa.int64()), pa.array([merkle(r) for r in roots], pa.binary())], names=["part", "ids", "docs", "root"])
 
-    manifests = materialize(parts.mapInArrow(manifest, "part int, ids long, docs long, root binary"), "manifest")
+    manifests = materialize(parts.mapInArrow(tidy(manifest), "part int, ids long, docs long, root binary"), "manifest")
     return {"root": root, "width": width, "recipes": recipes, "index": index, "manifest": manifests}
 
 
@@ -250,4 +250,4 @@ def read_store(store: dict[str, DataFrame | str | int], cached_mb: int = 48) ->
             d, s, n_, c, r, v = zip(*out) if out else ((),) * 6
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(n_, pa.int64()), pa.array(c, pa.int64()), pa.array(r, pa.binary()), pa.array(v, pa.bool_())], names=["doc_id", "start", "n_tokens", "ids_crc32", "root", "verified"])
 
-    return flat.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, root binary, verified boolean")
+    return flat.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long, root binary, verified boolean")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, tune
+from .common import materialize, tidy, tune
 
 # Function words by class, in English, German, French and Spanish.
 TARGET = "you your yours yourself u du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti tus usted ustedes vosotros".split()
@@ -165,7 +165,7 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    return sample.mapInArrow(run, "stem string, n1 long, n0 long").groupBy("stem").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return sample.mapInArrow(tidy(run), "stem string, n1 long, n0 long").groupBy("stem").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -205,7 +205,7 @@ def train(labelled: DataFrame, per_label: int = 6000, stems: int = 3000, least:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([lexicon.features(t) for t in batch.column(0).to_pylist()], pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    got = sample.mapInArrow(run, "x array<double>, toxic int").collect()  # at most 2 * per_label rows of ten numbers
+    got = sample.mapInArrow(tidy(run), "x array<double>, toxic int").collect()  # at most 2 * per_label rows of ten numbers
     x, y = np.array([r["x"] for r in got]), np.array([r["toxic"] for r in got], float)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     return ToxicityModel(lexicon.stems, mean, scale, _fit(np.column_stack([np.ones(len(x)), (x - mean) / scale]), y))
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double, predicted int"
     read = docs.select(*keep) if text < len(keep) else docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)
 
 
 def held_out(column: str = "doc_id") -> Column:
