@@ -30,8 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near copies: the one with the smallest id, null first, then by the text's hash; rows that repeat an id and a text are one document."""
-    # range-sorted, so the numbers rise with the ids; each distinct row has its own, so nothing is joined by an id that rows share
-    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    # range-sorted, so the numbers rise with the ids; each distinct row has its own, so nothing is joined by an id that rows share.
+    # texts are no sort keys: the driver samples keys to cut the ranges
+    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
     groups = ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text"))
     gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
