@@ -231,6 +231,22 @@ def test_ngram_jaccard(docs, none, spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard(near).collect()} == brute_jaccard(rows)
 
 
+def test_ngram_jaccard_of_a_large_group(spark):
+    """Several hundred near copies around the threshold, settled by their differences (direct=4), with a very long text and clashing columns."""
+    base, other = prose(50, 120).split(), prose(51, 120).split()
+    rng, rows = np.random.default_rng(8), []
+    for i in range(260):
+        w = list(base if i % 4 else other)
+        for j in rng.choice(len(w), rng.integers(0, 9), replace=False):
+            w[j] = f"w{i}x{j}" if i % 3 else f"shared{j % 5}"
+        rows.append((i, " ".join(w), "x", 1, "y"))
+    rows += [(900, prose(60, 30_000), "x", 1, "y"), (901, " ".join(base[:100]), "x", 1, "y"), (902, " ".join(base[20:]), "x", 1, "y"), (903, None, "x", 1, "y"), (904, "", "x", 1, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string, n int, class string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard(df, direct=4, tiny=2).collect()}
+    assert got == brute_jaccard(rows)
+    assert len({c for _, c in got.values()}) > 20
+
+
 def test_shingles_of_short_texts():
     s = lambda t: len(shingles(np.frombuffer(t.encode(), np.uint8)))
     assert [s(""), s("  \n"), s("one"), s("a b c d"), s("a b c d e"), s("a b c d e f"), s("a a a a a a a")] == [0, 0, 1, 1, 1, 2, 1]
