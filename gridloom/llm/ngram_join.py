@@ -282,8 +282,8 @@ def _able(counted: DataFrame, percent: int) -> DataFrame:
     return counted.where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b", "na", "nb")
 
 
-def _count(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that link: overlaps counted fragment by fragment, summed per pair."""
+def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFrame:
+    """The pairs (a, b, na, nb) that link: overlaps counted fragment by fragment, summed per pair. Up to `few` pairs are broadcast to the parts of b."""
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +293,8 @@ def _count(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
     a = parts.select(F.col("class").alias("a"), "fragment", F.col("part").alias("pa"))
     b = parts.select(F.col("class").alias("b"), "fragment", F.col("part").alias("pb"))
-    met = pairs.select("a", "b", "na", "nb").join(b, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
+    listed = pairs.select("a", "b", "na", "nb")
+    met = b.join(F.broadcast(listed) if pairs.count() <= few else listed, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
     summed = met.mapInArrow(tidy(overlap), "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
     return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
 
@@ -376,13 +377,15 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     release(spark)
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
-    after = F.array(*(F.lead(F.struct("class", "n"), k).over(same.orderBy("class")) for k in range(1, tiny)))
-    kept = _prefixes(docs, n, percent, levels).withColumn("next", after).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).withColumn("m", F.count("*").over(same))
+    # led one column at a time: a struct would be made before the shuffle and go through it
+    led = lambda c, k: F.lead(c, k).over(same.orderBy("class"))
+    after = F.array(*(F.struct(F.col(f"class{k}").alias("class"), F.col(f"n{k}").alias("n")) for k in range(1, tiny)))
+    kept = _prefixes(docs, n, percent, levels).withColumns({f"{c}{k}": led(c, k) for c in ("class", "n") for k in range(1, tiny)}).withColumn("lo", F.min("class").over(same)).withColumn("hi", F.max("class").over(same)).withColumn("m", F.count("*").over(same))
     is_tiny = F.expr(f"salt = 0 AND m <= {tiny}")
-    kept = materialize(kept.where("salt <> 0 OR lo < hi").select("key", "class", "n", F.when(is_tiny, F.col("next")).alias("next"), is_tiny.alias("tiny")), "kept")
+    kept = materialize(kept.where("salt <> 0 OR lo < hi").select("key", "class", "n", F.when(is_tiny, after).alias("next"), is_tiny.alias("tiny")), "kept")
     release(spark)
     # groups of up to `tiny` rows: their few pairs at once
-    listed = kept.where("tiny").select(F.col("class").alias("a"), F.col("n").alias("na"), F.explode("next").alias("o")).where("o IS NOT NULL AND o.class <> a")
+    listed = kept.where("tiny").select(F.col("class").alias("a"), F.col("n").alias("na"), F.explode("next").alias("o")).where("o.class <> a")
     listed = materialize(listed.select("a", F.col("o.class").alias("b"), "na", F.col("o.n").alias("nb")).where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")), "listed")
     members = materialize(kept.where("NOT tiny").select("key", "class", "n").distinct(), "members")
     release(spark)
@@ -404,7 +407,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
     parts = _cut(_wholes(docs, n, ends_of(first), sizes, few), levels)
     release(spark)
-    links = materialize(_count(first, parts, percent), "links")
+    links = materialize(_count(first, parts, percent, few), "links")
     roots = components(links)
     release(spark)
     # groups that lie in several components yet
@@ -424,7 +427,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     straight, more = _by_differences(large, _wholes(docs, n, ends_of_large, sizes, few), percent, levels)
     across = materialize(across.unionByName(more).distinct().join(first, ["a", "b"], "left_anti"), "across")
     release(spark)
-    found = _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent)
+    found = _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent, few)
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(straight).unionByName(found))
     release(spark)
     labelled = sets.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
