@@ -70,6 +70,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def aside(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with every column but the needed ones under a name of its own (no operator uses such names), and the name that each column now has."""
+    names = {c: c if c in needed else f"_own{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restored(names: dict[str, str], without: list[str] | None = None) -> list[Column]:
+    """The columns of a table put aside, under their own names again."""
+    return [F.col(now).alias(c) for c, now in names.items() if c not in (without or [])]
+
+
 def doc_key(column: str = "doc_id") -> Column:
     """The id as a sort key; null counts as the smallest."""
     return F.coalesce(F.col(column).cast("long"), F.lit(-(2**63)))

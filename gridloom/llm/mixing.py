@@ -11,7 +11,8 @@ number of blocks per source) and taken while they fit the part; within the one b
 in hash order while they fit. No source is sorted as a whole, so a source of any size is as good as many small ones.
 
 Results for odd inputs: a null source is a source of its own; null and empty texts have no tokens, never count and come
-once per whole pass; rows with equal ids are taken alike; an empty table gives no rows; columns of the input are kept.
+once per whole pass; rows with equal ids are taken alike; an empty table gives no rows; very long texts are one count each.
+Columns of the input are kept whatever their names, but for n_tokens and copies, which are the operator's.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import aside, materialize, restored
 
 
 def tokens(column: str = "text") -> Column:
@@ -69,6 +70,10 @@ def weights(totals: DataFrame, limit: float | None = 2.0, entropy: float | None
     return rows.select(source.alias("source"), F.col("x.n").alias("n_tokens"), "alpha", F.round(weight, 9).alias("weight"), F.round(weight * F.col("budget") + 1e-6).cast("long").alias("owed"))
 
 
+#: Up to this many sources, the tables of one row per source are broadcast (some 50 MB); more are joined by a shuffle.
+FEW_SOURCES = 200_000
+
+
 def _mixed(column: Column, seed: int) -> Column:
     """A hash of an integer column that any engine can compute, 0 to 2^31 - 2."""
     m = 2147483647
@@ -80,12 +85,15 @@ def _mixed(column: Column, seed: int) -> Column:
 
 def mix_sources(docs: DataFrame, limit: float | None = 2.0, entropy: float | None = None, budget: int | None = None, blocks: int = 1024, seed: int = 7) -> DataFrame:
     """documents -> their rows with n_tokens and copies (how often the mixture has each; 0: left out)."""
-    dealt = docs.withColumn("_h", _mixed(F.col("doc_id").cast("long"), seed)).withColumn("_b", (F.col("_h") % blocks).cast("int"))
+    inner, names = aside(docs, ["doc_id", "text", "source"])
+    dealt = inner.withColumn("_h", _mixed(F.col("doc_id").cast("long"), seed)).withColumn("_b", (F.col("_h") % blocks).cast("int"))
     rows = dealt.withColumn("_n", tokens())
     sizes = materialize(rows.groupBy("source", "_b").agg(F.sum("_n").alias("_bn")), "blocks")
     plan = materialize(weights(sizes.groupBy("source").agg(F.sum("_bn").alias("n_tokens")), limit, entropy, budget), "weights")
     # whole passes, and what is owed of the last; blocks in a random order, at most `blocks` rows a source
-    owed = sizes.join(F.broadcast(plan.select(F.col("source").alias("_s"), "n_tokens", "owed")), F.col("source").eqNullSafe(F.col("_s")))
+    few = plan.count() <= FEW_SOURCES
+    small = F.broadcast if few else lambda df: df
+    owed = sizes.join(small(plan.select(F.col("source").alias("_s"), "n_tokens", "owed")), F.col("source").eqNullSafe(F.col("_s")))
     order = Window.partitionBy("source").orderBy(_mixed(F.col("_b"), seed + 1), "_b")
     before = F.coalesce(F.sum("_bn").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = owed.select(F.col("source").alias("_s"), F.col("_b").alias("_k"), F.expr("owed div n_tokens").alias("_full"), (F.expr("owed % n_tokens") - before).alias("_left"), F.col("_bn").alias("_size"))
@@ -93,12 +101,12 @@ def mix_sources(docs: DataFrame, limit: float | None = 2.0, entropy: float | Non
     # at most blocks x sources rows: a map of fixed size per source, however many documents there are
     joined = rows.join(F.broadcast(placed) if placed.count() <= 1_000_000 else placed, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_k")), "left")
     cut = (F.col("_left") > 0) & (F.col("_left") < F.col("_size"))
-    edge = dealt.join(F.broadcast(placed.where(cut).select("_s", "_k", "_left")), F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_k")))
+    edge = dealt.join(small(placed.where(cut).select("_s", "_k", "_left")), F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_k")))
     edge = edge.select("_s", "_k", "_h", tokens().alias("_n"), "_left")
     inner = Window.partitionBy("_s", "_k").orderBy("_h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     upto = edge.withColumn("_sum", F.sum("_n").over(inner)).where("_sum <= _left").groupBy("_s", "_k").agg(F.max("_h").alias("_last"))
     last = materialize(upto.select(F.col("_s").alias("_s2"), F.col("_k").alias("_k2"), "_last"), "last")
-    joined = joined.join(F.broadcast(last), F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_k") == F.col("_k2")), "left")
+    joined = joined.join(small(last), F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_k") == F.col("_k2")), "left")
     part = F.when(F.col("_left") >= F.col("_size"), 1).when(F.col("_left") > 0, F.when(F.col("_h") <= F.col("_last"), 1).otherwise(0)).otherwise(0)
     copies = F.coalesce(F.col("_full") + F.when(F.col("_n") > 0, part).otherwise(0), F.lit(1)).cast("long")
-    return joined.select(*docs.columns, F.col("_n").alias("n_tokens"), copies.alias("copies"))
+    return joined.select(*restored(names, ["n_tokens", "copies"]), F.col("_n").alias("n_tokens"), copies.alias("copies"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tidy, tune
+from .common import RollingHash, aside, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tidy, tune
 
 COVERED, OPEN, OPEN_FREQUENT, WHOLE = 0, 1, 2, 3
 
@@ -349,14 +349,16 @@ def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: in
 def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False, **options: int) -> DataFrame:
     """documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text left, with what a cut made undecodable dropped), and the other columns of `docs`.
 
-    digest_only leaves out kept and the other columns.
+    digest_only leaves out kept and the other columns. Other columns may have any name; those named like an output give way to it.
     """
-    spans, clash = repeated_spans(docs, length, **options)
+    inner, names = aside(docs, ["doc_id", "text"])
+    spans, clash = repeated_spans(inner, length, **options)
     release(docs.sparkSession)
     listed = spans.groupBy(F.col("d").alias("_ld"), F.col("t").alias("_lt")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    others = [] if digest_only else [c for c in docs.columns if c not in ("doc_id", "text", "_d", "_t", "_ld", "_lt", "spans", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), doc_key().alias("_d"), _row_key(length, clash).alias("_t"), *others)
-    joined = rows.join(listed, (F.col("_d") == F.col("_ld")) & (F.col("_t") == F.col("_lt")), "left").select("doc_id", "text", "spans", *others)
+    others = [] if digest_only else [c for c in docs.columns if c not in ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
+    own = [names[c] for c in others]
+    rows = inner.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), doc_key().alias("_d"), _row_key(length, clash).alias("_t"), *own)
+    joined = rows.join(listed, (F.col("_d") == F.col("_ld")) & (F.col("_t") == F.col("_lt")), "left").select("doc_id", "text", "spans", *own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -212,9 +212,9 @@ def train(labelled: DataFrame, per_label: int = 6000, stems: int = 3000, least:
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
-    """documents -> doc_id (and the columns named in `keep`), score, predicted."""
+    """documents -> doc_id (or the columns named in `keep`), score, predicted; kept columns of these two names give way to the operator's."""
     tune(docs.sparkSession)
-    keep = keep or ["doc_id"]
+    keep = [c for c in keep or ["doc_id"] if c.lower() not in ("score", "predicted")]
     kinds = dict(docs.dtypes)
     lexicon = Lexicon(model.stems)
     text = keep.index("text") if kinds.get("text") == "string" and "text" in keep else len(keep)
