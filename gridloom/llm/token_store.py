@@ -33,6 +33,8 @@ from .common import doc_key, materialize, mix, partitions, scratch, tidy, tune
 from .tokens import END_ID, encoder
 
 DIGEST = 16
+#: A writing task remembers this many of its chunks (some 50 MB).
+KNOWN_CHUNKS = 200_000
 
 
 def chunk_ends(ids: np.ndarray, mean: int = 1024, least: int = 128, most: int = 8192, window: int = 16) -> list[int]:
@@ -75,6 +77,18 @@ def merkle(leaves: list[bytes]) -> bytes:
     return leaves[0]
 
 
+def _fold(recipes: DataFrame) -> DataFrame:
+    """recipes -> part, ids, docs, root: the counts and the Merkle root over the documents' roots of each part."""
+    parts = recipes.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("docs"), F.transform(F.array_sort(F.collect_list(F.struct("row", "root"))), lambda x: x["root"]).alias("roots"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, ids, docs, roots = (batch.column(k).to_pylist() for k in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(ids, pa.int64()), pa.array(docs, pa.int64()), pa.array([merkle(r) for r in roots], pa.binary())], names=["part", "ids", "docs", "root"])
+
+    return parts.mapInArrow(tidy(fold), "part int, ids long, docs long, root binary")
+
+
 def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2) -> dict[str, DataFrame | str | int]:
     """Encode documents and store their ids in `width` bytes each (an id that needs more is an error); returns the store's tables: recipes, index, manifest, and its root folder and width."""
     spark = docs.sparkSession
@@ -87,7 +101,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
         files, base = pafs.FileSystem.from_uri(root)
         files.create_dir(f"{base}/packs", recursive=True)
         name, out, at = f"{uuid.uuid4().hex}.pack", None, 0
-        known: dict[bytes, tuple[int, int]] = {}
+        known: dict[bytes, tuple[int, int]] = {}  # cleared when full: what is then stored again goes when packs are compacted
         end = np.array([END_ID], "<u4").tobytes()
         frame = zstandard.ZstdCompressor(level=1)
         if enc.tokenizer.get_vocab_size() > 1 << 8 * width:
@@ -102,6 +116,8 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
                         raw = ids[start:e].astype(form).tobytes()
                         key = digest(raw)
                         if key not in known:
+                            if len(known) >= KNOWN_CHUNKS:
+                                known.clear()
                             if out is None:
                                 out = files.open_output_stream(f"{base}/packs/{name}")
                             packed = frame.compress(raw)
@@ -128,7 +144,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
     each = spooled.select("pack", F.posexplode("places").alias("i", "place"), "chunks", "packed").select(
         F.expr(f"substring(chunks, i * {DIGEST} + 1, {DIGEST})").alias("digest"), "pack", "place", F.col("packed")[F.col("i")].alias("packed")
     )
-    # the owner of a digest is its first (pack, place); within a pack it stands once
+    # the owner of a digest is its first (pack, place)
     copies = each.groupBy("digest", "pack", "place", "packed").agg(F.count("*").alias("uses"))
     owners = materialize(copies.groupBy("digest").agg(F.min(F.struct("pack", "place", "packed")).alias("at"), F.sum("uses").alias("uses")).select("digest", "at.*", "uses"), "owners")
 
@@ -173,14 +189,7 @@ def write_store(docs: DataFrame, path: str, kind: str = "word", width: int = 2)
     # recipes, in ascending document order, with the ids before each document
     ordered = spooled.select("doc_id", "n_tokens", "root", "chunks", "sizes").repartitionByRange(partitions(spark), doc_key(), "root").sortWithinPartitions(doc_key(), "root").withColumn("part", F.spark_partition_id())
     recipes = materialize(ordered.withColumn("row", F.monotonically_increasing_id()), "recipes")
-    parts = recipes.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("docs"), F.transform(F.array_sort(F.collect_list(F.struct("row", "root"))), lambda x: x["root"]).alias("roots"))
-
-    def manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part, ids, docs_, roots = (batch.column(k).to_pylist() for k in range(4))
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(ids, pa.int64()), pa.array(docs_, pa.int64()), pa.array([merkle(r) for r in roots], pa.binary())], names=["part", "ids", "docs", "root"])
-
-    manifests = materialize(parts.mapInArrow(tidy(manifest), "part int, ids long, docs long, root binary"), "manifest")
+    manifests = materialize(_fold(recipes), "manifest")
     return {"root": root, "width": width, "recipes": recipes, "index": index, "manifest": manifests}
 
 
@@ -189,20 +198,24 @@ def read_store(store: dict[str, DataFrame | str | int], cached_mb: int = 48) ->
 
     Documents are dealt by the pack that most of their first chunk's neighbours share, and read in the order of their
     places there, so that a task reads a pack almost in sequence; chunks of other packs go through a bounded cache.
-    verified: each chunk's digest and the document's Merkle root agree with the recipe, and the recipe's part with the manifest.
+    verified: each chunk's digest and the document's Merkle root agree with the recipe, and the counts and the Merkle root
+    folded again over the recipe's part agree with the manifest. A chunk that the index lacks leaves its document unverified.
     """
     spark = store["recipes"].sparkSession
     root, form = store["root"], f"<u{store['width']}"
     recipes = store["recipes"]
     each = recipes.select("row", F.posexplode("sizes").alias("i", "size"), "chunks").select("row", "i", F.expr(f"substring(chunks, i * {DIGEST} + 1, {DIGEST})").alias("digest"))
-    placed = each.join(store["index"], "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "digest", "pack", "place", "packed"))).alias("c"))
+    placed = each.join(store["index"], "digest", "left").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "digest", "pack", "place", "packed"))).alias("c"))
     before = Window.orderBy("part")
-    offsets = store["manifest"].select("part", F.coalesce(F.sum("ids").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_start"))
+    again = _fold(recipes).select("part", F.struct("ids", "docs", "root").alias("now"))
+    listed = store["manifest"].join(again, "part", "left").withColumn("sound", F.col("now").eqNullSafe(F.struct("ids", "docs", "root")))
+    offsets = listed.select("part", "sound", F.coalesce(F.sum("ids").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_start"))
     in_part = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    starts = recipes.select("row", "doc_id", "n_tokens", "root", "part", F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0)).alias("within")).join(F.broadcast(offsets) if offsets.count() < 100_000 else offsets, "part")
-    rows = starts.join(placed, "row").select("doc_id", (F.col("part_start") + F.col("within")).alias("start"), "n_tokens", "root", "c")
+    offsets = materialize(offsets, "offsets")
+    starts = recipes.select("row", "doc_id", "n_tokens", "root", "part", F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0)).alias("within")).join(F.broadcast(offsets) if offsets.count() < 100_000 else offsets, "part", "left")
+    rows = starts.join(placed, "row").select("doc_id", (F.col("part_start") + F.col("within")).alias("start"), "n_tokens", "root", F.coalesce("sound", F.lit(False)).alias("sound"), "c")
     dealt = rows.withColumn("home", F.col("c")[0]["pack"]).withColumn("at", F.col("c")[0]["place"]).repartition(partitions(spark), "home", F.floor(F.col("at") / (8 << 20))).sortWithinPartitions("home", "at")
-    flat = dealt.select("doc_id", "start", "n_tokens", "root", F.col("c.digest").alias("digests"), F.col("c.pack").alias("packs"), F.col("c.place").alias("places"), F.col("c.packed").alias("packed"))
+    flat = dealt.select("doc_id", "start", "n_tokens", "root", F.col("c.digest").alias("digests"), F.col("c.pack").alias("packs"), F.col("c.place").alias("places"), F.col("c.packed").alias("packed"), "sound")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = pafs.FileSystem.from_uri(root)
@@ -220,10 +233,12 @@ def read_store(store: dict[str, DataFrame | str | int], cached_mb: int = 48) ->
 
         for batch in batches:
             out = []
-            for doc, start, n, want, digests, packs, places, packed in zip(*(batch.column(k).to_pylist() for k in range(8))):
+            for doc, start, n, want, digests, packs, places, packed, sound in zip(*(batch.column(k).to_pylist() for k in range(9))):
                 leaves, crc, got, i = [], 0, 0, 0
                 while i < len(digests):
-                    if digests[i] in cache:
+                    if packs[i] is None:
+                        raws, j = [], i + 1
+                    elif digests[i] in cache:
                         cache.move_to_end(digests[i])
                         raws, j = [cache[digests[i]]], i + 1
                     else:  # neighbours in a pack are read at once
@@ -246,7 +261,7 @@ def read_store(store: dict[str, DataFrame | str | int], cached_mb: int = 48) ->
                         crc = zlib.crc32(ids.tobytes(), crc)
                         got += len(ids)
                     i = j
-                out.append((doc, start, got, crc, want, leaves == digests and merkle(leaves) == want and got == n))
+                out.append((doc, start, got, crc, want, sound and leaves == digests and merkle(leaves) == want and got == n))
             d, s, n_, c, r, v = zip(*out) if out else ((),) * 6
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(n_, pa.int64()), pa.array(c, pa.int64()), pa.array(r, pa.binary()), pa.array(v, pa.bool_())], names=["doc_id", "start", "n_tokens", "ids_crc32", "root", "verified"])
 
