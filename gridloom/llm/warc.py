@@ -154,13 +154,20 @@ def _first(win: _Window, start: int, end: int) -> int | None:
     return None
 
 
-def read_warc(archives: DataFrame, split_bytes: int = 16 << 20) -> DataFrame:
+def _split_bytes(archives: DataFrame) -> int:
+    """Ranges that give each partition about four of them, within 1 and 64 MiB: archives of any size are read by many tasks."""
+    total = archives.agg(F.sum("bytes")).first()[0] or 0
+    return min(max(total // (4 * partitions(archives.sparkSession)), 1 << 20), 64 << 20)
+
+
+def read_warc(archives: DataFrame, split_bytes: int | None = None) -> DataFrame:
     """archives (path, bytes, root) -> path, place, record_type, record_id, target_uri, payload_digest, payload_bytes, refers_to, payload.
 
     payload is null for revisits; payload_bytes is then what the HTTP header says. A response whose payload does not have
-    its digest is an error.
+    its digest is an error. split_bytes: the ranges' size, None for one from the archives' bytes; results don't depend on it.
     """
     spark = archives.sparkSession
+    split_bytes = split_bytes or _split_bytes(archives)
     tune(spark)
     ranges = archives.select("root", "path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("start"))
     dealt = ranges.repartition(partitions(spark), "path", "start")
