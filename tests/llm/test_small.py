@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("gridloom.llm")
 from hypothesis import given, settings  # noqa: E402
@@ -117,10 +118,35 @@ def test_token_store(docs, none):
     assert token_store.read_store(token_store.write_store(none, vocabulary(WORD_BPE))).count() == 0
 
 
+def test_token_store_finds_a_wrong_manifest_and_missing_chunks(docs):
+    store = token_store.write_store(docs, vocabulary(WORD_BPE))
+    recipes, manifest = store["recipes"], store["manifest"]
+    part = recipes.select("part").first()[0]
+    for wrong in (manifest.withColumn("root", F.when(F.col("part") == part, F.lit(bytes(16))).otherwise(F.col("root"))), manifest.where(F.col("part") != part)):
+        rows = token_store.read_store({**store, "manifest": wrong}).collect()
+        assert len(rows) == len(corpus()) and sum(not r.verified for r in rows) == recipes.where(F.col("part") == part).count()
+    for wrong in (recipes.withColumn("root", F.when(F.col("doc_id") == 8, F.lit(bytes(16))).otherwise(F.col("root"))), recipes.where("doc_id <> 8 OR doc_id IS NULL")):
+        rows = token_store.read_store({**store, "recipes": wrong}).collect()
+        assert not all(r.verified for r in rows)
+    one = store["index"].first()["digest"]
+    rows = token_store.read_store({**store, "index": store["index"].where(F.col("digest") != F.lit(bytes(one)))}).collect()
+    assert len(rows) == len(corpus()) and 0 < sum(not r.verified for r in rows) < len(rows)
+
+
+def test_mixing_with_clashing_names(docs):
+    want = sorted((str(r.doc_id), r.n_tokens, r.copies) for r in mix_sources(docs).collect())
+    clashing = docs
+    for c in ("n_tokens", "copies", "_h", "_b", "_n", "_s", "_k", "_left", "_last", "_own1"):
+        clashing = clashing.withColumn(c, F.lit("theirs"))
+    got = mix_sources(clashing)
+    assert sorted((str(r.doc_id), r.n_tokens, r.copies) for r in got.collect()) == want
+    assert got.where("_h = 'theirs' AND _own1 = 'theirs'").count() == len(want) and got.columns.count("n_tokens") == 1
+
+
 def test_warc(spark):
     rows = [(1, "http://a", "same"), (2, "http://b\r\nX: y", "same"), (3, None, None), (4, "u", ""), (None, "v", "same"), (5, "w", "é" * 4000), (2, "http://b", "same"), (6, "z", prose(8, 20000))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
-    for split in (1 << 24, 200):
+    for split in (None, 1 << 24, 200):
         got = read_warc(write_warc(pages), split).withColumn("p", page_of("record_id")).withColumn("r", page_of("refers_to")).collect()
         assert len(got) == len(rows)
         kinds = collections.Counter((r.p, r.record_type, r.r) for r in got)
