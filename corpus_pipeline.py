@@ -2,7 +2,11 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame and works on all rows that the stage before it kept; run()
 writes each stage's rows to the shared scratch folder and reads them again. All stages but the last return the columns of
-`documents`. Null and empty texts, repeated rows and empty tables pass through as the operators' docstrings say.
+`documents`; those that a stage doesn't need may have any names, as they are put aside under other ones.
+
+Odd inputs, the same in every stage: null and empty texts are never toxic, no one's copy, have no passages, come once and
+are packed as one end id; rows that repeat an id and a text are one document from the second stage on; texts of any length
+are taken whole; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialize
+from gridloom.llm.common import aside, materialize, restored
 from gridloom.llm.mixing import mix_sources
 from gridloom.llm.ngram_join import ngram_jaccard
 from gridloom.llm.packing import pack_documents
@@ -24,38 +28,42 @@ FEW_IDS = 2_000_000
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents with a toxicity score of one half or more; the model learns from this stage's own input."""
-    model = train(labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+    inner, names = aside(docs, ["doc_id", "text"])
+    model = train(labelled(inner, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return score(inner, model, inner.columns).where("predicted = 0").select(*restored(names))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near copies: the one with the smallest id, null first, then by the text's hash; rows that repeat an id and a text are one document."""
     # range-sorted, so the numbers rise with the ids; each distinct row has its own, so nothing is joined by an id that rows share.
     # texts are no sort keys: the driver samples keys to cut the ranges
-    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    inner, names = aside(docs, ["doc_id", "text"])
+    rows = inner.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
     groups = ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text"))
     gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
     kept = rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("_row") == F.col("_gone"), "left_anti")
-    return kept.select(*docs.columns)
+    return kept.select(*restored(names))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts byte strings of 100 that occur earlier in the corpus; a document that loses all its text stays as an empty one."""
-    cut = remove_repeats(docs)
+    inner, names = aside(docs, ["doc_id", "text"])
+    cut = remove_repeats(inner)
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return cut.select(*[changed[c].alias(c) if c in changed else c for c in docs.columns])
+    return cut.select(*[(changed[c] if c in changed else F.col(now)).alias(c) for c, now in names.items()])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Temperature mixing that keeps every document and repeats small sources up to 1.25 times."""
-    mixed = mix_sources(docs, limit=1.25)
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    inner, names = aside(docs, ["doc_id", "text", "source"])
+    mixed = mix_sources(inner, limit=1.25)
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*restored(names))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
-    return pack_documents(docs, vocabulary(BYTE_BPE))
+    return pack_documents(docs.select("doc_id", "text"), vocabulary(BYTE_BPE))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("repeated_passages", drop_repeated_passages), ("mixing", mix), ("packing", pack)]
