@@ -47,7 +47,21 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a text; where white space is dropped, what stands between it (split() also cuts at U+001C to U+001F)."""
+        if self.kind == "word" and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return text.split()
+        return self.pieces.findall(text)
+
     def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
+        if self.kind == "byte":
+            return self._encoded(pieces)
+        parts = {p: self.pieces.findall(p) for p in pieces}  # "word," is "word" and ","
+        found = self._encoded(set().union(*parts.values()).difference(self.cache))
+        found.update([(p, b"".join([found[x] if x in found else self.cache[x] for x in cut])) for p, cut in parts.items() if len(cut) > 1])
+        return found
+
+    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
         plain = list(filter(self.plain, pieces))
         rest = list(pieces.difference(plain))
         found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))}
@@ -62,7 +76,7 @@ class Encoder:
         return found
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        lists = [self.pieces.findall(t) for t in texts]
+        lists = [self._cut(t) for t in texts]
         cache = self.cache
         fresh = self._fresh(set().union(*lists).difference(cache))
         full = len(cache) + len(fresh) > self.entries  # early words are the common ones; later ones then come and go
