@@ -21,7 +21,7 @@ _PLAIN = {"byte": re.compile(f" [{_LETTERS}]+"), "word": re.compile(f"[{_LETTERS
 _BREAK = {"byte": "\u0120", "word": "</w>"}
 END_ID = 2
 #: Cached pieces, some 100 bytes each: beyond these a piece costs more to keep than to encode again.
-ENTRIES = {"byte": 200_000, "word": 500_000}
+ENTRIES = {"byte": 200_000, "word": 1_000_000}
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
 
@@ -34,9 +34,13 @@ class Encoder:
 
     def __init__(self, path: str, kind: str, entries: int | None = None, longest: int = 40, group_chars: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = self.words = Tokenizer.from_file(path)
+        if kind == "word":  # plain words with a space between them need none of the file's patterns, only its lower case, bytes and merges
+            self.words = Tokenizer.from_file(path)
+            self.words.normalizer = normalizers.Lowercase()
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.pieces, self.plain, self.kind, self.entries, self.longest, self.group_chars = PIECES[kind], _PLAIN[kind].fullmatch, kind, entries or ENTRIES[kind], longest, group_chars
         self.cache: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -47,26 +51,12 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _cut(self, text: str) -> list[str]:
-        """The pieces of a text; where white space is dropped, what stands between it (split() also cuts at U+001C to U+001F)."""
-        if self.kind == "word" and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-        return self.pieces.findall(text)
-
     def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
-        if self.kind == "byte":
-            return self._encoded(pieces)
-        parts = {p: self.pieces.findall(p) for p in pieces}  # "word," is "word" and ","
-        found = self._encoded(set().union(*parts.values()).difference(self.cache))
-        found.update([(p, b"".join([found[x] if x in found else self.cache[x] for x in cut])) for p, cut in parts.items() if len(cut) > 1])
-        return found
-
-    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
         plain = list(filter(self.plain, pieces))
         rest = list(pieces.difference(plain))
         found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))}
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([("" if self.kind == "byte" else " ").join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.words.encode_batch_fast([("" if self.kind == "byte" else " ").join(plain)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.breaks[ids])
             if len(cuts) != len(plain):
                 raise ValueError("the tokenizer joined words that were expected to stay apart")
@@ -76,7 +66,7 @@ class Encoder:
         return found
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        lists = [self._cut(t) for t in texts]
+        lists = [self.pieces.findall(t) for t in texts]
         cache = self.cache
         fresh = self._fresh(set().union(*lists).difference(cache))
         full = len(cache) + len(fresh) > self.entries  # early words are the common ones; later ones then come and go
