@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def metres(value: Column) -> Column:
@@ -57,6 +62,54 @@ def lab(red: Column, green: Column, blue: Column) -> tuple[Column, Column, Colum
     return 116 * f(y) - 16, 500 * (f(x) - f(y)), 200 * (f(y) - f(z))
 
 
+def hue_light_saturation(red: Column, green: Column, blue: Column) -> tuple[Column, Column, Column]:
+    """Hue (0 to 1), lightness and saturation of an 8-bit colour; grey has hue and saturation 0."""
+    r, g, b = red / 255, green / 255, blue / 255
+    high, low = F.greatest(r, g, b), F.least(r, g, b)
+    total, spread = high + low, high - low
+    light = total / 2
+    saturation = F.when(spread == 0, 0.0).when(light <= 0.5, spread / total).otherwise(spread / (2 - total))
+    sector = F.when(spread == 0, 0.0).when(r == high, (g - b) / spread).when(g == high, 2 + (b - r) / spread).otherwise(4 + (r - g) / spread)
+    return F.pmod(sector / 6, F.lit(1.0)), light, saturation
+
+
+# Window glass by wall, as block names.
+GLASS = {"dark wall": "minecraft:gray_stained_glass", "warm wall": "minecraft:brown_stained_glass", "other": "minecraft:black_stained_glass"}
+
+
+def window_glass(red: Column, green: Column, blue: Column) -> Column:
+    """Glass for a wall colour: grey on dark walls, brown on saturated orange to brown ones, else black."""
+    hue, light, saturation = hue_light_saturation(red, green, blue)
+    rules = [(GLASS["dark wall"], light < 0.25), (GLASS["warm wall"], (saturation > 0.2) & (hue > 0.02) & (hue < 0.15))]
+    return first_match(rules, F.lit(GLASS["other"]))
+
+
+# A lane's and a parking strip's width in metres, and road classes without parking.
+LANE, PARKING, NO_PARKING = 3.2, 2.4, ("primary", "secondary", "trunk")
+
+
+def half_width(tags: Column) -> Column:
+    """struct(value, how): half a carriageway from its width tag, else from lanes and parking; unreadable widths are as none."""
+    mapped = F.split_part(F.trim(F.element_at(tags, "width")), F.lit(" "), F.lit(1)).try_cast("double")
+    lanes, one_way = F.element_at(tags, "lanes"), F.coalesce(F.element_at(tags, "oneway") == "yes", F.lit(False))
+    count = F.when(lanes.rlike("^[0-9]+$"), lanes.try_cast("int")).otherwise(F.when(one_way, 1).otherwise(2))
+    parking = F.when(F.element_at(tags, "highway").isin(*NO_PARKING), 0.0).otherwise(PARKING)
+    return F.when(mapped.isNotNull(), F.struct((mapped / 2).alias("value"), F.lit("width tag").alias("how"))).otherwise(F.struct(((count * LANE + parking) / 2).alias("value"), F.lit("lanes").alias("how")))
+
+
+@F.pandas_udf(StringType())
+def fold_text(texts: pd.Series) -> pd.Series:
+    """Accents off, case folded, every run of other than letters and digits one space; null stays null."""
+
+    def fold(text: str | None) -> str | None:
+        if text is None:
+            return None
+        plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
+        return re.sub(r"[\W_]+", " ", plain).strip()
+
+    return texts.map(fold)
+
+
 def stable_choice(text: Column, n: int) -> Column:
     """An index below n from the SHA-256 of a text."""
     return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long") % n
@@ -76,5 +129,6 @@ def parse_state(text: Column) -> tuple[Column, Column]:
 
 
 def year_in_name(name: Column) -> Column:
-    """The smallest four-digit year in a name."""
-    return F.array_min(F.transform(F.regexp_extract_all(name, F.lit(r"((?:19|20)\d\d)"), 1), lambda y: y.cast("int")))
+    """The smallest four-digit year in a name; without one, that of a D or B with two digits (2000 on)."""
+    long = F.array_min(F.transform(F.regexp_extract_all(name, F.lit(r"((?:19|20)\d\d)"), 1), lambda y: y.cast("int")))
+    return F.coalesce(long, F.regexp_extract(name, r"[_-][DB](\d\d)(?:_|$)", 1).try_cast("int") + 2000)

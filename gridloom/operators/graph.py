@@ -46,6 +46,50 @@ def cell_components(cells: DataFrame, offsets: list[tuple[int, int]], span: int
     return own.withColumn("id", number("x", "z")).join(labels, "id").select("x", "z", "label")
 
 
+def around(r: int = 1) -> list[tuple[int, int, int]]:
+    """The offsets of a cube without its middle: 26 for r = 1."""
+    side = range(-r, r + 1)
+    return [(a, b, c) for a in side for b in side for c in side if (a, b, c) != (0, 0, 0)]
+
+
+def shifted(voxels: DataFrame, offsets: list[tuple[int, int, int]], *columns: str) -> DataFrame:
+    """Each voxel (x, y, z) with its columns, once at every offset from it."""
+    o = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in offsets]))
+    return voxels.select("x", "y", "z", o.alias("o"), *columns).select((F.col("x") + F.col("o.a")).alias("x"), (F.col("y") + F.col("o.b")).alias("y"), (F.col("z") + F.col("o.c")).alias("z"), *columns)
+
+
+def voxel_components(voxels: DataFrame, span: int = 1 << 20) -> DataFrame:
+    """voxels (x, y, z below span) -> x, y, z, label: components over the 26 neighbours; a label is the least voxel number."""
+    own = voxels.select("x", "y", "z").distinct().withColumn("id", (F.col("x") * span + F.col("z")) * span + F.col("y"))
+    seen = shifted(own, around(), "id").withColumnRenamed("id", "b").join(own, ["x", "y", "z"])
+    return own.join(connected(own.select("id"), seen.select(F.col("id").alias("a"), "b")), "id").select("x", "y", "z", "label")
+
+
+def floating(voxels: DataFrame, grounded: DataFrame, owned: DataFrame, most: int = 2000) -> DataFrame:
+    """label, cells, low: components of at most `most` voxels that rest on no grounded voxel and touch no owned one.
+
+    voxels, grounded and owned have x, y, z. A component rests on the ground when one of its voxels stands right above a
+    grounded voxel; it is attached when one of them is owned or a neighbour of an owned voxel.
+    """
+    parts = checkpointed(voxel_components(voxels))
+    held = grounded.select("x", (F.col("y") + 1).alias("y"), "z").unionByName(shifted(owned, [*around(), (0, 0, 0)])).distinct()
+    safe = parts.join(held, ["x", "y", "z"], "left_semi").select("label").distinct()
+    return parts.join(safe, "label", "left_anti").groupBy("label").agg(F.count("*").alias("cells"), F.min("y").alias("low")).where(F.col("cells") <= most)
+
+
+def seeded_pieces(cells: DataFrame, tile: list[str], wanted: Column, unwanted: Column, span: int = 1 << 24) -> DataFrame:
+    """tile columns, x, z, cells, land_inside: the four-neighbour pieces of each tile's cells that hold a wanted seed.
+
+    Barriers are the cells that the table lacks; pieces don't cross tiles. x, z is a piece's first cell; land_inside tells
+    that an unwanted seed lies in it, which means that the barrier does not part the tile as expected.
+    """
+    own = cells.select(*tile, "x", "z", wanted.alias("_w"), unwanted.alias("_u"), (F.col("x") * span + F.col("z")).alias("id"))
+    seen = neighbours(own.withColumnRenamed("id", "b"), [(1, 0), (-1, 0), (0, 1), (0, -1)], ["b", *tile]).join(own, [*tile, "x", "z"]).select(F.col("id").alias("a"), "b")
+    parts = own.join(connected(own.select("id"), seen), "id").groupBy(*tile, "label")
+    sums = parts.agg(F.count("*").alias("cells"), F.bool_or("_w").alias("_w"), F.bool_or("_u").alias("land_inside")).where("_w")
+    return sums.select(*tile, F.floor(F.col("label") / span).alias("x"), F.pmod("label", F.lit(span)).alias("z"), "cells", "land_inside")
+
+
 def suppress(items: DataFrame, conflicts: DataFrame, order: list[Column]) -> DataFrame:
     """Greedy selection: in the given order an item stays if no better one that stays conflicts with it.
 
