@@ -64,7 +64,7 @@ _MIDDLE = f"({_MU}+{3 * _E1 / 2 - 27 * _E1**3 / 32!r}*sin(2*{_MU})+{21 * _E1**2
 
 
 @query(
-    f"""WITH c AS (SELECT tx*5+2.5::DOUBLE AS lon, radians(tz*5+2.5::DOUBLE) AS p FROM f_tiles), b AS (SELECT lon, floor(({atlas.HALF_MERIDIAN!r}+{AXIS!r}*({M[0]!r}*p-{M[1]!r}*sin(2*p)+{M[2]!r}*sin(4*p)-{M[3]!r}*sin(6*p)))/{atlas.BAND_HEIGHT!r})::BIGINT AS band FROM c),
+    f"""WITH c AS (SELECT tx*0.05::DOUBLE+10 AS lon, radians(tz*0.05::DOUBLE+45) AS p FROM f_tiles), b AS (SELECT lon, floor(({atlas.HALF_MERIDIAN!r}+{AXIS!r}*({M[0]!r}*p-{M[1]!r}*sin(2*p)+{M[2]!r}*sin(4*p)-{M[3]!r}*sin(6*p)))/{atlas.BAND_HEIGHT!r})::BIGINT AS band FROM c),
 n AS (SELECT lon, band, greatest(ceil({2 * 3.141592653589793 * AXIS!r}*cos({_MIDDLE})/sqrt(1-{E2!r}*sin({_MIDDLE})*sin({_MIDDLE}))/{atlas.SPAN}),1)::BIGINT AS n FROM b)
 SELECT printf('b%04d/c%04d', band, floor((lon+180)/360*n)::BIGINT) AS page, count(*)::BIGINT AS tiles FROM n GROUP BY 1""",
     "f_tiles",
@@ -72,7 +72,7 @@ SELECT printf('b%04d/c%04d', band, floor((lon+180)/360*n)::BIGINT) AS page, coun
 def a14_tiles_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile centres by atlas page."""
     t = d.f_tiles(spark, sf_dir)
-    band, column = atlas.page(F.col("tx") * 5 + 2.5, F.col("tz") * 5 + 2.5)
+    band, column = atlas.page(F.col("tx") * 0.05 + 10, F.col("tz") * 0.05 + 45)
     return t.select(atlas.page_id(band, column).alias("page")).groupBy("page").agg(F.count("*").alias("tiles"))
 
 
