@@ -72,3 +72,19 @@ def assemble_rings(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     met = refs.join(nodes, "node").groupBy("way", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "node", "x", "z"))).alias("r"))
     whole = met.where((F.size("r") == F.col("n")) & (F.col("n") >= 4) & (F.col("r")[0]["node"] == F.element_at("r", -1)["node"]))
     return whole.select("way", F.transform("r", lambda p: F.struct(p["x"].cast("double").alias("x"), p["z"].cast("double").alias("z"))).alias("ring"))
+
+
+def roof_gates(mask: DataFrame, model: DataFrame, provider: DataFrame, key: str, least: float = 0.9, outside: float = 0.1, apart: float = 2.0) -> DataFrame:
+    """Whether a roof model agrees with its footprint: key, coverage, outside_share, residual, accepted.
+
+    mask (key, x, z) are footprint cells, model (key, x, z, top) roof cells, provider (key, height) the stated maximum. A
+    footprint without a model has coverage 0 and is not accepted, nor is one with a top that is null, not finite or no
+    whole number; a model without footprint cells is left out.
+    """
+    cells = mask.select(key, "x", "z", F.lit(True).alias("own")).join(model.select(key, "x", "z", "top", F.lit(True).alias("made")), [key, "x", "z"], "full_outer")
+    top = F.when(F.col("own") & F.col("made"), F.col("top").cast("double"))
+    odd = F.col("own") & F.col("made") & (F.col("top").isNull() | ~(F.floor(F.col("top").cast("double")) == F.col("top").cast("double")) | F.isnan(F.col("top").cast("double")))
+    sums = cells.groupBy(key).agg(F.count("own").alias("n"), F.count("made").alias("m"), F.count_if(F.col("own") & F.col("made")).alias("both"), F.max(top).alias("highest"), F.count_if(odd).alias("odd")).where("n > 0")
+    out = sums.join(provider, key).select(key, (F.col("both") / F.col("n")).alias("coverage"), ((F.col("m") - F.col("both")) / F.greatest(F.col("m"), F.lit(1))).alias("outside_share"), (F.col("highest") - F.col("height")).alias("residual"), "odd")
+    good = (F.col("coverage") >= least) & (F.col("outside_share") <= outside) & (F.col("odd") == 0) & (F.abs("residual") <= apart)
+    return out.select(key, "coverage", "outside_share", "residual", F.coalesce(good, F.lit(False)).alias("accepted"))

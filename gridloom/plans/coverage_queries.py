@@ -9,8 +9,11 @@ from gridloom.functions.keys import cell
 from gridloom.operators import coverage, graph, polygons, ranges, rasters
 from gridloom.plans.join_queries import tile_boxes
 from gridloom.plans.registry import query
+from gridloom.plans.rule_queries import crop
 from gridloom.plans.surface_queries import footprint_boxes
 from gridloom.sources import derived as d
+from gridloom.sources import readers
+from gridloom.streaming import jobs
 
 # Survey boxes in cells of 16 m, from the footprints; every fifth has no asset.
 SURVEYS = "SELECT fid, x0//16 AS a, z0//16 AS b, w, d, fid%5<>0 AS asset, owner, 1990+fid%30 AS year, 1+fid%3 AS pixel FROM f_footprints"
@@ -147,3 +150,51 @@ def f19_year_in_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("fid")
     name = F.when(k % 2 == 1, F.concat(F.lit("County_"), (k % 60 + 1950).cast("string"), F.lit("_LAS_2019"))).otherwise(F.concat(F.lit("County_D"), (k % 80 + 10).cast("string"), F.lit("_1")))
     return d.f_footprints(spark, sf_dir).select("fid", attributes.year_in_name(name).alias("year"))
+
+
+@query(
+    """WITH m AS (SELECT fid, x, unnest(range(z0, z0+d)) AS z FROM (SELECT fid, unnest(range(x0, x0+w)) AS x, z0, d FROM f_footprints)), s AS (SELECT fid, x+(fid%3)//2 AS x, z, 10+fid%5-x%2 AS top FROM m),
+j AS (SELECT fid, count(m.x) AS n, count(s.x) AS k, sum((m.x IS NOT NULL AND s.x IS NOT NULL)::INT) AS both_, max(CASE WHEN m.x IS NOT NULL AND s.x IS NOT NULL THEN top END) AS high FROM m FULL JOIN s USING (fid, x, z) GROUP BY 1)
+SELECT fid, both_/n::DOUBLE AS coverage, (k-both_)/k::DOUBLE AS outside_share, (high-10-fid%7)::DOUBLE AS residual, (both_>=0.9*n AND k-both_<=0.1*k AND abs(high-10-fid%7)<=2) AS accepted FROM j""",
+    "f_footprints",
+)
+def f21_roof_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = footprint_boxes(spark, sf_dir).withColumn("rings", F.array(polygons.box_ring(F.col("x0"), F.col("z0"), F.col("x1"), F.col("z1"))))
+    mask, k = polygons.rasterise(shapes, "fid"), F.col("fid")
+    model = mask.select("fid", (F.col("x") + F.when(k % 3 == 2, 1).otherwise(0)).alias("x"), "z", (k % 5 + 10 - F.col("x") % 2).alias("top"))
+    return polygons.roof_gates(mask, model, shapes.select("fid", (k % 7 + 10).alias("height")), "fid")
+
+
+@query("SELECT c_custkey AS pin, c_mktsegment AS kind, ((c_custkey*97)%20480)::BIGINT AS x_dm FROM customer WHERE c_nationkey%2=0")
+def s6_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table as CSV files and back, with stated types, pruned and filtered."""
+    path = jobs.scratch(spark, "csv")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").write.csv(path, header=True)
+    table = readers.csv_table(spark, path, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string", ["c_custkey", "c_mktsegment"], "c_nationkey % 2 = 0")
+    return table.select(F.col("c_custkey").alias("pin"), F.col("c_mktsegment").alias("kind"), ((F.col("c_custkey") * 97) % 20480).alias("x_dm"))
+
+
+@query("SELECT concat('way ',fid) AS name, CAST(split_part(height_tag,' ',1) AS DOUBLE) AS height, concat(x0,',',z0,',0 ',x0+w,',',z0,',0 ',x0+w,',',z0+d,',0 ',x0,',',z0+d,',0 ',x0,',',z0,',0') AS coordinates FROM f_footprints WHERE height_tag IS NOT NULL", "f_footprints")
+def s18_placemarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buildings with a height as XML and back."""
+    b, path = footprint_boxes(spark, sf_dir), jobs.scratch(spark, "xml")
+    corner = lambda x, z: F.struct(F.col(x).alias("lon"), F.col(z).alias("lat"))
+    ring = F.array(corner("x0", "z0"), corner("x1", "z0"), corner("x1", "z1"), corner("x0", "z1"), corner("x0", "z0"))
+    readers.write_placemarks(b.select(F.col("fid").alias("id"), F.lit(None).cast("string").alias("name"), attributes.metres(F.col("height_tag")).alias("height"), ring.alias("ring")), path)
+    return readers.placemarks(spark, path).select("name", F.col("data")["height_m"].cast("double").alias("height"), "coordinates")
+
+
+@query("WITH c AS (SELECT pix, greatest(red,0) AS red, greatest(green,0) AS green FROM f_bands) SELECT pix, CASE WHEN pix%3=0 THEN red END::INT AS red, CASE WHEN pix%3=0 THEN green WHEN pix%3=1 THEN 128 END::INT AS green FROM c WHERE pix%3<2", "f_bands")
+def f2_colour_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours written as #rrggbb or as a name; of named ones only the green part is shown."""
+    two = lambda c: F.lpad(F.hex(F.greatest(F.col(c), F.lit(0))), 2, "0")
+    k = F.col("pix")
+    text = F.when(k % 3 == 0, F.concat(F.lit("#"), two("red"), two("green"), F.lit("00"))).otherwise(F.lit("Grey"))
+    c = d.f_bands(spark, sf_dir).where("pix % 3 < 2").select("pix", attributes.colour(text).alias("c"))
+    return c.select("pix", F.when(k % 3 == 0, F.col("c")[0]).alias("red"), F.col("c")[1].alias("green"))
+
+
+@query("SELECT src, seq::INT AS seq FROM f_points WHERE cls IN (1,6) AND intensity%2=0 AND NOT withheld", "f_points")
+def x2_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's predicate over the table decides which returns are admitted."""
+    return crop(d.f_points(spark, sf_dir), lambda p: p.cls.isin(1, 6) & (p.intensity % 2 == 0) & ~p.withheld).select("src", "seq")

@@ -198,3 +198,27 @@ def roof_faces(spark: SparkSession, path: str) -> DataFrame:
 def inflate(raw: bytes, compression: int) -> bytes:
     """The payload of a region chunk: 1 gzip, 2 zlib, 3 plain."""
     return {1: gzip.decompress, 2: zlib.decompress, 3: bytes}[compression](raw)
+
+
+def csv_table(spark: SparkSession, path: str, schema: str, columns: list[str], where: str = "true") -> DataFrame:
+    """A keyed CSV table with a header: stated types, only the wanted columns and rows. A value that its type can't hold is null."""
+    return spark.read.csv(path, schema=schema, header=True).where(where).select(*columns)
+
+
+def write_placemarks(buildings: DataFrame, path: str) -> None:
+    """buildings (id, name, height, ring of (lon, lat)) -> XML, a Placemark each; rows without a positive height or a closed ring of four points are left out."""
+    ring = F.col("ring")
+    closed = (F.size("ring") >= 4) & (F.element_at(ring, 1) == F.element_at(ring, -1))
+    at = F.array_join(F.transform(ring, lambda p: F.concat_ws(",", p["lon"].cast("string"), p["lat"].cast("string"), F.lit("0"))), " ")
+    data = lambda name, value: F.struct(F.lit(name).alias("_name"), value.cast("string").alias("value"))
+    place = F.struct(F.struct(F.struct(at.alias("coordinates")).alias("LinearRing")).alias("outerBoundaryIs"))
+    rows = buildings.where((F.col("height") > 0) & closed)
+    rows = rows.select(F.coalesce("name", F.concat(F.lit("way "), F.col("id").cast("string"))).alias("name"), F.struct(F.array(data("height_m", F.col("height")), data("source", F.concat(F.lit("way "), F.col("id").cast("string")))).alias("Data")).alias("ExtendedData"), place["outerBoundaryIs"].alias("outerBoundaryIs"))
+    rows.select("name", "ExtendedData", F.struct("outerBoundaryIs").alias("Polygon")).write.format("xml").option("rootTag", "Document").option("rowTag", "Placemark").save(path)
+
+
+def placemarks(spark: SparkSession, path: str) -> DataFrame:
+    """name, data (map), coordinates of each Placemark."""
+    schema = "name string, ExtendedData struct<Data: array<struct<_name: string, value: string>>>, Polygon struct<outerBoundaryIs: struct<LinearRing: struct<coordinates: string>>>"
+    read = spark.read.format("xml").option("rowTag", "Placemark").schema(schema).load(path)
+    return read.select("name", F.map_from_entries("ExtendedData.Data").alias("data"), F.col("Polygon.outerBoundaryIs.LinearRing.coordinates").alias("coordinates"))
