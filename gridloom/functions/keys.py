@@ -54,6 +54,19 @@ def pack_bits(values: Column, bits: int) -> Column:
     return F.transform(words, lambda w: F.aggregate(F.sequence(F.lit(0), F.lit(per - 1)), F.lit(0).cast("long"), lambda s, k: s.bitwiseOR(F.coalesce(F.call_function("shiftleft", F.get(values, w * per + k).cast("long"), (k * bits).cast("int")), F.lit(0).cast("long")))))
 
 
+def unpack_index(words: Column, bits: Column, i: Column) -> Column:
+    """Value i of packed words whose width is a column; null beyond the words."""
+    per = F.floor(F.lit(64) / bits)
+    shifted = F.call_function("shiftrightunsigned", F.get(words, F.floor(i / per).cast("int")), ((i % per) * bits).cast("int"))
+    return shifted.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+
+
+def packed_part(value: Column, bits: Column, i: Column) -> tuple[Column, Column]:
+    """(word, that word's share) of value i: words are the bitwise or of their values' shares."""
+    per = F.floor(F.lit(64) / bits)
+    return F.floor(i / per).cast("int"), F.call_function("shiftleft", value.cast("long"), ((i % per) * bits).cast("int"))
+
+
 def terrain_height(red: Column, green: Column, blue: Column) -> Column:
     """Metres from a terrain-RGB pixel."""
     return red * 256 + green + blue / 256 - 32768
