@@ -9,42 +9,52 @@ from gridloom.streaming import jobs
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table, whatever the number and order of its files: these queries answer for all rows, so they take them in one batch."""
-    return job_events(jobs.read_events(spark, sf_dir, files=None))
+    """The whole table, dealt into files that arrive out of order by up to six hours, one file a batch."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return job_events(jobs.read_events(spark, jobs.deal_files(table, jobs.scratch(spark, "arrivals"))))
 
 
 @query("WITH w AS (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM f_job_events WHERE state='complete') SELECT epoch_us(s)::BIGINT AS start_us, count(*)::BIGINT AS n FROM w GROUP BY 1", "f_job_events")
 def r1_publication_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = jobs.drain(jobs.publication_rate(_events(spark, sf_dir)), "complete")
+    out = jobs.drain(jobs.publication_rate(_events(spark, sf_dir)), "update", ["start"])
     return out.select(F.unix_micros("start").alias("start_us"), "n")
 
 
 @query("WITH w AS (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM f_job_events WHERE state='complete') SELECT epoch_us(s)::BIGINT AS start_us, count(*)::BIGINT AS n, (count(*)>5) AS over FROM w GROUP BY 1", "f_job_events")
 def r3_commit_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = jobs.drain(jobs.commit_budget(_events(spark, sf_dir), 5), "complete")
+    out = jobs.drain(jobs.commit_budget(_events(spark, sf_dir), 5), "update", ["start"])
     return out.select(F.unix_micros("start").alias("start_us"), "n", "over")
 
 
 @query("SELECT tile, stage, state FROM (SELECT *, row_number() OVER (PARTITION BY tile, stage ORDER BY ts DESC, event_id DESC) AS k FROM f_job_events) WHERE k=1", "f_job_events")
 def r5_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.drain(jobs.current_state(_events(spark, sf_dir)), "complete")
+    return jobs.drain(jobs.current_state(_events(spark, sf_dir)), "update", ["tile", "stage"])
 
 
 @query("WITH g AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM f_job_events WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY worker ORDER BY ts, event_id) AS sid FROM g) SELECT worker, epoch_us(min(ts))::BIGINT AS start_us, count(*)::BIGINT AS n, sum((state='failed')::INT)::BIGINT AS failed FROM s GROUP BY worker, sid", "f_job_events")
 def r8_worker_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = jobs.drain(jobs.worker_sessions(_events(spark, sf_dir)), "complete")
-    return out.select("worker", F.unix_micros("start").alias("start_us"), "n", "failed")
-
-
-@query()
+    return jobs.outcomes(jobs.drain(jobs.worker_sessions(_events(spark, sf_dir)), "update", ["worker"]), "start_us")
+
+
+@query(
+    """WITH e AS (SELECT tile, stage, event_id, worker, state = 'running' AS running, epoch_us(ts) AS us, row_number() OVER (PARTITION BY tile, stage ORDER BY ts, event_id) AS k FROM f_job_events WHERE state IN ('running', 'complete')),
+r(tile, stage, k, event_id, owner, expires, outcome) AS (
+  SELECT tile, stage, k, event_id, CASE WHEN running THEN worker END, CASE WHEN running THEN us + 3600000000 ELSE 0 END, CASE WHEN running THEN 'claimed' ELSE 'rejected' END FROM e WHERE k = 1
+  UNION ALL SELECT tile, stage, k, event_id, CASE WHEN takes THEN worker WHEN ends THEN NULL ELSE owner END, CASE WHEN takes THEN us + 3600000000 WHEN ends THEN 0 ELSE expires END,
+    CASE WHEN takes AND held THEN 'renewed' WHEN takes THEN 'claimed' WHEN ends THEN 'completed' ELSE 'rejected' END
+  FROM (SELECT *, running AND (NOT held OR owner = worker) AS takes, NOT running AND held AND owner = worker AS ends
+        FROM (SELECT e.*, r.owner, r.expires, r.owner IS NOT NULL AND e.us < r.expires AS held FROM r JOIN e ON e.tile = r.tile AND e.stage = r.stage AND e.k = r.k + 1)))
+SELECT tile, stage, event_id, outcome FROM r""",
+    "f_job_events",
+)
 def r4_lease_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stateful fencing; tests compare it with a replay."""
-    return jobs.drain(jobs.leases(_events(spark, sf_dir)), "append")
+    """Stateful fencing in event time."""
+    return jobs.outcomes(jobs.drain(jobs.leases(_events(spark, sf_dir)), "update", ["tile", "stage"]), "event_id")
 
 
 @query("WITH c AS (SELECT worker, epoch_us(ts) AS us, lag(epoch_us(ts)) OVER (PARTITION BY worker ORDER BY ts) AS prev FROM f_job_events WHERE state='complete') SELECT worker, prev::BIGINT AS from_us, us::BIGINT AS to_us FROM c WHERE us-prev>7200000000", "f_job_events")
 def r2_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.drain(jobs.stalls(_events(spark, sf_dir)), "append")
+    return jobs.outcomes(jobs.drain(jobs.stalls(_events(spark, sf_dir)), "update", ["worker"]), "from_us")
 
 
 @query("SELECT DISTINCT tile, stage FROM f_job_events WHERE state='complete'", "f_job_events")
@@ -53,12 +63,23 @@ def r7_publish_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.publish_once(done, ["tile", "stage"], jobs.scratch(spark, "published"))
 
 
-@query("WITH r AS (SELECT tile, stage, worker, event_id, row_number() OVER (PARTITION BY tile, stage ORDER BY worker DESC, event_id) AS k FROM f_job_events) SELECT tile, stage, worker AS state FROM r WHERE k=1 AND worker%2=0", "f_job_events")
+@query(
+    """WITH e AS (SELECT tile, stage, epoch_us(ts) // 21600000000 AS layer, worker % 4 AS new, CASE WHEN worker % 4 > 0 THEN worker % 4 - 1 WHEN event_id % 2 = 1 THEN 3 END AS expect, worker, event_id FROM f_job_events),
+w AS (SELECT *, row_number() OVER (PARTITION BY tile, stage ORDER BY layer) AS k FROM (SELECT *, row_number() OVER (PARTITION BY tile, stage, layer ORDER BY worker DESC, event_id) AS j FROM e) WHERE j = 1),
+r(tile, stage, k, state, applied, rejected) AS (
+  SELECT DISTINCT tile, stage, 0::BIGINT, NULL::BIGINT, 0::BIGINT, 0::BIGINT FROM w
+  UNION ALL SELECT w.tile, w.stage, w.k, CASE WHEN w.expect IS NOT DISTINCT FROM r.state THEN new ELSE r.state END, applied + CASE WHEN w.expect IS NOT DISTINCT FROM r.state THEN 1 ELSE 0 END, rejected + CASE WHEN w.expect IS DISTINCT FROM r.state THEN 1 ELSE 0 END
+  FROM r JOIN w ON w.tile = r.tile AND w.stage = r.stage AND w.k = r.k + 1)
+SELECT tile, stage, state, applied, rejected FROM r JOIN (SELECT tile, stage, max(k) AS k FROM w GROUP BY 1, 2) USING (tile, stage, k)""",
+    "f_job_events",
+)
 def r6_edit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edits that expect an empty cell (even workers) apply to the empty world; the others fail their precondition."""
-    e = _events(spark, sf_dir)
-    edits = e.select("tile", "stage", F.col("worker").alias("state"), F.when(F.col("worker") % 2 == 1, F.lit(-1).cast("long")).alias("expect"), F.col("worker").alias("priority"), F.col("event_id").alias("seq"))
-    return jobs.apply_edit_stream(edits, ["tile", "stage"], jobs.scratch(spark, "blocks"))
+    """Edit layers of six hours: state 0 wants an empty cell, or 3 for odd events, and state s wants s - 1; the highest worker of a layer speaks for a cell."""
+    state = F.col("worker") % 4
+    expect = F.when(state > 0, state - 1).when(F.col("event_id") % 2 == 1, F.lit(3).cast("long"))
+    end = F.timestamp_micros((F.floor(F.unix_micros("ts") / 21_600_000_000) + 1) * 21_600_000_000)
+    edits = _events(spark, sf_dir).select("ts", "tile", "stage", end.alias("layer_end"), state.alias("state"), expect.alias("expect"), F.col("worker").alias("priority"), F.col("event_id").alias("seq"))
+    return jobs.outcomes(jobs.drain(jobs.apply_edit_stream(edits, ["tile", "stage"]), "update", ["tile", "stage"]), "applied")
 
 
 @query()

@@ -6,6 +6,8 @@ Each view is a DataFrame here and the same SELECT in SQL (VIEWS) for the oracle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +31,12 @@ def with_views(names: list[str], sql: str) -> str:
     order = []
     for n in names:
         order += [v for v in [*_NEEDS.get(n, []), n] if v not in order]
-    recursive = "RECURSIVE " if " r(" in sql else ""
+    recursive = "RECURSIVE " if re.search(r"\br\(", sql) else ""
     head = ", ".join(f"{n} AS ({VIEWS[n]})" for n in order)
     body = sql.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {recursive}{head}, {body[5:]}"
-    return f"WITH {head} {body}"
+    return f"WITH {recursive}{head} {body}"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

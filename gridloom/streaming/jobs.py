@@ -6,30 +6,42 @@ what there is and gives the result as a table.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def read_events(spark: SparkSession, sf_dir: str, files: int | None = 4) -> DataFrame:
-    """The events table as a stream, so many files to a micro-batch; None: all files that are there are one batch, so that no row is late and none meets a state of later rows."""
-    reader = spark.readStream.schema(EVENTS)
-    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(f"{sf_dir}/events*.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+#: How far rows may come out of order of event time, in the dealt files and in the jobs' watermarks.
+LATE = "6 hours"
 
 
-def drain(stream: DataFrame, mode: str) -> DataFrame:
-    """Run until all available input is read. complete: the last table; append: all rows. Batches are written under their number, so a repeated batch replaces itself."""
+def read_events(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
+    """The Parquet files of a folder or pattern as a stream, so many files to a micro-batch, oldest first."""
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def deal_files(events: DataFrame, path: str, files: int = 4, late_s: int = 6 * 3600) -> str:
+    """Events as files that arrive one after the other, each row up to late_s out of order: the table as a log of arrivals."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    come = us + F.pmod(F.xxhash64("event_id"), F.lit(late_s * 1_000_000))
+    low, high = events.agg(F.min(come), F.max(come)).first()
+    for k in range(files):
+        part = F.lit(0) if low is None or high == low else F.least(F.floor((come - low) * files / (high - low)), F.lit(files - 1))
+        events.where(part == k).coalesce(1).write.mode("append").parquet(f"{path}/{k:04d}")
+    return f"{path}/*"
+
+
+def drain(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
+    """Run until all available input is read. append: all rows; update: of each key the rows of its last batch, and of rows
+    with a column `settled` all settled ones. Batches are written under their number, so a repeated batch replaces itself."""
     spark = stream.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-streams-")
-    path = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = scratch(spark, "stream")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
@@ -39,13 +51,15 @@ def drain(stream: DataFrame, mode: str) -> DataFrame:
     if query.exception():
         raise query.exception()
     rows = spark.read.schema(f"{', '.join(f'`{n}` {t}' for n, t in stream.dtypes)}, batch long").parquet(path)
-    if mode == "complete":
-        rows = rows.where(F.col("batch") == F.lit(rows.agg(F.max("batch")).first()[0]))
+    if mode == "update":
+        newest = rows.groupBy(*keys).agg(F.max("batch").alias("newest"))
+        met = rows.join(newest.select(*(F.col(k).alias(f"_{k}") for k in keys), "newest"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        rows = met.where((F.col("batch") == F.col("newest")) | (F.col("settled") if "settled" in stream.columns else F.lit(False))).select(*rows.columns)
     return rows.drop("batch")
 
 
-def publication_rate(events: DataFrame, width: str = "1 hour", slide: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
-    """Completed tiles per sliding window; what is later than the watermark is dropped."""
+def publication_rate(events: DataFrame, width: str = "1 hour", slide: str = "30 minutes", late: str = LATE) -> DataFrame:
+    """Completed tiles per sliding window, for update mode: windows behind the watermark leave the state, rows later than it are dropped."""
     w = F.window("ts", width, slide)
     done = events.where("state = 'complete'").withWatermark("ts", late).groupBy(w).agg(F.count("*").alias("n"))
     return done.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n")
@@ -56,66 +70,178 @@ def commit_budget(events: DataFrame, budget: int, width: str = "1 hour", slide:
     return publication_rate(events, width, slide).withColumn("over", F.col("n") > budget)
 
 
-def current_state(events: DataFrame, late: str = "1 day") -> DataFrame:
-    """The latest state of each tile and stage; repeated events count once."""
-    once = events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-    best = once.groupBy("tile", "stage").agg(F.max(F.struct("ts", "event_id", "state")).alias("m"))
+def current_state(events: DataFrame) -> DataFrame:
+    """The latest state of each tile and stage, for update mode. A maximum needs neither order nor deduplication; the state has a row per tile and stage."""
+    best = events.groupBy("tile", "stage").agg(F.max(F.struct("ts", "event_id", "state")).alias("m"))
     return best.select("tile", "stage", F.col("m.state").alias("state"))
 
 
-def worker_sessions(events: DataFrame, gap: str = "2 hours") -> DataFrame:
-    """Sessions of each worker with counts of outcomes."""
-    s = F.session_window("ts", gap)
-    out = events.withWatermark("ts", "10 minutes").groupBy(s, "worker").agg(F.count("*").alias("n"), F.count_if(F.col("state") == "failed").alias("failed"))
-    return out.select("worker", F.col("session_window.start").alias("start"), "n", "failed")
-
+class InOrder(StatefulProcessor):
+    """Rows of a key stepped in event time, whatever their order of arrival within the watermark's delay.
 
-def leases(events: DataFrame, ttl_s: int = 3600) -> DataFrame:
-    """Fenced leases per tile and stage: tile, stage, event_id, outcome (claimed, renewed, completed, rejected).
+    Rows wait in the state until the watermark has passed their `at`; then they are stepped for good and leave it. Rows that
+    still wait are stepped on a copy, so each batch also gives the outcome so far, not settled. Every call gives one row with
+    null outcome columns, which replaces what the key showed before. `fold` has start, step(carry, row) -> (carry, outcomes)
+    and open(carry) -> outcomes; a carry is a tuple of longs and nulls.
+    """
 
-    A running event claims a free or expired lease for its worker or renews its own; a complete event counts only for the
-    owner before expiry. State is (owner, expiry) per key; expiry is event time, so late completions are rejected.
+    def __init__(self, fold, columns: list[str], carry: list[str]):
+        self.fold, self.columns, self.names = fold, columns, carry
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", ", ".join(f"{c} long" for c in self.columns))
+        self.carry = handle.getValueState("carry", ", ".join(f"{c} long" for c in self.names))
+
+    def _run(self, key: tuple, fresh: list[tuple], timers) -> pd.DataFrame:
+        passed = timers.getCurrentWatermarkInMs() * 1000
+        rows = sorted([*(tuple(r) for r in self.waiting.get()), *fresh])
+        carry = tuple(self.carry.get()) if self.carry.exists() else self.fold.start
+        done = [r for r in rows if r[0] < passed]
+        wait = rows[len(done) :]
+        out: list[tuple] = [(*key, False, *(None,) * len(self.fold.outcome))]
+        for settled, some in ((True, done), (False, wait)):
+            if not settled:
+                if done:
+                    self.carry.update(carry)
+                if done or fresh:
+                    self.waiting.put(wait) if wait else self.waiting.clear()
+            for row in some:
+                carry, found = self.fold.step(carry, row)
+                out += [(*key, settled, *f) for f in found]
+        out += [(*key, False, *f) for f in self.fold.open(carry)]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if wait:
+            self.handle.registerTimer(wait[0][0] // 1000 + 1)
+        kinds = self.fold.key + ["settled"] + self.fold.outcome
+        table = pd.DataFrame(out, columns=kinds)
+        return table.astype({c: "Int64" for c in self.fold.outcome if c not in self.fold.texts})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield self._run(key, [t for part in rows for t in zip(*(part[c].tolist() for c in self.columns))], timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._run(key, [], timerValues)
+
+    def close(self) -> None:
+        pass
+
+
+def _in_order(events: DataFrame, key: list[str], columns: list[str], fold, carry: list[str], late: str) -> DataFrame:
+    """events with `at` (microseconds) first among the columns; result: key, settled and the fold's outcome, for update mode."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    kinds = dict(events.dtypes)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), "settled boolean", *(f"{c} {'string' if c in fold.texts else 'long'}" for c in fold.outcome)])
+    timed = events.withWatermark("ts", late).select(*key, "ts", *columns)
+    return timed.groupBy(*key).transformWithStateInPandas(InOrder(fold, columns, carry), schema, "update", "EventTime")
+
+
+def outcomes(drained: DataFrame, one: str) -> DataFrame:
+    """What a stream in order came to: without the rows that only replaced earlier ones."""
+    return drained.where(F.col(one).isNotNull()).drop("settled")
+
+
+class _Leases:
+    """Fencing: a running event claims a free or expired lease for its worker or renews its own; a complete event counts only for the owner before expiry."""
+
+    key, outcome, texts, start = ["tile", "stage"], ["event_id", "outcome"], ["outcome"], (None, 0)
+
+    def __init__(self, ttl_us: int):
+        self.ttl_us = ttl_us
+
+    def step(self, carry: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
+        (owner, expires), (us, event_id, worker, running) = carry, row
+        held = owner is not None and us < expires
+        if running and (not held or owner == worker):
+            return (worker, us + self.ttl_us), [(event_id, "renewed" if held else "claimed")]
+        if not running and held and owner == worker:
+            return (None, 0), [(event_id, "completed")]
+        return carry, [(event_id, "rejected")]
+
+    def open(self, carry: tuple) -> list[tuple]:
+        return []
+
+
+def leases(events: DataFrame, ttl_s: int = 3600, late: str = LATE) -> DataFrame:
+    """Fenced leases per tile and stage: tile, stage, settled, event_id, outcome (claimed, renewed, completed, rejected).
+
+    Expiry is event time: late completions are rejected. Events of one microsecond go by event_id.
     """
+    wanted = events.where("state IN ('running', 'complete')").withColumns({"at": F.unix_micros("ts"), "running": (F.col("state") == "running").cast("long")})
+    return _in_order(wanted, ["tile", "stage"], ["at", "event_id", "worker", "running"], _Leases(ttl_s * 1_000_000), ["owner", "expires"], late)
+
+
+class _Stalls:
+    key, outcome, texts, start = ["worker"], ["from_us", "to_us"], [], (None,)
+
+    def __init__(self, stall_us: int):
+        self.stall_us = stall_us
+
+    def step(self, carry: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
+        last, us = carry[0], row[0]
+        return (us,), [(last, us)] if last is not None and us - last > self.stall_us else []
+
+    def open(self, carry: tuple) -> list[tuple]:
+        return []
+
+
+def stalls(events: DataFrame, stall_s: int = 7200, late: str = LATE) -> DataFrame:
+    """worker, settled, from_us, to_us: times between a worker's completed tiles that are longer than a stall; kept for good is the last completion."""
+    done = events.where("state = 'complete'").withColumn("at", F.unix_micros("ts"))
+    return _in_order(done, ["worker"], ["at"], _Stalls(stall_s * 1_000_000), ["last"], late)
+
+
+class _Sessions:
+    key, outcome, texts, start = ["worker"], ["start_us", "n", "failed"], [], (None, 0, 0, 0)
+
+    def __init__(self, gap_us: int):
+        self.gap_us = gap_us
+
+    def step(self, carry: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
+        (start, last, n, failed), (us, bad) = carry, row
+        if start is None or us >= last + self.gap_us:
+            return (us, us, 1, bad), self.open(carry)
+        return (start, us, n + 1, failed + bad), []
+
+    def open(self, carry: tuple) -> list[tuple]:
+        return [] if carry[0] is None else [(carry[0], *carry[2:])]
+
+
+def worker_sessions(events: DataFrame, gap_s: int = 7200, late: str = LATE) -> DataFrame:
+    """Sessions of each worker with counts of outcomes: worker, settled, start_us, n, failed. The session that is open is never settled."""
+    coded = events.withColumns({"at": F.unix_micros("ts"), "bad": (F.col("state") == "failed").cast("long")})
+    return _in_order(coded, ["worker"], ["at", "bad"], _Sessions(gap_s * 1_000_000), ["start", "last", "n", "failed"], late)
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        owner, expires = state.get if state.exists else (None, 0)
-        rows = pd.concat(list(parts)).sort_values(["us", "event_id"])
-        out = []
-        for r in rows.itertuples():
-            held = owner is not None and r.us < expires
-            if r.state == "running" and (not held or owner == r.worker):
-                outcome = "renewed" if held else "claimed"
-                owner, expires = r.worker, r.us + ttl_s * 1_000_000
-            elif r.state == "complete" and held and owner == r.worker:
-                outcome, owner, expires = "completed", None, 0
-            else:
-                outcome = "rejected"
-            out.append((key[0], key[1], r.event_id, outcome))
-        if owner is None:
-            state.remove() if state.exists else None
-        else:
-            state.update((int(owner), int(expires)))
-        yield pd.DataFrame(out, columns=["tile", "stage", "event_id", "outcome"])
-
-    wanted = events.where("state IN ('running', 'complete')").select("tile", "stage", "event_id", "worker", "state", F.unix_micros("ts").alias("us"))
-    return wanted.groupBy("tile", "stage").applyInPandasWithState(step, "tile string, stage long, event_id long, outcome string", "owner long, expires long", "append", GroupStateTimeout.NoTimeout)
-
-
-def stalls(events: DataFrame, stall_s: int = 7200) -> DataFrame:
-    """worker, from_us, to_us: times between a worker's completed tiles that are longer than a stall; state is the last completion."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        out = []
-        for us in pd.concat(list(parts))["us"].sort_values():
-            if last is not None and us - last > stall_s * 1_000_000:
-                out.append((key[0], last, int(us)))
-            last = int(us) if last is None else max(last, int(us))
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["worker", "from_us", "to_us"])
-
-    done = events.where("state = 'complete'").select("worker", F.unix_micros("ts").alias("us"))
-    return done.groupBy("worker").applyInPandasWithState(step, "worker long, from_us long, to_us long", "last long", "append", GroupStateTimeout.NoTimeout)
+
+class _Edits:
+    """Layers in order; of a layer the edit of highest priority, then least seq, counts for a cell, and applies if the cell is as it expects."""
+
+    outcome, texts, start = ["state", "applied", "rejected"], [], (None, -1, 0, 0)
+
+    def __init__(self, key: list[str]):
+        self.key = key
+
+    def step(self, carry: tuple, row: tuple) -> tuple[tuple, list[tuple]]:
+        (state, layer, applied, rejected), (end, _, _, new, expect, empty) = carry, row
+        if end == layer:
+            return carry, []
+        if (state is None) if empty else state == expect:
+            return (new, end, applied + 1, rejected), []
+        return (state, end, applied, rejected + 1), []
+
+    def open(self, carry: tuple) -> list[tuple]:
+        return [(carry[0], carry[2], carry[3])]
+
+
+def apply_edit_stream(edits: DataFrame, keys: list[str], late: str = LATE) -> DataFrame:
+    """Edits (ts, keys, layer_end timestamp, state, expect, priority, seq) -> keys, settled, state, applied, rejected: the world after all layers.
+
+    The state store is the block table, one small carry per cell; a batch touches only its cells. A layer is applied for good
+    when the watermark passes its end, so the order of arrival within the delay does not matter. expect null: an empty cell.
+    """
+    coded = edits.withColumns({"at": F.unix_micros("layer_end"), "rank": -F.col("priority"), "empty": F.col("expect").isNull().cast("long"), "wants": F.coalesce("expect", F.lit(0).cast("long"))})
+    return _in_order(coded, keys, ["at", "rank", "seq", "state", "wants", "empty"], _Edits(keys), ["state", "layer", "applied", "rejected"], late)
 
 
 def publish_once(stream: DataFrame, keys: list[str], path: str) -> DataFrame:
@@ -138,33 +264,9 @@ def publish_once(stream: DataFrame, keys: list[str], path: str) -> DataFrame:
     return spark.read.schema(f"{schema}, batch long").parquet(path).drop("batch")
 
 
-def apply_edit_stream(edits: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """Edit layers (keys, state, expect, priority, seq) applied once each, in order of arrival, to a versioned block table.
-
-    Batch n reads version n and writes version n + 1; a repeated batch writes the same version again.
-    """
-    from gridloom.operators.merges import apply_edits
-    from gridloom.operators.rasters import resolve
-
-    spark = edits.sparkSession
-    kinds = dict(edits.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", state {kinds['state']}"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/v0")
-
-    def write(batch: DataFrame, number: int) -> None:
-        blocks = spark.read.schema(schema).parquet(f"{path}/v{number}")
-        layer = resolve(batch, keys).select(*keys, "state", "expect")
-        apply_edits(blocks, layer, keys)[0].write.mode("overwrite").parquet(f"{path}/v{number + 1}")
-
-    query = edits.writeStream.option("checkpointLocation", f"{path}-state").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
-    last = (query.lastProgress or {}).get("batchId", -1) + 1
-    return spark.read.schema(schema).parquet(f"{path}/v{last}")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-streams-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,8 +1,6 @@
 """Single operators on small tables with known results."""
 
-import os
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,16 +118,3 @@ def test_crowns_do_not_depend_on_the_tile(spark):
     cells = spark.createDataFrame(rows, "x long, z long, top double")
     a, b = (sorted(map(tuple, crowns.segment(cells, "top", 2, 5, t).collect())) for t in (17, 64))
     assert a == b and {c for *_, c in a} == {12 * crowns.SPAN + 12, 25 * crowns.SPAN + 12}
-
-
-@pytest.mark.parametrize("name", ["r5_current_state", "r8_worker_sessions", "r2_stalls", "r6_edit_stream"])
-def test_stream_results_do_not_depend_on_files(spark, tmp_path, name):
-    sf = "/root/testdata/sf0.001"
-    events = pd.read_parquet(f"{sf}/events.parquet").sample(frac=1, random_state=3)
-    for k in range(12):
-        path = tmp_path / f"events-{k:02}.parquet"
-        part = events.iloc[k::12].astype({"ts": "datetime64[us]"})
-        part.to_parquet(path, index=False)
-        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
-    got, want = (sorted(map(str, registry.QUERIES[name](spark, str(d)).collect())) for d in (tmp_path, sf))
-    assert got == want
