@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.rasters import neighbours
+from gridloom.sources.shared import shared_folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint; a folder of our own is set only where none is."""
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-checkpoints-")
-        context.setCheckpointDir(root)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.plans.registry import query
-from gridloom.sources import blocks
+from gridloom.sources import blocks, file_ranges
 from gridloom.sources import derived as d
 from gridloom.streaming.jobs import scratch
 
@@ -62,3 +62,29 @@ def x3_chunk_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
            FROM gridloom_regions, LATERAL region_chunks(content) AS c CROSS JOIN LATERAL chunk_sections(c.payload, c.compression) AS s"""
     )
     return s.groupBy("rx", "rz", "slot", "outcome").agg(F.count("section").alias("sections"))
+
+
+@query(
+    f"""WITH b AS ({_BLOCKS}), c AS (SELECT DISTINCT x >> 4 AS cx, z >> 4 AS cz FROM b)
+SELECT concat('r.', cx >> 5, '.', cz >> 5, '.mca') AS file, count(*) AS chunks, sum((cx & 31) + (cz & 31) * 32 + 1)::BIGINT AS stamps, min((cx & 31) + (cz & 31) * 32)::INT AS first_slot, 2 AS compression, 0::BIGINT AS faults FROM c GROUP BY 1""",
+    "f_points",
+)
+def s11_region_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk listing of region files by their headers: slots, time stamps, compression, faults."""
+    path = scratch(spark, "mca")
+    named = regions(spark, sf_dir).select(F.concat(F.lit("r."), "rx", F.lit("."), "rz", F.lit(".mca")).alias("name"), "content")
+    file_ranges.write_files(named, path).write.format("noop").mode("overwrite").save()
+    file_ranges.register(spark)
+    h = spark.read.format("gridloom_region_headers").option("path", path).load()
+    return h.groupBy(F.element_at(F.split("file", "/"), -1).alias("file")).agg(F.count("slot").alias("chunks"), F.sum(F.col("stamp").cast("long")).alias("stamps"), F.min("slot").alias("first_slot"), F.max("compression").alias("compression"), F.count("error").alias("faults"))
+
+
+@query("SELECT x_cm AS x, z_cm AS z, y_dm AS y, cls, withheld, intensity::INT AS intensity, strip::INT AS strip FROM f_points WHERE x_cm >= 20000 AND x_cm < 90000 AND z_cm > 30000 AND z_cm <= 120000", "f_points")
+def s7_point_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of the point files, by the record ranges that meet it and the columns that are asked for."""
+    path = scratch(spark, "points")
+    p = d.f_points(spark, sf_dir).select(F.col("x_cm").alias("x"), F.col("y_dm").alias("y"), F.col("z_cm").alias("z"), "cls", "withheld", "intensity", "strip")
+    file_ranges.write_points(p, path, files=4)
+    file_ranges.point_index(spark, path, f"{path}-index", records=4000)
+    read = spark.read.format("gridloom_points").schema("x long, z long, y long, cls int, withheld boolean, intensity int, strip int")
+    return read.option("path", path).option("index", f"{path}-index").load().where("x >= 20000 AND x < 90000 AND z > 30000 AND z <= 120000")

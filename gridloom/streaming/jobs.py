@@ -6,7 +6,6 @@ what there is and gives the result as a table.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from gridloom.sources.shared import scratch
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -262,11 +263,3 @@ def publish_once(stream: DataFrame, keys: list[str], path: str) -> DataFrame:
     if query.exception():
         raise query.exception()
     return spark.read.schema(f"{schema}, batch long").parquet(path).drop("batch")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
