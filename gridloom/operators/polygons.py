@@ -88,3 +88,65 @@ def roof_gates(mask: DataFrame, model: DataFrame, provider: DataFrame, key: str,
     out = sums.join(provider, key).select(key, (F.col("both") / F.col("n")).alias("coverage"), ((F.col("m") - F.col("both")) / F.greatest(F.col("m"), F.lit(1))).alias("outside_share"), (F.col("highest") - F.col("height")).alias("residual"), "odd")
     good = (F.col("coverage") >= least) & (F.col("outside_share") <= outside) & (F.col("odd") == 0) & (F.abs("residual") <= apart)
     return out.select(key, "coverage", "outside_share", "residual", F.coalesce(good, F.lit(False)).alias("accepted"))
+
+
+def clip(ring: Column, west: Column, north: Column, east: Column, south: Column) -> Column:
+    """An open ring (array of struct<x, z> doubles) cut to the box, half-plane by half-plane: a fold over the four sides.
+
+    What lies on a side stays. Of a ring that is not convex, parts outside shrink to segments on the box's border, which have
+    no area. Nothing left: an empty array.
+    """
+    side = lambda a, b, c: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), c.cast("double").alias("c"))
+    sides = F.array(side(-1.0, 0.0, -west), side(1.0, 0.0, east), side(0.0, -1.0, -north), side(0.0, 1.0, south))
+    over = lambda p, h: h["a"] * p["x"] + h["b"] * p["z"] - h["c"]
+
+    def corner(before: Column, now: Column, h: Column) -> Column:
+        p, q = over(before, h), over(now, h)
+        t = p / F.when(p != q, p - q)
+        met = F.struct((before["x"] + t * (now["x"] - before["x"])).alias("x"), (before["z"] + t * (now["z"] - before["z"])).alias("z"))
+        return F.when(q <= 0, F.when(p > 0, F.array(met, now)).otherwise(F.array(now))).when(p <= 0, F.array(met)).otherwise(F.array().cast("array<struct<x:double,z:double>>"))
+
+    def cut(r: Column, h: Column) -> Column:
+        n = F.size(r)
+        each = F.transform(F.sequence(F.lit(0), n - 1), lambda i: corner(F.element_at(r, F.when(i == 0, n).otherwise(i)), F.get(r, i), h))
+        return F.when(n > 0, F.flatten(each)).otherwise(r)
+
+    return F.aggregate(sides, ring.cast("array<struct<x:double,z:double>>"), cut)
+
+
+def open_area(ring: Column) -> Column:
+    """Shoelace area of an open ring; 0 for fewer than three corners."""
+    return F.when(F.size(ring) > 2, area(F.concat(ring, F.slice(ring, 1, 1)))).otherwise(0.0)
+
+
+def tile_plan(shapes: DataFrame, key: str, size: int, halo: int = 0) -> DataFrame:
+    """shapes (key, ring: open) -> key, tx, tz, area of the part in the tile, halo bounds, offset and priority (near the origin first).
+
+    A ring's tiles are those of its bounding box in which it has an area. Rings with fewer than three corners have none.
+    """
+    ring = F.col("ring")
+    low = lambda c: F.floor(F.array_min(F.transform(ring, lambda p: p[c])) / size)
+    high = lambda c: F.ceil(F.array_max(F.transform(ring, lambda p: p[c])) / size) - 1
+    span = lambda c: F.explode(F.sequence(low(c), F.greatest(low(c), high(c))))
+    tiles = shapes.where(F.size("ring") > 2).withColumn("tx", span("x")).withColumn("tz", span("z"))
+    west, north = F.col("tx") * size, F.col("tz") * size
+    part = clip(ring, west, north, west + size, north + size)
+    cut = tiles.withColumn("area", F.transform(F.array(part), open_area)[0]).where("area > 0")  # as a lambda's argument a ring is cut once
+    bounds = F.array(west - halo, north - halo, west + (size + halo), north + (size + halo))
+    return cut.select(key, "tx", "tz", "area", bounds.alias("bounds"), F.array(west, north).alias("offset"), (F.pow(F.col("tx") + 0.5, 2) + F.pow(F.col("tz") + 0.5, 2)).alias("priority"))
+
+
+def supercover(segments: DataFrame, key: str, size: int) -> DataFrame:
+    """Segments (key, ax, az, bx, bz: whole numbers) -> key, cx, cz of every cell whose closed square a segment touches, once each.
+
+    Column by column of cells, the segment's extent in a column gives its rows; all comparisons are between whole numbers, so
+    a segment through a corner touches all four cells there. A point is a segment of no length. Numbers up to 10^9 are exact.
+    """
+    s = segments.selectExpr(key, "CASE WHEN ax <= bx THEN ax ELSE bx END AS ax", "CASE WHEN ax <= bx THEN az ELSE bz END AS az", "CASE WHEN ax <= bx THEN bx ELSE ax END AS bx", "CASE WHEN ax <= bx THEN bz ELSE az END AS bz")
+    floor = lambda n, d: f"((({n}) - pmod(({n}), ({d}))) div ({d}))"
+    columns = s.selectExpr("*", f"explode(sequence({floor('ax - 1', size)}, {floor('bx', size)})) AS cx", "bx - ax AS dx", "bz - az AS dz")
+    ends = columns.selectExpr("*", f"greatest(ax, cx * {size}) - ax AS l", f"least(bx, (cx + 1) * {size}) - ax AS r")
+    # z at both ends of the column as numerators over dx; a vertical segment has its own ends over 1
+    over = ends.selectExpr(key, "cx", "CASE WHEN dx = 0 THEN az ELSE az * dx + l * dz END AS p", "CASE WHEN dx = 0 THEN bz ELSE az * dx + r * dz END AS q", f"CASE WHEN dx = 0 THEN 1 ELSE dx END * {size} AS d")
+    rows = over.selectExpr(key, "cx", f"explode(sequence({floor('least(p, q) - 1', 'd')}, {floor('greatest(p, q)', 'd')})) AS cz")
+    return rows.distinct()
