@@ -101,6 +101,17 @@ def w12_distance_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("x", "z", F.round(F.when(~F.isnan("distance"), F.col("distance")), 6).alias("distance"))
 
 
+@query(
+    """WITH k AS (SELECT x, z, top FROM f_coarse WHERE n%7=0), p AS (SELECT a.x, a.z, k.top, row_number() OVER (PARTITION BY a.x, a.z ORDER BY (a.x-k.x)*(a.x-k.x)+(a.z-k.z)*(a.z-k.z), k.z, k.x) AS i FROM f_coarse a JOIN k ON (a.x-k.x)*(a.x-k.x)+(a.z-k.z)*(a.z-k.z)<=64)
+SELECT x, z, top::DOUBLE AS filled FROM p WHERE i=1""",
+    "f_coarse",
+)
+def w12_nearest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell with the top of the nearest known cell within eight, ties to the least z, then x."""
+    c = d.f_coarse(spark, sf_dir).withColumn("top", F.when(F.col("n") % 7 == 0, F.col("top")))
+    return focal.tiled(c, "top", 32, 8, focal.nearest_value(8), "filled").where("filled IS NOT NULL")
+
+
 @query("SELECT a.x, a.z, round(a.top-quantile_cont(b.top,0.5),6)::DOUBLE AS contrast FROM f_coarse a JOIN f_coarse b ON abs(b.x-a.x)<=5 AND abs(b.z-a.z)<=5 GROUP BY a.x, a.z, a.top", "f_coarse")
 def w13_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = focal.tiled(d.f_coarse(spark, sf_dir), "top", 32, 5, focal.contrast(5), "contrast")

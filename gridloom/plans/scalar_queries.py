@@ -89,24 +89,6 @@ def p11_spectral_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.f_bands(spark, sf_dir).select("pix", F.round(n, 9).alias("ndvi"), (F.greatest("red", "green", "blue") < 45).alias("shadow"), F.coalesce(n > 0.3, F.lit(False)).alias("vegetation"))
 
 
-@query(
-    """WITH q AS (SELECT *, (red+green+blue)/3.0 AS bright, greatest(red,green,blue)-least(red,green,blue) AS spread, (nir-red)*1.0/nullif(nir+red,0) AS v, pix%9 AS cover, pix%13=0 AS parking FROM f_bands),
-m AS (SELECT *, coalesce(v<=0.12,false) AND greatest(red,green,blue)>=45 AS bare, coalesce(v>0.3,false) AS lush, bright>=90 AS lit FROM q), g AS (SELECT *, bare AND lit AND spread<22 AS grey FROM m)
-SELECT pix, CASE WHEN cover=5 AND lush THEN 'marsh' WHEN cover=3 AND lush AND NOT parking THEN 'prairie' WHEN cover=4 AND NOT parking AND NOT bare THEN 'field' WHEN parking AND NOT lush THEN 'asphalt' WHEN lit AND coalesce(v<=0.08,false) AND NOT grey AND red>green+6 AND red>blue+18 THEN 'soil' WHEN grey AND bright<140 THEN 'asphalt' WHEN grey THEN 'concrete' ELSE 'keep' END AS class FROM g""",
-    "f_bands",
-)
-def p12_ground_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered rules of which the last one that fits would overwrite the others: written from last to first."""
-    red, green, blue, nir = (F.col(c) for c in ("red", "green", "blue", "nir"))
-    bright, spread = (red + green + blue) / 3.0, F.greatest(red, green, blue) - F.least(red, green, blue)
-    v, cover, parking = rasters.ndvi(red, nir), F.col("pix") % 9, F.col("pix") % 13 == 0
-    known = lambda c: F.coalesce(c, F.lit(False))
-    bare, lush, lit = known(v <= 0.12) & (F.greatest(red, green, blue) >= 45), known(v > 0.3), bright >= 90
-    grey = bare & lit & (spread < 22)
-    rules = [("marsh", (cover == 5) & lush), ("prairie", (cover == 3) & lush & ~parking), ("field", (cover == 4) & ~parking & ~bare), ("asphalt", parking & ~lush), ("soil", lit & known(v <= 0.08) & ~grey & (red > green + 6) & (red > blue + 18)), ("asphalt", grey & (bright < 140)), ("concrete", grey)]
-    return d.f_bands(spark, sf_dir).select("pix", attributes.first_match(rules, F.lit("keep")).alias("class"))
-
-
 @query("SELECT pid, x_dm//160 AS cx, z_dm//160 AS cz, (x_dm//10)//512 AS rx, ((x_dm//160)%32+((z_dm//160)%32)*32)::BIGINT AS slot FROM f_places", "f_places")
 def p3_grid_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, z = F.floor(F.col("x_dm") / 10), F.floor(F.col("z_dm") / 10)
