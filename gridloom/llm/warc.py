@@ -4,14 +4,15 @@ Writer: one gzip member per record (WARC/1.1, an HTTP response block), so archiv
 Equal payloads are found by SHA-1; of those with at least `min_revisit_bytes` bytes the row with the largest id is the
 response, the others are revisits, which hold the HTTP header only and refer to it.
 
-Reader: tasks get byte ranges of the archives, scan them for the gzip magic, decode the record header of each candidate
-and own the records that start inside their range. A range that does not begin a file walks the members from its first
-candidate to the range's end before it trusts it; a walk that breaks off shows a magic inside another member (of an
-archive within a payload, say), and the scan goes on behind it. Records are streamed: one payload at a time is in memory.
+Reader: tasks get byte ranges of the archives, scan them for the gzip magic, decode the record header of each candidate and
+follow the members from it to the place where the chain leaves the range. A magic inside another member (of an archive
+within a payload, say) starts a chain too, so the chain from a file's first byte decides which starts are true: one small
+row per chain, put together per file. Each range then owns and streams the records that start inside it, one payload at a
+time in memory, however long. Where the chain breaks off the archive is damaged; that is an error, whatever the ranges.
 
 Results for odd inputs: null payloads are empty; a null id is the smallest, so such a row is the response only if it has
 no equal with an id, and refers_to is then null for all; rows that repeat the largest id are all responses; an empty table
-gives no archives and no records.
+gives no archives and no records; columns other than page_id, url and html are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
@@ -127,9 +129,12 @@ def _member(win: _Window, place: int, keep: bool) -> tuple[bytes | None, int] |
     return b"".join(parts), at - len(gz.unused_data)
 
 
-def _first(win: _Window, start: int, end: int) -> int | None:
-    """The place of the first record that starts in [start, end)."""
-    place = start
+def _chains(win: _Window, start: int, end: int) -> list[tuple[int, int | None]]:
+    """(first place, place where it leaves the range or None where it breaks off) of the chains of members that start in [start, end).
+
+    Places on a chain that was followed before are not followed again, so the work is linear in the range.
+    """
+    found, leaves, place = [], {}, start
     while place < end:
         data = bytes(win.at(place, 1 << 16)[: min(1 << 18, end - place + 2)])
         i = data.find(MAGIC)
@@ -138,33 +143,51 @@ def _first(win: _Window, start: int, end: int) -> int | None:
             continue
         place += i
         if place >= end:
-            return None
-        if start == 0 and place == 0:
-            return place
-        at = place
-        while at < end:  # a true start is followed by members up to the range's end, or the file's
-            got = _member(win, at, False)
-            if got is None:
-                break
-            at = got[1]
-        else:
-            if at >= win.size or bytes(win.at(at, 3)[:3]) == MAGIC:
-                return place
+            break
+        if place not in leaves:
+            at, walked = place, []
+            while at < end and at not in leaves:
+                got = _member(win, at, False)
+                if got is None:
+                    break
+                walked.append(at)
+                at = got[1]
+            out = leaves.get(at) if at in leaves else at if at >= end or at >= win.size else None
+            leaves.update(dict.fromkeys(walked, out))
+            if walked:
+                found.append((place, out))
         place += 1
-    return None
+    return found
+
+
+def _true_starts(chains: DataFrame, split_bytes: int) -> DataFrame:
+    """chains (root, path, bytes, start, first, leaves) -> root, path, bytes, start, first of the ranges that own records: the chain from a file's first byte."""
+
+    def follow(rows: pd.DataFrame) -> pd.DataFrame:
+        root, path, size = rows["root"].iloc[0], rows["path"].iloc[0], int(rows["bytes"].iloc[0])
+        known = {int(a): None if pd.isna(b) else int(b) for a, b in zip(rows["first"], rows["leaves"]) if not pd.isna(a)}
+        place, out = 0, []
+        while place < size:
+            out.append((root, path, size, place // split_bytes * split_bytes, place))
+            place = known.get(place)
+            if place is None:
+                raise ValueError(f"broken record at {path}:{out[-1][4]} or behind it")
+        return pd.DataFrame(out, columns=["root", "path", "bytes", "start", "first"])
+
+    return chains.groupBy("path").applyInPandas(follow, "root string, path string, bytes long, start long, first long")
 
 
 def _split_bytes(archives: DataFrame) -> int:
-    """Ranges that give each partition about four of them, within 1 and 64 MiB: archives of any size are read by many tasks."""
+    """Ranges that give each partition about four of them, within 64 KiB and 64 MiB: archives of any size are read by many tasks."""
     total = archives.agg(F.sum("bytes")).first()[0] or 0
-    return min(max(total // (4 * partitions(archives.sparkSession)), 1 << 20), 64 << 20)
+    return min(max(total // (4 * partitions(archives.sparkSession)), 1 << 16), 64 << 20)
 
 
 def read_warc(archives: DataFrame, split_bytes: int | None = None) -> DataFrame:
     """archives (path, bytes, root) -> path, place, record_type, record_id, target_uri, payload_digest, payload_bytes, refers_to, payload.
 
     payload is null for revisits; payload_bytes is then what the HTTP header says. A response whose payload does not have
-    its digest is an error. split_bytes: the ranges' size, None for one from the archives' bytes; results don't depend on it.
+    its digest is an error, and so is a damaged member, at every size of range. split_bytes: the ranges' size, None for one from the archives' bytes; results don't depend on it.
     """
     spark = archives.sparkSession
     split_bytes = split_bytes or _split_bytes(archives)
@@ -172,14 +195,26 @@ def read_warc(archives: DataFrame, split_bytes: int | None = None) -> DataFrame:
     ranges = archives.select("root", "path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("start"))
     dealt = ranges.repartition(partitions(spark), "path", "start")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for root, path, size, start in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                files, _ = pafs.FileSystem.from_uri(root)
+                with files.open_input_file(path) as file:
+                    chains = _chains(_Window(file, size), start, min(size, start + split_bytes)) or [(None, None)]
+                columns = [[root] * len(chains), [path] * len(chains), [size] * len(chains), [start] * len(chains), *zip(*chains)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.string(), *[pa.int64()] * 4])], names=["root", "path", "bytes", "start", "first", "leaves"])
+
+    chains = dealt.mapInArrow(scan, "root string, path string, bytes long, start long, first long, leaves long")
+    owned = materialize(_true_starts(chains, split_bytes), "warc-ranges").repartition(partitions(spark), "path", "start")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for root, path, size, start, place in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 files, _ = pafs.FileSystem.from_uri(root)
                 with files.open_input_file(path) as file:
                     win, end = _Window(file, size), min(size, start + split_bytes)
-                    place, rows, held = _first(win, start, end), [], 0
-                    while place is not None and place < end:
+                    rows, held = [], 0
+                    while place < end:
                         got = _member(win, place, True)
                         if got is None:
                             raise ValueError(f"broken record at {path}:{place}")
@@ -202,7 +237,7 @@ def read_warc(archives: DataFrame, split_bytes: int | None = None) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    return dealt.mapInArrow(read, "path string, place long, record_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, refers_to string, payload binary")
+    return owned.mapInArrow(read, "path string, place long, record_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, refers_to string, payload binary")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,5 +1,6 @@
 """The training-data operators on small tables against brute force, with nulls, empties, ties, repeats and clashing columns."""
 
+import base64
 import collections
 import hashlib
 import re
@@ -143,6 +144,53 @@ def test_mixing_with_clashing_names(docs):
     assert got.where("_h = 'theirs' AND _own1 = 'theirs'").count() == len(want) and got.columns.count("n_tokens") == 1
 
 
+def _archive(spark, folder, records: list[bytes], level: int, damage: int | None = None):
+    import zlib
+
+    members = []
+    for r in records:
+        gz = zlib.compressobj(level, zlib.DEFLATED, 31)
+        members.append(gz.compress(r) + gz.flush())
+    data = bytearray(b"".join(members))
+    if damage is not None:
+        data[damage : damage + 40] = bytes(x ^ 255 for x in data[damage : damage + 40])
+    path = folder / f"{level}-{damage}.warc.gz"
+    path.write_bytes(bytes(data))
+    return spark.createDataFrame([(str(path), len(data), len(records), f"file://{folder}")], "path string, bytes long, records long, root string"), len(data)
+
+
+def test_warc_damage_is_an_error_for_every_split(spark, tmp_path):
+    from gridloom.llm.warc import _record
+
+    records = []
+    for i in range(120):
+        body = prose(i, 150).encode()
+        records.append(_record("response", i, "u", body, base64.b32encode(hashlib.sha1(body).digest()).decode(), None))
+    whole, size = _archive(spark, tmp_path, records, 3)
+    for split in (3_000, 20_000, size):
+        assert read_warc(whole, split).count() == 120
+    for place in (size // 2, size // 7, size - 60):
+        broken, _ = _archive(spark, tmp_path, records, 3, place)
+        for split in (3_000, 20_000, 100_000, size):
+            with pytest.raises(Exception, match="broken record|payload digest differs"):
+                read_warc(broken, split).count()
+
+
+def test_warc_archives_inside_payloads(spark, tmp_path):
+    import gzip
+
+    from gridloom.llm.warc import _record
+
+    records = []
+    for i in range(40):
+        inner = b"".join(gzip.compress(_record("response", 1000 + 9 * i + k, "v", prose(k, 60).encode(), "", None)) for k in range(9))
+        records.append(_record("response", i, "u", inner, base64.b32encode(hashlib.sha1(inner).digest()).decode(), None))
+    stored, size = _archive(spark, tmp_path, records, 0)  # nothing is compressed: the inner members stand in the file as they are
+    for split in (500, 5_000, 40_000, size):
+        got = read_warc(stored, split).select("record_id", "place").collect()
+        assert sorted(r.record_id for r in got) == sorted(f"urn:page:{i}" for i in range(40))
+
+
 def test_warc(spark):
     rows = [(1, "http://a", "same"), (2, "http://b\r\nX: y", "same"), (3, None, None), (4, "u", ""), (None, "v", "same"), (5, "w", "é" * 4000), (2, "http://b", "same"), (6, "z", prose(8, 20000))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
