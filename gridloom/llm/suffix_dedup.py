@@ -231,49 +231,64 @@ def _resolve(texts: DataFrame, length: int, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            codes = batch.column(2)
-            for i, (doc, data, t) in enumerate(zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(3).to_pylist())):
+            out, n = [], 0
+            ends, pairs = batch.column(2).offsets.to_numpy(), batch.column(2).values
+            codes, kinds = (pairs.field(c).to_numpy() for c in ("code", "flag"))
+            for doc, data, t, a, b in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(3).to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
                 if len(data) < length:
                     continue
-                listed = codes[i].as_py() or []
-                flags = {f: np.array([x["code"] for x in listed if x["flag"] == f], np.int64) for f in (COVERED, OPEN, OPEN_FREQUENT)}
-                if any(x["flag"] == WHOLE for x in listed):
-                    out.append((0, doc, t, None, 0, len(data), None))
-                    continue
-                at, h, c, roll = anchors(data, length, k)
-                code = _code(h, c)
-                start, end = np.maximum(at - (length - k), 0), np.minimum(at + length, len(data))
-                _, once = np.unique(code, return_index=True)
-                first = np.zeros(len(at), bool)
-                first[once] = True
-                covered = ~first | np.isin(code, flags[COVERED])
-                spans = _merge(np.stack([start[covered], end[covered]], 1))
-                out += [(0, doc, t, None, s, e, None) for s, e in spans.tolist()]
-                for j in np.flatnonzero(first & np.isin(code, flags[OPEN])):
-                    out.append((1, doc, t, int(h[j].view(np.int64)), int(start[j]), int(end[j]), data[start[j] : end[j]].tobytes()))
-                often = np.flatnonzero(first & np.isin(code, flags[OPEN_FREQUENT]))
-                if len(often):
-                    w = np.unique(np.concatenate([np.arange(start[j], end[j] - length + 1) for j in often]))
-                    wh = roll.ranges(w, w + length).view(np.int64)
-                    _, once = np.unique(wh, return_index=True)
-                    again = np.ones(len(w), bool)
-                    again[once] = False
-                    out += [(0, doc, t, None, s, e, None) for s, e in _merge(np.stack([w[again], w[again] + length], 1)).tolist()]
-                    # a string whose bytes all go already is still the earliest of its kind for others, but needs no answer
-                    w, wh = w[once], wh[once]
-                    into = np.searchsorted(spans[:, 0], w, "right") - 1
-                    gone = (into >= 0) & (spans[np.maximum(into, 0), 1] >= w + length) if len(spans) else np.zeros(len(w), bool)
-                    out += [(2, doc, t, key, s, None if g else s + length, None) for key, s, g in zip(wh.tolist(), w.tolist(), gone.tolist())]
-                if len(out) > 20_000:
-                    yield rows(out)
-                    out = []
-            if out:
+                if (kinds[a:b] == WHOLE).any():
+                    found = [(0, None, np.zeros(1, np.int64), np.full(1, len(data)), None)]
+                else:
+                    found = strings(data, {f: codes[a:b][kinds[a:b] == f] for f in (COVERED, OPEN, OPEN_FREQUENT)})
+                for kind, key, start, end, context in found:
+                    for i in range(0, len(start), 20_000):
+                        j = slice(i, i + 20_000)
+                        out.append((kind, doc, t, None if key is None else key[j], start[j], end[j], None if context is None else context[j]))
+                        n += len(start[j])
+                        if n > 20_000:
+                            yield rows(out)
+                            out, n = [], 0
+            if n:
                 yield rows(out)
 
+    def strings(data: np.ndarray, flags: dict[int, np.ndarray]) -> list[tuple]:
+        """kind, key, start, end (-1: no answer wanted), context of one document, as arrays."""
+        at, h, c, roll = anchors(data, length, k)
+        code = _code(h, c)
+        start, end = np.maximum(at - (length - k), 0), np.minimum(at + length, len(data))
+        _, once = np.unique(code, return_index=True)
+        first = np.zeros(len(at), bool)
+        first[once] = True
+        covered = ~first | np.isin(code, flags[COVERED])
+        spans = _merge(np.stack([start[covered], end[covered]], 1))
+        out: list[tuple] = [(0, None, spans[:, 0], spans[:, 1], None)]
+        open_ = np.flatnonzero(first & np.isin(code, flags[OPEN]))
+        out.append((1, h[open_].view(np.int64), start[open_], end[open_], [data[i:j].tobytes() for i, j in zip(start[open_].tolist(), end[open_].tolist())]))
+        often = np.flatnonzero(first & np.isin(code, flags[OPEN_FREQUENT]))
+        if len(often):
+            w = np.unique(np.concatenate([np.arange(start[j], end[j] - length + 1) for j in often]))
+            wh = roll.ranges(w, w + length).view(np.int64)
+            _, once = np.unique(wh, return_index=True)
+            again = np.ones(len(w), bool)
+            again[once] = False
+            twice = _merge(np.stack([w[again], w[again] + length], 1))
+            out.append((0, None, twice[:, 0], twice[:, 1], None))
+            # a string whose bytes all go already is still the earliest of its kind for others, but needs no answer
+            w, wh = w[once], wh[once]
+            into = np.searchsorted(spans[:, 0], w, "right") - 1
+            gone = (into >= 0) & (spans[np.maximum(into, 0), 1] >= w + length) if len(spans) else np.zeros(len(w), bool)
+            out.append((2, wh, w, np.where(gone, -1, w + length), None))
+        return [o for o in out if len(o[2])]
+
     def rows(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["kind", "d", "t", "key", "s", "e", "context"])
+        sizes = [len(o[4]) for o in out]
+        whole = lambda i, kind: pa.array(np.repeat(np.array([o[i] for o in out], np.int64), sizes), pa.int64()).cast(kind)
+        end = np.concatenate([o[5] for o in out]).astype(np.int64)
+        key = pa.concat_arrays([pa.nulls(m, pa.int64()) if o[3] is None else pa.array(o[3], pa.int64()) for o, m in zip(out, sizes)])
+        context = pa.concat_arrays([pa.nulls(m, pa.binary()) if o[6] is None else pa.array(o[6], pa.binary()) for o, m in zip(out, sizes)])
+        start = pa.array(np.concatenate([o[4] for o in out]).astype(np.int64))
+        return pa.RecordBatch.from_arrays([whole(0, pa.int32()), whole(1, pa.int64()), whole(2, pa.int64()), key, start, pa.array(end, pa.int64(), mask=end < 0), context], names=["kind", "d", "t", "key", "s", "e", "context"])
 
     return texts.mapInArrow(tidy(run), "kind int, d long, t long, key long, s long, e long, context binary")
 
@@ -282,7 +297,7 @@ def _bundles(length: int):
     """Open contexts sorted by anchor -> spans (d, t, s, e) of strings that occur earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 0):
+        for table in _whole_groups(batches, 0, size=1 << 20):
             d, s, t = table.column(1).to_numpy(), table.column(2).to_numpy(), table.column(4).to_numpy()
             parts = text_bytes(table.column(3))
             sizes = np.array([len(x) for x in parts])
