@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.operators.polygons import inside, ring_distance2
+from gridloom.operators.polygons import scan_cells
 
 #: Below this the vertical part of a unit normal counts as none.
 UPRIGHT = 1e-7
@@ -72,14 +72,11 @@ def fit(faces: DataFrame, rings: str = "rings", tolerance: str = "tolerance") ->
 def heights(fitted: DataFrame, key: str, offset: float = 0.0, rings: str = "rings") -> DataFrame:
     """key, x, z, top: the highest whole height of a key's sound faces per unit cell whose centre they hold (or have on an edge).
 
-    A key with a faulty face has no cells, since its roof is not known whole. The cells of one face are one row's explosion.
+    A key with a faulty face has no cells, since its roof is not known whole; nor has a null key. Faces shuffle once by their
+    key, before they are cells. The cells of one face are one row's explosion.
     """
-    bad = fitted.where("fault IS NOT NULL").select(key).distinct()
-    whole = fitted.join(bad, key, "left_anti")
-    bound = lambda pick, axis: pick(F.transform(F.col(rings)[0], lambda p: p[axis]))
-    span = lambda axis: F.sequence(F.floor(bound(F.array_min, axis)).cast("long"), F.greatest(F.floor(bound(F.array_min, axis)), F.ceil(bound(F.array_max, axis)) - 1).cast("long"))
-    cells = whole.withColumn("x", F.explode(span("x"))).withColumn("z", F.explode(span("z")))
-    x, z, p = F.col("x") + 0.5, F.col("z") + 0.5, F.col("plane")
-    held = cells.where(inside(F.col(rings), x, z) | (ring_distance2(F.col(rings), x, z) == 0))
-    top = F.floor(p["y"] + p["slope_x"] * (x - p["x"]) + p["slope_z"] * (z - p["z"]) + offset)
+    judged = fitted.where(F.col(key).isNotNull()).select(key, rings, "plane", F.count("fault").over(Window.partitionBy(key)).alias("_faults"))
+    held = scan_cells(judged.where("_faults = 0"), rings)
+    p = F.col("plane")
+    top = F.floor(p["y"] + p["slope_x"] * (F.col("x") + 0.5 - p["x"]) + p["slope_z"] * (F.col("z") + 0.5 - p["z"]) + offset)
     return held.groupBy(key, "x", "z").agg(F.max(top).alias("top"))

@@ -47,6 +47,25 @@ def rasterise(shapes: DataFrame, key: str, rings: str = "rings") -> DataFrame:
     return cells.where(inside(F.col(rings), F.col("x") + 0.5, F.col("z") + 0.5)).select(key, "x", "z")
 
 
+def scan_cells(shapes: DataFrame, rings: str = "rings") -> DataFrame:
+    """The shapes' other columns with x, z of the unit cells whose centre lies inside or on an edge; a cell may come twice.
+
+    Row by row: the sorted crossings of a row of centres with the edges give the inner spans, so a cell costs no test of its own.
+    Edges and corners that lie on the row are spans too. Shapes without a ring have no cells.
+    """
+    found = shapes.withColumn("_e", edges(F.col(rings))).drop(rings).where(F.size("_e") > 0)
+    bound = lambda pick: pick(F.transform("_e", lambda e: e["az"]))
+    rows = found.withColumn("z", F.explode(F.sequence(F.floor(bound(F.array_min)).cast("long"), F.floor(bound(F.array_max)).cast("long"))))
+    at = F.col("z") + 0.5
+    cut = F.filter("_e", lambda e: (e["az"] > at) != (e["bz"] > at))
+    rows = rows.withColumn("_c", F.array_sort(F.transform(cut, lambda e: e["ax"] + (at - e["az"]) * (e["bx"] - e["ax"]) / (e["bz"] - e["az"]))))
+    span = lambda a, b: F.struct(F.ceil(a - 0.5).cast("long").alias("a"), F.floor(b - 0.5).cast("long").alias("b"))
+    inner = F.transform(F.filter(F.transform("_c", lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda s: s["i"] % 2 == 0), lambda s: span(s["c"], F.get("_c", s["i"] + 1)))
+    touched = F.transform(F.filter("_e", lambda e: e["az"] == at), lambda e: F.when(e["bz"] == at, span(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))).otherwise(span(e["ax"], e["ax"])))
+    spans = rows.withColumn("_s", F.explode(F.filter(F.concat(inner, touched), lambda s: s["a"] <= s["b"]))).drop("_e", "_c")
+    return spans.withColumn("x", F.explode(F.sequence(F.col("_s.a"), F.col("_s.b")))).drop("_s")
+
+
 def paint(cells: DataFrame, order: Column, label: str) -> DataFrame:
     """One label per cell: the one painted last."""
     return cells.groupBy("x", "z").agg(F.max_by(label, order).alias(label), F.count("*").alias("painted"))

@@ -64,3 +64,17 @@ def test_supercover_equals_a_test_of_every_cell(spark):
     got = [tuple(x) for x in polygons.supercover(table, "id", 7).collect()]
     assert len(got) == len(set(got))
     assert set(got) == {(i, cx, cz) for i, s in enumerate(segments) for cx in range(-7, 7) for cz in range(-7, 7) if _touches(s, cx, cz, 7)}
+
+
+def test_scan_rows_equal_the_test_of_each_cell(spark):
+    r = random.Random(11)
+    shapes = []
+    for k in range(40):
+        step = 0.5 if k % 2 else 0.01
+        ring = lambda: [(r.randrange(int(-9 / step), int(9 / step)) * step, r.randrange(int(-9 / step), int(9 / step)) * step) for _ in range(r.randrange(3, 7))]
+        shapes.append((k, [[*p, p[0]] for p in (ring() for _ in range(1 + k % 3))]))
+    table = spark.createDataFrame([*shapes, (40, []), (41, None)], "k int, rings array<array<struct<x:double,z:double>>>")
+    got = {(c.k, c.x, c.z) for c in polygons.scan_cells(table).collect()}
+    grid = table.where("size(rings) > 0").select("k", "rings", F.explode(F.sequence(F.lit(-10), F.lit(10))).alias("x")).select("*", F.explode(F.sequence(F.lit(-10), F.lit(10))).alias("z"))
+    held = polygons.inside(F.col("rings"), F.col("x") + 0.5, F.col("z") + 0.5) | (polygons.ring_distance2(F.col("rings"), F.col("x") + 0.5, F.col("z") + 0.5) < 1e-24)
+    assert got == {(c.k, c.x, c.z) for c in grid.where(held).collect()} and len(got) > 1000
