@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from math import ceil, pi, sqrt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.frame import AXIS, E2, M, Frame, to_block, to_geographic
+from gridloom.functions.frame import AXIS, E2, EP2, M, Frame, to_block, to_geographic
 
-SPAN = 16_384
+# A page's target span, its tiles and the halo of its sources in metres, samples a side, parts in a million.
+SPAN, TILE, HALO, SEGMENTS, SCALE_BUDGET = 16_384, 256, 512, 16, 1.5
 HALF_MERIDIAN = AXIS * M[0] * pi / 2  # the series' sine terms vanish at the poles
 BANDS = ceil(2 * HALF_MERIDIAN / SPAN)
 BAND_HEIGHT = 2 * HALF_MERIDIAN / BANDS
@@ -66,3 +67,40 @@ def page_geographic(x: Column, z: Column, centre_lon: Column, centre_lat: Column
     _, z0 = to_block(F.lit(0.0), centre_lat, flat)
     lon, lat = to_geographic(x, z + z0, flat)
     return F.pmod(lon + centre_lon + 180, F.lit(360.0)) - 180, lat
+
+
+def scale_factor(lon: Column, lat: Column, centre_lon: Column) -> Column:
+    """Scale of the Transverse Mercator about centre_lon, alike in all directions (Snyder, equation 8-11)."""
+    p = F.radians(lat)
+    a = F.radians(F.pmod(lon - centre_lon + 180, F.lit(360.0)) - 180) * F.cos(p)
+    a2, t, c = a * a, F.pow(F.tan(p), 2), EP2 * F.pow(F.cos(p), 2)
+    return 1 + (1 + c) * a2 / 2 + (5 - 4 * t + 42 * c + 13 * c * c - 28 * EP2) * a2 * a2 / 24 + (61 - 148 * t + 16 * t * t) * a2 * a2 * a2 / 720
+
+
+def page_manifests(pages: DataFrame) -> DataFrame:
+    """What a page needs to be built, for distinct (band, column): page, centre, its envelope in whole tiles and the halo, columns, rows, scale_ppm, fault.
+
+    west, south, east, north are metres from the page's centre, north upwards, from samples along the page's four sides. fault is
+    null, or: outside (no such page), pole (the first and last band, whose pages have another projection, are not planned),
+    scale (the sampled error is above SCALE_BUDGET); with a fault of the first two kinds the figures are null.
+    """
+    b, c, per = F.col("band"), F.col("column"), F.col("per")
+    valid = F.coalesce((b >= 0) & (b < BANDS) & (c >= 0) & (c < per), F.lit(False))
+    fault = F.when(~valid, "outside").when((b == 0) | (b == BANDS - 1), "pole")
+    known = pages.select("band", "column", columns_in(b).alias("per")).withColumn("fault", fault)
+    places = {"clon": (c + 0.5) / per * 360 - 180, "clat": latitude_at((b + 0.5) * BAND_HEIGHT), "w": c / per * 360 - 180, "e": (c + 1) / per * 360 - 180, "s": latitude_at(b * BAND_HEIGHT), "n": latitude_at((b + 1) * BAND_HEIGHT)}
+    planned = known.where("fault IS NULL").withColumns(places)
+    part = F.col("i") / SEGMENTS
+    side = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
+    across, up = F.col("w") + (F.col("e") - F.col("w")) * part, F.col("s") + (F.col("n") - F.col("s")) * part
+    # projected in steps of their own, so that generated code stays small
+    samples = planned.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS)))).withColumn("at", F.explode(F.array(side(across, F.col("s")), side(across, F.col("n")), side(F.col("w"), up), side(F.col("e"), up)))).select("band", "column", "clon", "clat", "at.lon", "at.lat")
+    x, z = page_local(F.col("lon"), F.col("lat"), F.col("clon"), F.col("clat"))
+    low = lambda v: F.floor(F.min(v) / TILE) * TILE - HALO
+    high = lambda v: F.ceil(F.max(v) / TILE) * TILE + HALO
+    samples = samples.withColumns({"x": x, "y": -z, "ppm": F.abs(scale_factor(F.col("lon"), F.col("lat"), F.col("clon")) - 1) * 1e6})
+    found = samples.groupBy("band", "column", "clon", "clat").agg(low("x").alias("west"), low("y").alias("south"), high("x").alias("east"), high("y").alias("north"), F.max("ppm").alias("scale_ppm"))
+    found = found.withColumns({"columns": F.expr(f"(east - west) div {TILE}"), "rows": F.expr(f"(north - south) div {TILE}"), "fault": F.when(F.col("scale_ppm") > SCALE_BUDGET, "scale")})
+    figures = ["clon", "clat", "west", "south", "east", "north", "columns", "rows", "scale_ppm"]
+    out = found.select("band", "column", *figures, "fault").unionByName(known.where("fault IS NOT NULL"), allowMissingColumns=True)
+    return out.select(page_id(F.col("band"), F.col("column")).alias("page"), "band", "column", *figures, "fault")

@@ -26,5 +26,5 @@ def query(sql: str | None = None, views: str = "") -> Callable[[Query], Query]:
     return add
 
 
-for _module in ("surface_queries", "join_queries", "merge_queries", "journal_queries", "focal_queries", "scalar_queries", "graph_queries", "rule_queries", "stream_queries", "coverage_queries", "block_queries", "polygon_queries", "ground_queries", "roof_queries", "street_queries"):
+for _module in ("surface_queries", "join_queries", "merge_queries", "journal_queries", "focal_queries", "scalar_queries", "graph_queries", "rule_queries", "stream_queries", "coverage_queries", "block_queries", "polygon_queries", "ground_queries", "roof_queries", "street_queries", "atlas_queries"):
     import_module(f"gridloom.plans.{_module}")
