@@ -78,7 +78,7 @@ def scale_factor(lon: Column, lat: Column, centre_lon: Column) -> Column:
 
 
 def page_manifests(pages: DataFrame) -> DataFrame:
-    """What a page needs to be built, for distinct (band, column): page, centre, its envelope in whole tiles and the halo, columns, rows, scale_ppm, fault.
+    """What a page needs to be built, for each distinct (band, column): page, centre, its envelope in whole tiles and the halo, columns, rows, scale_ppm, fault.
 
     west, south, east, north are metres from the page's centre, north upwards, from samples along the page's four sides. fault is
     null, or: outside (no such page), pole (the first and last band, whose pages have another projection, are not planned),
@@ -89,18 +89,16 @@ def page_manifests(pages: DataFrame) -> DataFrame:
     fault = F.when(~valid, "outside").when((b == 0) | (b == BANDS - 1), "pole")
     known = pages.select("band", "column", columns_in(b).alias("per")).withColumn("fault", fault)
     places = {"clon": (c + 0.5) / per * 360 - 180, "clat": latitude_at((b + 0.5) * BAND_HEIGHT), "w": c / per * 360 - 180, "e": (c + 1) / per * 360 - 180, "s": latitude_at(b * BAND_HEIGHT), "n": latitude_at((b + 1) * BAND_HEIGHT)}
-    planned = known.where("fault IS NULL").withColumns(places)
+    planned = known.withColumns({k: F.when(F.col("fault").isNull(), v) for k, v in places.items()})
     part = F.col("i") / SEGMENTS
     side = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
     across, up = F.col("w") + (F.col("e") - F.col("w")) * part, F.col("s") + (F.col("n") - F.col("s")) * part
-    # projected in steps of their own, so that generated code stays small
-    samples = planned.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS)))).withColumn("at", F.explode(F.array(side(across, F.col("s")), side(across, F.col("n")), side(F.col("w"), up), side(F.col("e"), up)))).select("band", "column", "clon", "clat", "at.lon", "at.lat")
+    # a page with a fault is one sample without a place: no filter, which Spark would push down with all formulas in it
+    samples = planned.withColumn("i", F.explode_outer(F.when(F.col("fault").isNull(), F.sequence(F.lit(0), F.lit(SEGMENTS))))).withColumn("at", F.explode(F.array(side(across, F.col("s")), side(across, F.col("n")), side(F.col("w"), up), side(F.col("e"), up)))).select("band", "column", "clon", "clat", "fault", "at.lon", "at.lat")
     x, z = page_local(F.col("lon"), F.col("lat"), F.col("clon"), F.col("clat"))
     low = lambda v: F.floor(F.min(v) / TILE) * TILE - HALO
     high = lambda v: F.ceil(F.max(v) / TILE) * TILE + HALO
     samples = samples.withColumns({"x": x, "y": -z, "ppm": F.abs(scale_factor(F.col("lon"), F.col("lat"), F.col("clon")) - 1) * 1e6})
-    found = samples.groupBy("band", "column", "clon", "clat").agg(low("x").alias("west"), low("y").alias("south"), high("x").alias("east"), high("y").alias("north"), F.max("ppm").alias("scale_ppm"))
-    found = found.withColumns({"columns": F.expr(f"(east - west) div {TILE}"), "rows": F.expr(f"(north - south) div {TILE}"), "fault": F.when(F.col("scale_ppm") > SCALE_BUDGET, "scale")})
-    figures = ["clon", "clat", "west", "south", "east", "north", "columns", "rows", "scale_ppm"]
-    out = found.select("band", "column", *figures, "fault").unionByName(known.where("fault IS NOT NULL"), allowMissingColumns=True)
-    return out.select(page_id(F.col("band"), F.col("column")).alias("page"), "band", "column", *figures, "fault")
+    found = samples.groupBy("band", "column", "clon", "clat", "fault").agg(low("x").alias("west"), low("y").alias("south"), high("x").alias("east"), high("y").alias("north"), F.max("ppm").alias("scale_ppm"))
+    figures = {"columns": F.expr(f"(east - west) div {TILE}"), "rows": F.expr(f"(north - south) div {TILE}"), "fault": F.coalesce("fault", F.when(F.col("scale_ppm") > SCALE_BUDGET, "scale"))}
+    return found.withColumns(figures).select(page_id(b, c).alias("page"), "band", "column", "clon", "clat", "west", "south", "east", "north", "columns", "rows", "scale_ppm", "fault")
