@@ -113,6 +113,7 @@ def f_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    band = lambda i: F.floor((F.col("embedding")[i] + 2) * 60)
+    # all in single precision, as the SQL is: with whole-number literals Spark would compute in double
+    band = lambda i: F.floor((F.col("embedding")[i] + F.lit(2).cast("float")) * F.lit(60).cast("float"))
     v = F.col("vec_id")
     return _table(spark, sf_dir, "embeddings").select(v.alias("pix"), (v % 32).alias("x"), F.floor(v / 32).alias("z"), band(0).alias("red"), band(1).alias("green"), band(2).alias("blue"), band(3).alias("nir"))
