@@ -37,10 +37,14 @@ def columns_in(band: Column) -> Column:
 
 def page(lon: Column, lat: Column) -> tuple[Column, Column]:
     """(band, column) of a position; longitudes wrap, and at the poles the longitude is 0. Null outside the latitude range."""
-    around = F.when(F.abs(lat) == 90, 0.0).otherwise(F.pmod(lon + 180, F.lit(360.0)) - 180)
+    return page_east(F.pmod(lon + 180, F.lit(360.0)), lat)
+
+
+def page_east(east: Column, lat: Column) -> tuple[Column, Column]:
+    """As page, from degrees east of longitude -180 (0 to 360): exact on the borders of pages, where 180 off and on again would round."""
     band = F.when(F.abs(lat) <= 90, F.least(F.floor(meridian_distance(lat) / BAND_HEIGHT), F.lit(BANDS - 1)))
     n = columns_in(band)
-    return band, F.least(F.floor((around + 180) / 360 * n), n - 1)
+    return band, F.least(F.floor(F.when(F.abs(lat) == 90, 180.0).otherwise(east) / 360 * n), n - 1)
 
 
 def page_id(band: Column, column: Column) -> Column:

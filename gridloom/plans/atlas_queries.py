@@ -19,8 +19,8 @@ _NORTH = " + ".join(f"{a} * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k, a in
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pid, lon, lat over the Earth from 85 degrees south to 85 north."""
-    return d.f_places(spark, sf_dir).select("pid", (F.col("x_dm") / 57 - 180).alias("lon"), (F.col("z_dm") / 120 - 85).alias("lat"))
+    """pid, east (degrees from longitude -180), lat over the Earth from 85 degrees south to 85 north."""
+    return d.f_places(spark, sf_dir).select("pid", (F.col("x_dm") / 57).alias("east"), (F.col("z_dm") / 120 - 85).alias("lat"))
 
 
 @query(
@@ -38,6 +38,6 @@ SELECT band, col AS "column", west, south, east, north, (east - west) // 256 AS
 )
 def f13_page_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page that holds a position: its envelope in tiles with halo, columns, rows and sampled scale error."""
-    band, column = atlas.page(F.col("lon"), F.col("lat"))
+    band, column = atlas.page_east(F.col("east"), F.col("lat"))
     pages = positions(spark, sf_dir).select(band.alias("band"), column.alias("column")).distinct()
     return atlas.page_manifests(pages).select("band", "column", "west", "south", "east", "north", "columns", "rows", F.round("scale_ppm", 3).alias("scale_ppm"), F.col("fault").isNull().alias("within"))
