@@ -41,10 +41,32 @@ def area(ring: Column) -> Column:
     return F.abs(doubled) / 2
 
 
-def rasterise(shapes: DataFrame, key: str, rings: str = "rings") -> DataFrame:
-    """key, x, z of the unit cells whose centre is inside; shapes have box columns x0, z0, x1, z1."""
-    cells = shapes.withColumn("x", F.explode(F.sequence(F.floor("x0").cast("long"), F.ceil("x1").cast("long") - 1))).withColumn("z", F.explode(F.sequence(F.floor("z0").cast("long"), F.ceil("z1").cast("long") - 1)))
-    return cells.where(inside(F.col(rings), F.col("x") + 0.5, F.col("z") + 0.5)).select(key, "x", "z")
+def rasterise(shapes: DataFrame, *keys: str, rings: str = "rings") -> DataFrame:
+    """keys, x, z of the unit cells whose centre is inside; shapes have box columns x0, z0, x1, z1.
+
+    Row by row: of the sorted crossings of a row of centres with the edges each second one opens a span, so a cell costs no
+    test of its own. The lower and left edges belong to the polygon, as in `inside`.
+    """
+    rows = shapes.withColumn("_e", edges(F.col(rings))).select(*keys, "x0", "x1", "_e", F.explode(F.sequence(F.floor("z0").cast("long"), F.ceil("z1").cast("long") - 1)).alias("z"))
+    at = F.col("z") + 0.5
+    cut = F.filter("_e", lambda e: (e["az"] > at) != (e["bz"] > at))
+    rows = rows.withColumn("_c", F.array_sort(F.transform(cut, lambda e: e["ax"] + (at - e["az"]) * (e["bx"] - e["ax"]) / (e["bz"] - e["az"]))))
+    low, high = F.floor("x0").cast("long"), F.ceil("x1").cast("long") - 1
+    span = lambda i: F.struct(F.greatest(F.ceil(F.get("_c", i) - 0.5).cast("long"), low).alias("a"), F.least(F.ceil(F.get("_c", i + 1) - 0.5).cast("long") - 1, high).alias("b"))
+    spans = F.transform(F.sequence(F.lit(0), F.size("_c") - 1, F.lit(2)), span)
+    rows = rows.where(F.size("_c") > 1).withColumn("_s", F.explode(F.filter(spans, lambda s: s["a"] <= s["b"])))
+    return rows.select(*keys, F.explode(F.sequence(F.col("_s.a"), F.col("_s.b"))).alias("x"), "z")
+
+
+def row_spans(found: Column, at: Column) -> Column:
+    """array(struct<a, b>) of the cells of one row of centres that lie within the edges or on one; spans may overlap."""
+    cut = F.filter(found, lambda e: (e["az"] > at) != (e["bz"] > at))
+    crossed = F.array_sort(F.transform(cut, lambda e: e["ax"] + (at - e["az"]) * (e["bx"] - e["ax"]) / (e["bz"] - e["az"])))
+    span = lambda a, b: F.struct(F.ceil(a - 0.5).cast("long").alias("a"), F.floor(b - 0.5).cast("long").alias("b"))
+    pairs = lambda c: F.transform(F.filter(F.transform(c, lambda v, i: F.struct(v.alias("c"), i.alias("i"))), lambda s: s["i"] % 2 == 0), lambda s: span(s["c"], F.get(c, s["i"] + 1)))
+    inner = F.flatten(F.transform(F.array(crossed), pairs))  # as a lambda's argument the crossings are found once
+    touched = F.transform(F.filter(found, lambda e: e["az"] == at), lambda e: F.when(e["bz"] == at, span(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))).otherwise(span(e["ax"], e["ax"])))
+    return F.filter(F.concat(inner, touched), lambda s: s["a"] <= s["b"])
 
 
 def scan_cells(shapes: DataFrame, rings: str = "rings") -> DataFrame:
@@ -56,33 +78,32 @@ def scan_cells(shapes: DataFrame, rings: str = "rings") -> DataFrame:
     found = shapes.withColumn("_e", edges(F.col(rings))).drop(rings).where(F.size("_e") > 0)
     bound = lambda pick: pick(F.transform("_e", lambda e: e["az"]))
     rows = found.withColumn("z", F.explode(F.sequence(F.floor(bound(F.array_min)).cast("long"), F.floor(bound(F.array_max)).cast("long"))))
-    at = F.col("z") + 0.5
-    cut = F.filter("_e", lambda e: (e["az"] > at) != (e["bz"] > at))
-    rows = rows.withColumn("_c", F.array_sort(F.transform(cut, lambda e: e["ax"] + (at - e["az"]) * (e["bx"] - e["ax"]) / (e["bz"] - e["az"]))))
-    span = lambda a, b: F.struct(F.ceil(a - 0.5).cast("long").alias("a"), F.floor(b - 0.5).cast("long").alias("b"))
-    inner = F.transform(F.filter(F.transform("_c", lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda s: s["i"] % 2 == 0), lambda s: span(s["c"], F.get("_c", s["i"] + 1)))
-    touched = F.transform(F.filter("_e", lambda e: e["az"] == at), lambda e: F.when(e["bz"] == at, span(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))).otherwise(span(e["ax"], e["ax"])))
-    spans = rows.withColumn("_s", F.explode(F.filter(F.concat(inner, touched), lambda s: s["a"] <= s["b"]))).drop("_e", "_c")
+    spans = rows.withColumn("_s", F.explode(row_spans(F.col("_e"), F.col("z") + 0.5))).drop("_e")
     return spans.withColumn("x", F.explode(F.sequence(F.col("_s.a"), F.col("_s.b")))).drop("_s")
 
 
-def paint(cells: DataFrame, order: Column, label: str) -> DataFrame:
-    """One label per cell: the one painted last."""
-    return cells.groupBy("x", "z").agg(F.max_by(label, order).alias(label), F.count("*").alias("painted"))
+def paint(cells: DataFrame, order: Column, label: str, copies: Column | None = None) -> DataFrame:
+    """One label per cell: the one painted last; a row counts as `copies` coats."""
+    return cells.groupBy("x", "z").agg(F.max_by(label, order).alias(label), (F.count("*") if copies is None else F.sum(copies)).alias("painted"))
+
 
+def associate(points: DataFrame, shapes: DataFrame, key: str, ring_width: float = 1.0, bin_size: int = 16, copies: str | None = None) -> DataFrame:
+    """Points (x, z, pid) in or within `ring_width` of polygons: pid, key, core, owners (polygons that claim the point).
 
-def associate(points: DataFrame, shapes: DataFrame, key: str, ring_width: float = 1.0, bin_size: int = 16) -> DataFrame:
-    """Points (x, z, pid) in or within `ring_width` of polygons: pid, key, core, owners (polygons that claim the point)."""
+    copies names the number of equal polygons that a row of shapes stands for; owners counts each of them. Neither side of the
+    join is broadcast: a small file of shapes is large once its rows are in bins with their rings.
+    """
     from pyspark.sql import Window
 
     lo = lambda c: F.floor((F.col(c) - ring_width) / bin_size)
     hi = lambda c: F.floor((F.col(c) + ring_width) / bin_size)
     binned = shapes.withColumn("bx", F.explode(F.sequence(lo("x0"), hi("x1")))).withColumn("bz", F.explode(F.sequence(lo("z0"), hi("z1"))))
     at = points.withColumn("bx", F.floor(F.col("x") / bin_size)).withColumn("bz", F.floor(F.col("z") / bin_size))
-    near = at.join(binned, ["bx", "bz"]).where((F.col("x") >= F.col("x0") - ring_width) & (F.col("x") <= F.col("x1") + ring_width) & (F.col("z") >= F.col("z0") - ring_width) & (F.col("z") <= F.col("z1") + ring_width))
+    near = at.join(binned.hint("merge"), ["bx", "bz"]).where((F.col("x") >= F.col("x0") - ring_width) & (F.col("x") <= F.col("x1") + ring_width) & (F.col("z") >= F.col("z0") - ring_width) & (F.col("z") <= F.col("z1") + ring_width))
     judged = near.withColumn("core", inside(F.col("rings"), F.col("x"), F.col("z")))
     claimed = judged.where(F.col("core") | (ring_distance2(F.col("rings"), F.col("x"), F.col("z")) <= ring_width**2))
-    return claimed.withColumn("owners", F.count("*").over(Window.partitionBy("pid"))).select("pid", key, "core", "owners")
+    each = F.count("*") if copies is None else F.sum(copies)
+    return claimed.withColumn("owners", each.over(Window.partitionBy("pid"))).select("pid", key, "core", "owners")
 
 
 def assemble_rings(ways: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -96,17 +117,23 @@ def assemble_rings(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 def roof_gates(mask: DataFrame, model: DataFrame, provider: DataFrame, key: str, least: float = 0.9, outside: float = 0.1, apart: float = 2.0) -> DataFrame:
     """Whether a roof model agrees with its footprint: key, coverage, outside_share, residual, accepted.
 
-    mask (key, x, z) are footprint cells, model (key, x, z, top) roof cells, provider (key, height) the stated maximum. A
+    mask (key, x, z) are footprint cells, model (key, x, z, top) roof cells, one row a cell, provider (key, height) the stated
+    maximum; a key's provider rows are judged each, and their other columns follow the key. A
     footprint without a model has coverage 0 and is not accepted, nor is one with a top that is null, not finite or no
     whole number; a model without footprint cells is left out.
     """
-    cells = mask.select(key, "x", "z", F.lit(True).alias("own")).join(model.select(key, "x", "z", "top", F.lit(True).alias("made")), [key, "x", "z"], "full_outer")
+    true, none = F.lit(True), F.lit(None)
+    both = mask.select(key, "x", "z", true.alias("own"), none.cast("boolean").alias("made"), none.cast("double").alias("top"))
+    both = both.unionByName(model.select(key, "x", "z", none.cast("boolean").alias("own"), true.alias("made"), F.col("top").cast("double").alias("top")))
+    # dealt by key once: cells and keys are both summed where they are
+    cells = both.repartition(key).groupBy(key, "x", "z").agg(F.max("own").alias("own"), F.max("made").alias("made"), F.max("top").alias("top"))
     top = F.when(F.col("own") & F.col("made"), F.col("top").cast("double"))
     odd = F.col("own") & F.col("made") & (F.col("top").isNull() | ~(F.floor(F.col("top").cast("double")) == F.col("top").cast("double")) | F.isnan(F.col("top").cast("double")))
     sums = cells.groupBy(key).agg(F.count("own").alias("n"), F.count("made").alias("m"), F.count_if(F.col("own") & F.col("made")).alias("both"), F.max(top).alias("highest"), F.count_if(odd).alias("odd")).where("n > 0")
-    out = sums.join(provider, key).select(key, (F.col("both") / F.col("n")).alias("coverage"), ((F.col("m") - F.col("both")) / F.greatest(F.col("m"), F.lit(1))).alias("outside_share"), (F.col("highest") - F.col("height")).alias("residual"), "odd")
+    others = [c for c in provider.columns if c not in (key, "height")]
+    out = sums.join(provider, key).select(key, *others, (F.col("both") / F.col("n")).alias("coverage"), ((F.col("m") - F.col("both")) / F.greatest(F.col("m"), F.lit(1))).alias("outside_share"), (F.col("highest") - F.col("height")).alias("residual"), "odd")
     good = (F.col("coverage") >= least) & (F.col("outside_share") <= outside) & (F.col("odd") == 0) & (F.abs("residual") <= apart)
-    return out.select(key, "coverage", "outside_share", "residual", F.coalesce(good, F.lit(False)).alias("accepted"))
+    return out.select(key, *others, "coverage", "outside_share", "residual", F.coalesce(good, F.lit(False)).alias("accepted"))
 
 
 def clip(ring: Column, west: Column, north: Column, east: Column, south: Column) -> Column:
