@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.polygons import scan_cells
+from gridloom.operators.polygons import edges, row_spans
 
 #: Below this the vertical part of a unit normal counts as none.
 UPRIGHT = 1e-7
@@ -73,10 +73,17 @@ def heights(fitted: DataFrame, key: str, offset: float = 0.0, rings: str = "ring
     """key, x, z, top: the highest whole height of a key's sound faces per unit cell whose centre they hold (or have on an edge).
 
     A key with a faulty face has no cells, since its roof is not known whole; nor has a null key. Faces shuffle once by their
-    key, before they are cells. The cells of one face are one row's explosion.
+    key and are one row a key from then on: its rows of cells follow one by one and are never held together.
     """
-    judged = fitted.where(F.col(key).isNotNull()).select(key, rings, "plane", F.count("fault").over(Window.partitionBy(key)).alias("_faults"))
-    held = scan_cells(judged.where("_faults = 0"), rings)
-    p = F.col("plane")
-    top = F.floor(p["y"] + p["slope_x"] * (F.col("x") + 0.5 - p["x"]) + p["slope_z"] * (F.col("z") + 0.5 - p["z"]) + offset)
-    return held.groupBy(key, "x", "z").agg(F.max(top).alias("top"))
+    face = F.struct(F.col(rings).alias("rings"), F.col("plane").alias("plane"))
+    judged = fitted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("fault").alias("_faults"), F.collect_list(face).alias("_f")).where("_faults = 0")
+    held = judged.select(key, F.filter(F.transform("_f", lambda f: F.struct(edges(f["rings"]).alias("e"), f["plane"].alias("plane"))), lambda f: F.size(f["e"]) > 0).alias("_f")).where("size(_f) > 0")
+    bound = lambda pick: pick(F.transform("_f", lambda f: pick(F.transform(f["e"], lambda e: e["az"]))))
+    rows = held.withColumn("z", F.explode(F.sequence(F.floor(bound(F.array_min)).cast("long"), F.floor(bound(F.array_max)).cast("long"))))
+    spans = lambda f: F.transform(row_spans(f["e"], F.col("z") + 0.5), lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), f["plane"].alias("plane")))
+    rows = rows.withColumn("_s", F.flatten(F.transform("_f", spans))).where("size(_s) > 0").drop("_f")
+    side = lambda pick, name: pick(F.transform("_s", lambda s: s[name]))
+    cells = rows.withColumn("x", F.explode(F.sequence(side(F.array_min, "a"), side(F.array_max, "b"))))
+    top = lambda p: F.floor(p["y"] + p["slope_x"] * (F.col("x") + 0.5 - p["x"]) + p["slope_z"] * (F.col("z") + 0.5 - p["z"]) + offset)
+    over = F.filter("_s", lambda s: (s["a"] <= F.col("x")) & (F.col("x") <= s["b"]))
+    return cells.select(key, "x", "z", F.array_max(F.transform(over, lambda s: top(s["plane"]))).alias("top")).where("top IS NOT NULL")

@@ -12,6 +12,8 @@ from gridloom.sources import city_models
 from gridloom.sources.shared import scratch
 
 CRS, WEST, NORTH, STEP = "EPSG:32616+5703", 448000.0, 4640000.0, 64
+#: Sequences that the features are dealt into.
+PARTS = 48
 #: What is wrong with a feature, by fid % 16; from 7 on nothing is.
 FAULTS = ("vertical", "collinear", "not planar", "crossing", "solids", "vertex number", "empty")
 
@@ -38,7 +40,7 @@ def city_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     plainer = F.struct(F.lit("Solid").alias("type"), F.lit("1.3").alias("lod"), F.array(shell).alias("boundaries"), F.struct(kinds.alias("surfaces"), F.array(F.array(*map(F.lit, (1, 0, 1)))).alias("values")).alias("semantics"))
     solids: Column = F.when(F.col("k") == 4, F.array(solid, solid)).otherwise(F.array(plainer, solid))
     feature = F.struct(F.lit("CityJSONFeature").alias("type"), F.col("fid").cast("string").alias("id"), F.concat("first", "second").alias("vertices"), F.create_map(F.lit("b"), F.struct(solids.alias("geometry"))).alias("CityObjects"))
-    lines = f.select(F.to_json(feature).alias("value"), (F.xxhash64("fid") % 8).alias("part"))
+    lines = f.select(F.to_json(feature).alias("value"), F.pmod(F.xxhash64("fid"), F.lit(PARTS)).alias("part"))
     steps = F.array(*[F.lit(1 / STEP)] * 3)
     head = F.struct(F.lit("CityJSON").alias("type"), F.struct(steps.alias("scale"), F.array(*map(F.lit, (WEST, NORTH, 0.0))).alias("translate")).alias("transform"), F.struct(F.lit(CRS).alias("referenceSystem")).alias("metadata"))
     return lines.union(lines.select("part").distinct().select(F.to_json(head), "part"))
