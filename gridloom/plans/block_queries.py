@@ -84,7 +84,9 @@ def s7_point_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A box of the point files, by the record ranges that meet it and the columns that are asked for."""
     path = scratch(spark, "points")
     p = d.f_points(spark, sf_dir).select(F.col("x_cm").alias("x"), F.col("y_dm").alias("y"), F.col("z_cm").alias("z"), "cls", "withheld", "intensity", "strip")
-    file_ranges.write_points(p, path, files=4)
-    file_ranges.point_index(spark, path, f"{path}-index", records=4000)
+    # files of half a million points, which a task sorts in some 50 MB; at most 2,000 ranges in all, of 4,000 points at least
+    n = p.count()
+    file_ranges.write_points(p, path, files=max(4, n // 500_000))
+    file_ranges.point_index(spark, path, f"{path}-index", records=max(4000, n // 2000))
     read = spark.read.format("gridloom_points").schema("x long, z long, y long, cls int, withheld boolean, intensity int, strip int")
     return read.option("path", path).option("index", f"{path}-index").load().where("x >= 20000 AND x < 90000 AND z > 30000 AND z <= 120000")
