@@ -205,8 +205,12 @@ def csv_table(spark: SparkSession, path: str, schema: str, columns: list[str], w
     return spark.read.csv(path, schema=schema, header=True).where(where).select(*columns)
 
 
+#: Placemarks of one file: some 20 MB.
+PLACEMARKS = 50_000
+
+
 def write_placemarks(buildings: DataFrame, path: str) -> None:
-    """buildings (id, name, height, ring of (lon, lat)) -> XML, a Placemark each; rows without a positive height or a closed ring of four points are left out."""
+    """buildings (id, name, height, ring of (lon, lat)) -> XML, a Placemark each; rows without a positive height or a closed ring of four points are left out. A file has at most PLACEMARKS of them, since XML is read whole, file by file."""
     ring = F.col("ring")
     closed = (F.size("ring") >= 4) & (F.element_at(ring, 1) == F.element_at(ring, -1))
     at = F.array_join(F.transform(ring, lambda p: F.concat_ws(",", p["lon"].cast("string"), p["lat"].cast("string"), F.lit("0"))), " ")
@@ -214,7 +218,7 @@ def write_placemarks(buildings: DataFrame, path: str) -> None:
     place = F.struct(F.struct(F.struct(at.alias("coordinates")).alias("LinearRing")).alias("outerBoundaryIs"))
     rows = buildings.where((F.col("height") > 0) & closed)
     rows = rows.select(F.coalesce("name", F.concat(F.lit("way "), F.col("id").cast("string"))).alias("name"), F.struct(F.array(data("height_m", F.col("height")), data("source", F.concat(F.lit("way "), F.col("id").cast("string")))).alias("Data")).alias("ExtendedData"), place["outerBoundaryIs"].alias("outerBoundaryIs"))
-    rows.select("name", "ExtendedData", F.struct("outerBoundaryIs").alias("Polygon")).write.format("xml").option("rootTag", "Document").option("rowTag", "Placemark").save(path)
+    rows.select("name", "ExtendedData", F.struct("outerBoundaryIs").alias("Polygon")).write.format("xml").option("rootTag", "Document").option("rowTag", "Placemark").option("maxRecordsPerFile", PLACEMARKS).save(path)
 
 
 def placemarks(spark: SparkSession, path: str) -> DataFrame:
