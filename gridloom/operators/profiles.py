@@ -30,9 +30,14 @@ def place_at(legs: Column, ends: Column, d: Column) -> Column:
     return F.struct((g["x"] + t * g["dx"]).alias("x"), (g["z"] + t * g["dz"]).alias("z"))
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The rows dealt to as many tasks as a shuffle has, however small their file: each becomes hundreds of rows before the next shuffle."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def stations(ways: DataFrame, key: str, path: str = "path") -> DataFrame:
     """key, d, side, x, z, nx, nz: a row per station and side; side 1 is the left one when z points south. Ways under 4 m have none."""
-    legs = ways.where(F.size(path) > 1).select(key, _legs(F.col(path)).alias("legs"))
+    legs = spread(ways.where(F.size(path) > 1), key).select(key, _legs(F.col(path)).alias("legs"))
     sums = F.transform("legs", lambda g, i: F.aggregate(F.slice("legs", 1, i + 1), F.lit(0.0), lambda s, h: s + h["length"]))
     long = legs.withColumn("ends", sums).withColumn("length", F.get("ends", F.size("ends") - 1)).where("length >= 4")
     n = F.ceil((F.col("length") - 2 * FROM_ENDS) / EVERY).cast("int")
@@ -51,27 +56,31 @@ def first_rise(profile: Column) -> Column:
     A rise starts at sample i when heights two and three samples on both lie RISE above the lowest of the last three up to i;
     the samples named must be known. It ends before the first stopped sample, and leaves MARGIN samples at either end.
     """
-    h = lambda i: profile[i]["h"]
     stop = F.array_min(F.transform(F.filter(profile, lambda s: s["stop"]), lambda s: s["i"]))
-    limit = F.coalesce(stop, F.lit(_LAST + 1)) - MARGIN
-    before = lambda i: F.least(h(i - 2), h(i - 1), h(i))  # least passes nulls by
-    rises = lambda i: (i < limit) & h(i).isNotNull() & (h(i + 2) - before(i) >= RISE) & (h(i + 3) - before(i) >= RISE)
-    found = F.filter(F.sequence(F.lit(MARGIN), F.lit(_LAST - MARGIN)), lambda i: F.coalesce(rises(i), F.lit(False)))
-    return (F.get(found, F.lit(0)) + 2) * STEP
+    once = F.struct(F.transform(profile, lambda s: s["h"]).alias("h"), (F.coalesce(stop, F.lit(_LAST + 1)) - MARGIN).alias("limit"))
+
+    def first(p: Column) -> Column:
+        h = lambda i: F.get(p["h"], i)
+        before = lambda i: F.least(h(i - 2), h(i - 1), h(i))  # least passes nulls by
+        rises = lambda i: (i < p["limit"]) & h(i).isNotNull() & (F.least(h(i + 2), h(i + 3)) - before(i) >= RISE) & h(i + 2).isNotNull() & h(i + 3).isNotNull()
+        found = F.filter(F.sequence(F.lit(MARGIN), F.lit(_LAST - MARGIN)), lambda i: F.coalesce(rises(i), F.lit(False)))
+        return (F.get(found, F.lit(0)) + 2) * STEP
+
+    return F.transform(F.array(once), first)[0]  # as a lambda's argument the heights and the end are found once, not per sample
 
 
 def kerbs(ways: DataFrame, key: str, heights: DataFrame, cell: float, path: str = "path") -> DataFrame:
     """key, side, samples, detections, kerb, iqr from heights (cx, cz, h, stop) on a grid of `cell` metres.
 
     kerb is the median distance of a side's rises where at least LEAST_FOUND stations and LEAST_SHARE of them have one, else
-    null; iqr the distance of the quartiles where there are LEAST_FOUND. Unknown heights and NaN are null; cells without a row
+    null; iqr the distance of the quartiles where there are LEAST_FOUND. No side is broadcast: cells made from a small file are many. Unknown heights and NaN are null; cells without a row
     are unknown and no stop. One equi-join on cells; a profile is an array of 35 samples, so no group grows with the data.
     """
     at = stations(ways, key, path).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(_LAST))))
     out = (F.col("i") + 1) * STEP
     at = at.withColumns({"cx": F.floor((F.col("x") + F.col("nx") * out) / cell), "cz": F.floor((F.col("z") + F.col("nz") * out) / cell)})
     known = heights.select("cx", "cz", F.when(~F.isnan("h"), F.col("h")).alias("h"), F.coalesce("stop", F.lit(False)).alias("stop"))
-    seen = at.join(known, ["cx", "cz"], "left").select(key, "side", "d", F.struct("i", "h", F.coalesce("stop", F.lit(False)).alias("stop")).alias("s"))
+    seen = at.join(known.hint("merge"), ["cx", "cz"], "left").select(key, "side", "d", F.struct("i", "h", F.coalesce("stop", F.lit(False)).alias("stop")).alias("s"))
     profiles = seen.groupBy(key, "side", "d").agg(F.array_sort(F.collect_list("s")).alias("profile"))
     sides = profiles.select(key, "side", first_rise(F.col("profile")).alias("t")).groupBy(key, "side")
     found = sides.agg(F.count("*").alias("samples"), F.count("t").alias("detections"), F.percentile("t", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"))
@@ -84,5 +93,5 @@ def carriageway(ways: DataFrame, key: str, measured: DataFrame, estimate: Column
     sides = ways.select(key, estimate.alias("_e")).withColumn("side", F.explode(F.array(F.lit(1), F.lit(-1))))
     kerb, guess = F.col("kerb"), F.col("_e.value")
     good = (kerb >= NARROWEST) & (kerb <= F.greatest(WIDER * guess, guess + FARTHER))
-    chosen = sides.join(measured, [key, "side"], "left")
+    chosen = sides.join(measured.hint("merge"), [key, "side"], "left")
     return chosen.select(*measured.columns, F.when(good, kerb).otherwise(guess).alias("half"), F.when(good, F.lit("kerb profile")).otherwise(F.col("_e.how")).alias("how"))

@@ -22,7 +22,7 @@ def streets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = F.when(F.col("way") % 2 == 0, F.array(at(ends[0]), at(ends[1]))).otherwise(F.array(at(ends[1]), at(ends[0])))
     tags = F.map_from_arrays(F.array(F.lit("highway"), F.lit("lanes"), F.lit("width")), F.array(F.when(F.col("pid") % 3 == 0, "primary").otherwise("residential"), (F.col("pid") % 5 + 1).cast("string"), F.when(F.col("pid") % 8 == 1, "9 m")))
     ways = p.select("pid", path.alias("path"), tags.alias("tags"))
-    cells = p.withColumn("u", F.explode(F.sequence(F.lit(15), F.lit(50)))).withColumn("v", F.explode(F.sequence(F.lit(12), F.lit(52)))).where("(7 * u + 11 * v + pid) % 19 > 0")
+    cells = profiles.spread(p, "pid").withColumn("u", F.explode(F.sequence(F.lit(15), F.lit(50)))).withColumn("v", F.explode(F.sequence(F.lit(12), F.lit(52)))).where("(7 * u + 11 * v + pid) % 19 > 0")
     raised = F.when((F.col("v") - 32 > F.col("high")) | (32 - F.col("v") > F.col("low")), 0.125).otherwise(0.0)
     along, across = (F.when(F.col("way") < 2, F.col(a)).otherwise(F.col(b)) for a, b in (("u", "v"), ("v", "u")))
     return ways, cells.select((F.col("bx") + along).alias("cx"), (F.col("bz") + across).alias("cz"), (F.col("pid") % 7 + raised).alias("h"), ((F.col("pid") % 6 == 0) & (F.col("v") == 37)).alias("stop"))

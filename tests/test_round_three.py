@@ -59,7 +59,7 @@ def test_copies_of_boxes_equal_the_sql(spark, tmp_path, name):
     assert equal_to_sql(spark, tmp_path, name, part=parts(4), lineitem=lines(9000)) > 0
 
 
-@pytest.mark.parametrize("name", ["j13_associated_points", "j13_point_in_polygon", "a3_footprint_heights", "j21_nearest_within", "j10_overlap_pair"])
+@pytest.mark.parametrize("name", ["j13_associated_points", "j13_point_in_polygon", "a3_footprint_heights", "j21_nearest_within", "j10_overlap_pair", "a26_kerb_profiles"])
 def test_no_side_in_bins_is_broadcast(spark, name):
     """A file of boxes of some MB was broadcast after it was exploded into bins with its rings."""
     plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
