@@ -9,9 +9,10 @@ from gridloom.streaming import jobs
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole table, dealt into files that arrive out of order by up to six hours, one file a batch."""
+    """The whole table, dealt into parts that arrive out of order by up to six hours, one part a batch."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return job_events(jobs.read_events(spark, jobs.deal_files(table, jobs.scratch(spark, "arrivals"))))
+    path, files = jobs.deal(table, jobs.scratch(spark, "arrivals"), piece=jobs.PIECE)
+    return job_events(jobs.read_events(spark, path, files))
 
 
 @query("WITH w AS (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM f_job_events WHERE state='complete') SELECT epoch_us(s)::BIGINT AS start_us, count(*)::BIGINT AS n FROM w GROUP BY 1", "f_job_events")

@@ -7,10 +7,15 @@ what there is and gives the result as a table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gridloom.sources.shared import scratch
@@ -27,15 +32,30 @@ def read_events(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
     return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def deal_files(events: DataFrame, path: str, files: int = 4, late_s: int = 6 * 3600) -> str:
-    """Events as files that arrive one after the other, each row up to late_s out of order: the table as a log of arrivals."""
+#: Rows of a file that deal() aims at; files of fewer rows are only written where a part has no more.
+PIECE = 250_000
+
+
+def deal(events: DataFrame, path: str, files: int = 4, late_s: int = 6 * 3600, piece: int | None = None) -> tuple[str, int]:
+    """Events as parts that arrive one after the other, each row up to late_s out of order: the table as a log of arrivals.
+
+    Parts hold about equally many rows. With `piece`, a part is several files of that many rows at least, else one. Returns the
+    pattern of all files and how many make up a part, which is what a micro-batch should take.
+    """
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     come = us + F.pmod(F.xxhash64("event_id"), F.lit(late_s * 1_000_000))
-    low, high = events.agg(F.min(come), F.max(come)).first()
-    for k in range(files):
-        part = F.lit(0) if low is None or high == low else F.least(F.floor((come - low) * files / (high - low)), F.lit(files - 1))
-        events.where(part == k).coalesce(1).write.mode("append").parquet(f"{path}/{k:04d}")
-    return f"{path}/*"
+    cuts = events.agg(F.percentile_approx(come, [k / files for k in range(1, files)] or [1.0])).first()[0] or []
+    part = reduce(add, [(come > c).cast("int") for c in cuts[: files - 1]], F.when(come.isNotNull(), 0))
+    held = {r["part"]: r["n"] for r in events.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect() if r["part"] is not None}
+    pieces = max(1, min(held.values(), default=0) // piece) if piece else 1
+    for k in sorted(held) or [0]:
+        events.where(part == k).repartition(pieces).write.mode("append").parquet(f"{path}/{k:04d}")
+    return f"{path}/*", pieces
+
+
+def deal_files(events: DataFrame, path: str, files: int = 4, late_s: int = 6 * 3600) -> str:
+    """The pattern of deal() with one file a part."""
+    return deal(events, path, files, late_s)[0]
 
 
 def drain(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
@@ -78,64 +98,116 @@ def current_state(events: DataFrame) -> DataFrame:
 
 
 class InOrder(StatefulProcessor):
-    """Rows of a key stepped in event time, whatever their order of arrival within the watermark's delay.
-
-    Rows wait in the state until the watermark has passed their `at`; then they are stepped for good and leave it. Rows that
-    still wait are stepped on a copy, so each batch also gives the outcome so far, not settled. Every call gives one row with
-    null outcome columns, which replaces what the key showed before. `fold` has start, step(carry, row) -> (carry, outcomes)
-    and open(carry) -> outcomes; a carry is a tuple of longs and nulls.
+    """Rows of each key stepped in event time, whatever their order of arrival within the watermark's delay.
+
+    Spark groups by a bucket of keys, as each call and each read of the state has a fixed cost; within a bucket keys are
+    apart. Rows wait in the state until the watermark has passed their `at`; then they are stepped for good and leave it.
+    Rows that still wait are stepped on a copy, so each batch also gives the outcome so far, not settled. Of each key with
+    rows a call gives one row with null outcome columns, which replaces what the key showed before. `fold` has start,
+    step(carry, row) -> (carry, outcomes) and open(carry) -> outcomes; a carry is a tuple of longs and nulls. Longs come
+    without nulls, the last column has a bit for each that was null.
     """
 
-    def __init__(self, fold, columns: list[str], carry: list[str]):
-        self.fold, self.columns, self.names = fold, columns, carry
+    def __init__(self, fold, keys: pa.Schema, columns: list[str], carry: list[str]):
+        self.fold, self.n = fold, len(keys)
+        self.rows = pa.schema([*keys, *(pa.field(c, pa.int64()) for c in columns), pa.field("nulls", pa.int64())])
+        self.carried = pa.schema([*keys, pa.field("nulls", pa.int64()), *(pa.field(f"carry_{c}", pa.int64()) for c in carry)])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", ", ".join(f"{c} long" for c in self.columns))
-        self.carry = handle.getValueState("carry", ", ".join(f"{c} long" for c in self.names))
-
-    def _run(self, key: tuple, fresh: list[tuple], timers) -> pd.DataFrame:
-        passed = timers.getCurrentWatermarkInMs() * 1000
-        rows = sorted([*(tuple(r) for r in self.waiting.get()), *fresh])
-        carry = tuple(self.carry.get()) if self.carry.exists() else self.fold.start
-        done = [r for r in rows if r[0] < passed]
-        wait = rows[len(done) :]
-        out: list[tuple] = [(*key, False, *(None,) * len(self.fold.outcome))]
-        for settled, some in ((True, done), (False, wait)):
-            if not settled:
-                if done:
-                    self.carry.update(carry)
-                if done or fresh:
-                    self.waiting.put(wait) if wait else self.waiting.clear()
-            for row in some:
-                carry, found = self.fold.step(carry, row)
+        self.waiting = handle.getValueState("waiting", "rows binary")
+        self.carry = handle.getValueState("carry", "rows binary")
+
+    @staticmethod
+    def _load(state, schema: pa.Schema) -> pa.Table:
+        if not state.exists():
+            return schema.empty_table()
+        with pa.ipc.open_stream(bytes(state.get()[0])) as reader:
+            return reader.read_all()
+
+    @staticmethod
+    def _save(state, table: pa.Table) -> None:
+        if table.num_rows == 0:
+            state.clear()
+            return
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+
+    def _run(self, fresh: list[pa.Table], timers) -> pd.DataFrame:
+        passed, names, n = timers.getCurrentWatermarkInMs() * 1000, self.rows.names, self.n
+        table = pa.concat_tables([self._load(self.waiting, self.rows), *fresh])
+        # keys with their null bits first, then `at`: a key's rows are together and in order
+        key_bits = pc.bit_wise_and(table["nulls"], (1 << n) - 1)
+        table = table.append_column("bits", key_bits).sort_by([(c, "ascending") for c in [*names[:n], "bits", *names[n:]]])
+        carries = {tuple(r[: n + 1]): tuple(r[n + 1 :]) for r in zip(*(c.to_pylist() for c in self._load(self.carry, self.carried).columns))}
+        nulls, fold = table["nulls"].to_pylist(), self.fold
+        rows = list(zip(*(table[c].to_pylist() for c in names[n:-1])))
+        for i, bits in enumerate(nulls):
+            if bits >> n:
+                rows[i] = tuple(None if bits >> n + j & 1 else v for j, v in enumerate(rows[i]))
+        out: list[tuple] = []
+        last = carry = key = None
+        settled = True
+        for ident, row in zip(zip(*(table[c].to_pylist() for c in [*names[:n], "bits"])), rows):
+            if ident != last:
+                if last is not None:
+                    if settled:
+                        carries[last] = carry
+                    out += [(*key, False, *f) for f in fold.open(carry)]
+                last, settled, carry = ident, True, carries.get(ident, fold.start)
+                key = tuple(None if ident[n] >> j & 1 else v for j, v in enumerate(ident[:n]))
+                out.append((*key, False, *(None,) * len(fold.outcome)))
+            if settled and row[0] >= passed:
+                carries[last], settled = carry, False
+            carry, found = fold.step(carry, row)
+            if found:
                 out += [(*key, settled, *f) for f in found]
-        out += [(*key, False, *f) for f in self.fold.open(carry)]
+        if last is not None:
+            if settled:
+                carries[last] = carry
+            out += [(*key, False, *f) for f in fold.open(carry)]
+        wait = table.filter(pc.greater_equal(table[names[n]], passed)).select(names)
+        self._save(self.waiting, wait)
+        if wait.num_rows < table.num_rows:
+            held = [(*k, *c) for k, c in carries.items() if c != fold.start]
+            self._save(self.carry, pa.table([pa.array([r[i] for r in held], f.type) for i, f in enumerate(self.carried)], schema=self.carried))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if wait:
-            self.handle.registerTimer(wait[0][0] // 1000 + 1)
-        kinds = self.fold.key + ["settled"] + self.fold.outcome
-        table = pd.DataFrame(out, columns=kinds)
-        return table.astype({c: "Int64" for c in self.fold.outcome if c not in self.fold.texts})
+        if wait.num_rows:
+            self.handle.registerTimer(pc.min(wait[names[n]]).as_py() // 1000 + 1)
+        found = list(zip(*out)) if out else [[]] * (n + 1 + len(fold.outcome))
+        kinds = {**{f.name: "Int64" for f in self.rows if pa.types.is_integer(f.type)}, **{c: "Int64" for c in fold.outcome if c not in fold.texts}}
+        return pd.DataFrame({c: pd.array(v, kinds[c]) if c in kinds else pd.Series(v, dtype=bool if c == "settled" else object) for c, v in zip([*names[:n], "settled", *fold.outcome], found)})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield self._run(key, [t for part in rows for t in zip(*(part[c].tolist() for c in self.columns))], timerValues)
+        yield self._run([pa.Table.from_pandas(part[self.rows.names], self.rows, preserve_index=False) for part in rows], timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._run(key, [], timerValues)
+        yield self._run([], timerValues)
 
     def close(self) -> None:
         pass
 
 
+#: Buckets of keys in the state. A bucket's rows are in one task's memory: those of so many keys as fall to it, of one batch and of the watermark's delay.
+BUCKETS = 1024
+
+
 def _in_order(events: DataFrame, key: list[str], columns: list[str], fold, carry: list[str], late: str) -> DataFrame:
     """events with `at` (microseconds) first among the columns; result: key, settled and the fold's outcome, for update mode."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     kinds = dict(events.dtypes)
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in key), "settled boolean", *(f"{c} {'string' if c in fold.texts else 'long'}" for c in fold.outcome)])
-    timed = events.withWatermark("ts", late).select(*key, "ts", *columns)
-    return timed.groupBy(*key).transformWithStateInPandas(InOrder(fold, columns, carry), schema, "update", "EventTime")
+    types = to_arrow_schema(events.select(*key).schema)
+    empty = {k: F.lit("") if kinds[k] == "string" else F.lit(0).cast(kinds[k]) for k in key}
+    bits = [F.col(c).isNull().cast("long") * (1 << i) for i, c in enumerate([*key, *columns])]
+    full = [F.coalesce(c, empty[c]).alias(c) for c in key] + [F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in columns]
+    bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).alias("bucket")
+    # a row without a time has no place in the order
+    timed = events.where(F.col(columns[0]).isNotNull()).withWatermark("ts", late).select(bucket, "ts", *full, reduce(add, bits).alias("nulls"))
+    return timed.groupBy("bucket").transformWithStateInPandas(InOrder(fold, types, columns, carry), schema, "update", "EventTime")
 
 
 def outcomes(drained: DataFrame, one: str) -> DataFrame:
