@@ -277,9 +277,31 @@ def _able(counted: DataFrame, percent: int) -> DataFrame:
     Up to the end of the prefix that ends first in the global order, the shared count is all of the overlap; what lies
     behind it is at most the rest of that document. A link needs percent * (na + nb) / (100 + percent) in all.
     """
+    return counted.where(_fits(percent)).where(F.expr(f"c >= {_least_shared(percent)}")).select("a", "b", "na", "nb")
+
+
+def _least_shared(percent: int) -> str:
+    """SQL of the least count of n-grams that the prefixes of a link share."""
     least = f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}"
     rest = f"({percent} * greatest(na, nb) + 99) div 100 - 1"
-    return counted.where(_fits(percent)).where(F.expr(f"c >= {least} - ({rest})")).select("a", "b", "na", "nb")
+    return f"({least} - ({rest}))"
+
+
+def _across(small: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """small (key, class, n, root, m: groups that lie in several components) and listed pairs -> the pairs across components that may link.
+
+    A class's keys are ordered, those of large groups last. Of l keys that a pair shares, the first has l - 1 of either class
+    behind it: a link is met at a key with so many behind it on both sides, so keys of large groups are met for few pairs, and
+    a pair at few of its keys. What is met so (or listed) is then counted on all keys, a row per pair.
+    """
+    behind = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("m"), F.desc("key"))) - 1
+    ranked = materialize(small.select("key", "class", "n", "root", behind.alias("behind")), "ranked")
+    left, right = (ranked.select("key", F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"), F.col("behind").alias(f"behind_{x}")) for x in "ab")
+    met = left.join(right, "key").where(F.expr(f"a < b AND ra <> rb AND least(behind_a, behind_b) >= {_least_shared(percent)} - 1") & _fits(percent))
+    pairs = met.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("c")).distinct().unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
+    keys = materialize(ranked.groupBy("class").agg(F.collect_list("key").alias("keys")), "keys")
+    both = pairs.join(keys.withColumnsRenamed({"class": "a", "keys": "ka"}), "a", "left").join(keys.withColumnsRenamed({"class": "b", "keys": "kb"}), "b", "left")
+    return _able(both.withColumn("c", F.col("c") + F.when(F.expr("ka IS NOT NULL AND kb IS NOT NULL"), F.size(F.array_intersect("ka", "kb"))).otherwise(0)), percent)
 
 
 def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFrame:
@@ -416,10 +438,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     open_ = materialize(placed.join(split, "key"), "open")
     release(spark)
     small = open_.where(F.col("m") <= direct)
-    left = small.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = small.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = left.join(right, "key").where("a < b AND ra <> rb").where(_fits(percent)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    across = materialize(_able(met.unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent), "small")
+    across = materialize(_across(small, listed, percent), "small")
     release(spark)
     # a pair that shares a small group and a large one is counted too low here, but the large one finds it
     large = materialize(open_.where(F.col("m") > direct).select(F.col("class").alias("x"), "p", "root").distinct(), "large")
