@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import aside, materialize, restored
+from gridloom.llm.common import aside, distilled, materialize, restored
 from gridloom.llm.mixing import mix_sources
 from gridloom.llm.ngram_join import ngram_jaccard
 from gridloom.llm.packing import pack_documents
@@ -40,8 +40,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     inner, names = aside(docs, ["doc_id", "text"])
     rows = inner.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text"))
-    gone = materialize(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+    gone = distilled(spark, lambda: ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text")).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
     kept = rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("_row") == F.col("_gone"), "left_anti")
     return kept.select(*restored(names))
 

@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,33 @@ def scratch(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to shared scratch and read back: cuts the lineage with a copy that outlives any executor."""
     path = scratch(df.sparkSession, name)
+    if (held := _passing.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+def distilled(spark: SparkSession, result: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result written as `name`, after which all that was materialized to make it is deleted from shared scratch."""
+    held: list[str] = []
+    token = _passing.set(held)
+    try:
+        made = result()
+        _passing.reset(token)
+        token = None
+        kept = materialize(made, name)
+    finally:
+        if token is not None:
+            _passing.reset(token)
+        for path in held:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return kept
+
+
 def release(spark: SparkSession) -> None:
     """Drop shuffle files of finished jobs that nothing refers to any more (Spark's cleaner follows the driver's garbage)."""
     gc.collect()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, aside, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tidy, tune
+from .common import RollingHash, aside, distilled, doc_key, frequent_keys, materialize, mix, partitions, release, sliding, text_bytes, tidy, tune
 
 COVERED, OPEN, OPEN_FREQUENT, WHOLE = 0, 1, 2, 3
 
@@ -358,7 +358,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, k: int = 40, frequent: in
     strings = found.where("kind = 2").select("key", "d", "t", "s", "e")
     again = materialize(strings.groupBy("key").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1").select("key", "d0"), "again")
     later = strings.where("e IS NOT NULL").join(again, "key").where("d > d0").select("d", "t", "s", "e")
-    return materialize(found.where("kind = 0").select("d", "t", "s", "e").unionByName(matched).unionByName(later), "spans"), clash
+    return found.where("kind = 0").select("d", "t", "s", "e").unionByName(matched).unionByName(later), clash
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False, **options: int) -> DataFrame:
@@ -367,7 +367,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, digest_only: bool = False
     digest_only leaves out kept and the other columns. Other columns may have any name; those named like an output give way to it.
     """
     inner, names = aside(docs, ["doc_id", "text"])
-    spans, clash = repeated_spans(inner, length, **options)
+    clashes: list[bool] = []
+
+    def found() -> DataFrame:
+        rows, clash = repeated_spans(inner, length, **options)
+        clashes.append(clash)
+        return rows
+
+    spans, clash = distilled(docs.sparkSession, found, "spans"), clashes[0]
     release(docs.sparkSession)
     listed = spans.groupBy(F.col("d").alias("_ld"), F.col("t").alias("_lt")).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     others = [] if digest_only else [c for c in docs.columns if c not in ("doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
