@@ -10,7 +10,7 @@ A suffix array of a whole corpus can't be cut into tasks, so suffixes are first
    whose contexts differ is left open for the first document of each context.
 3. Open contexts meet by anchor, and a suffix array over each bundle (prefix doubling to depth `length`) gives the previous
    smaller position of every suffix in suffix order; LPF >= length marks the later copy. Anchors that very many documents
-   share are not brought to one task: their strings are grouped by hash instead, which combines before the shuffle.
+   or contexts share are not brought to one task: their strings are grouped by hash instead, which combines before the shuffle.
 Exact copies of a document are settled by a hash of the whole text.
 
 Results for odd inputs: null texts are empty; texts shorter than `length` keep all bytes; rows with equal ids stand at
@@ -123,7 +123,7 @@ def _text_hash(data: np.ndarray) -> int:
 
 
 def _survey(docs: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(d, text hash, row key t) of each document that is long enough, and each task's counts of anchors met more than a few times."""
+    """(d, text hash, row key t) of each document that is long enough, and each task's counts of anchors met more than a few times, by documents and contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -142,7 +142,8 @@ def _survey(docs: DataFrame, length: int, k: int) -> tuple[DataFrame, DataFrame]
                     d.append(doc)
                     hashes.append(_text_hash(data))
                     ts.append(t)
-                    held.append(np.unique(found[1]))
+                    # once for each context, as a bundle gets it: one document may hold very many of an anchor
+                    held.append(found[1][np.unique(_code(found[1], found[2]), return_index=True)[1]])
             none = pa.nulls(len(d), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(hashes, pa.int64()), pa.array(ts, pa.int64()), none, none], names=["d", "hash", "t", "key", "n"])
             if sum(map(len, held)) > 4_000_000:
@@ -297,7 +298,7 @@ def _bundles(length: int):
     """Open contexts sorted by anchor -> spans (d, t, s, e) of strings that occur earlier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 0, size=1 << 20):
+        for table in _whole_groups(batches, 0, size=1 << 18):
             d, s, t = table.column(1).to_numpy(), table.column(2).to_numpy(), table.column(4).to_numpy()
             parts = text_bytes(table.column(3))
             sizes = np.array([len(x) for x in parts])
