@@ -20,8 +20,8 @@ PIECES = {
 _PLAIN = {"byte": re.compile(f" [{_LETTERS}]+"), "word": re.compile(f"[{_LETTERS}]+")}
 _BREAK = {"byte": "\u0120", "word": "</w>"}
 END_ID = 2
-#: Cached pieces, some 100 bytes each: beyond these a piece costs more to keep than to encode again.
-ENTRIES = {"byte": 200_000, "word": 1_000_000}
+#: Cached pieces, some 100 bytes each, so at most 100 MB or so a worker; pieces beyond these are encoded again where they come up.
+ENTRIES = {"byte": 1_000_000, "word": 1_000_000}
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
 
