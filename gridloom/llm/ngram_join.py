@@ -13,7 +13,7 @@ links is joined up as components. Groups that still lie in several components ar
   in no S. Two classes that both link to p are one component; so in any pair that is open one, x, does not, which makes t
   more than half of S(y). A prefix filter on S, n-grams that p lacks first, then finds the pairs: rows in proportion to
   the group's differences, not to its pairs.
-Pairs that counts, sizes or the triangle inequality rule out need no sets; all others are counted, so no link between
+Pairs that counts, sizes, parity maps or the triangle inequality rule out need no sets; all others are counted, so no link between
 different components is lost.
 
 Results for odd inputs: a text with no words (or null) has no n-grams, is linked with nothing and is its own component;
@@ -43,6 +43,8 @@ _LOWER[65:91] += 32
 FRAGMENTS = 4
 #: The count sketch has 2^SKETCH buckets, whatever the corpus; they are sent in pieces of 2^PIECE.
 SKETCH, PIECE = 21, 14
+#: Bits of a set's parity map, as 64-bit numbers.
+MAP = 2048
 
 
 def shingle_sets(texts: list[np.ndarray], n: int = 5) -> list[np.ndarray]:
@@ -239,31 +241,38 @@ def _wholes(docs: DataFrame, n: int, wanted: DataFrame, sizes: DataFrame, few: i
     return texts.mapInArrow(tidy(run), "class long, grams binary").groupBy("class").agg(F.first("grams").alias("grams"))
 
 
+def parity_map(s: np.ndarray) -> np.ndarray:
+    """Of each of MAP buckets, whether it has an odd number of the set's hashes; maps differ in at most as many bits as the sets in n-grams."""
+    odd = np.bincount((s % np.uint64(MAP)).astype(np.int64), minlength=MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _cut(wholes: DataFrame, levels: Broadcast) -> DataFrame:
-    """class, fragment, part: each set cut at the pivots of the global order; what frequent n-grams hold is the last fragment."""
+    """class, fragment, part, map: each set cut at the pivots of the global order; what frequent n-grams hold is the last fragment. Fragment -1 has the parity map."""
     pivots = np.array([k * (2**64 // (FRAGMENTS - 1)) for k in range(1, FRAGMENTS - 1)], np.uint64)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c, f, p = [], [], []
+            c, f, p, m = [], [], [], []
             for key, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = np.frombuffer(whole, np.uint64)
                 often = levels.value[_bucket(s)] > 0
                 rare = s[~often]
                 at = [0, *np.searchsorted(rare, pivots).tolist(), len(rare)]
-                c += [key] * FRAGMENTS
-                f += range(FRAGMENTS)
-                p += [*(rare[i:j].tobytes() for i, j in zip(at, at[1:])), s[often].tobytes()]
+                c += [key] * (FRAGMENTS + 1)
+                f += range(-1, FRAGMENTS)
+                p += [None, *(rare[i:j].tobytes() for i, j in zip(at, at[1:])), s[often].tobytes()]
+                m += [parity_map(s), *[None] * FRAGMENTS]
                 if len(p) >= 512:
-                    yield rows(c, f, p)
-                    c, f, p = [], [], []
+                    yield rows(c, f, p, m)
+                    c, f, p, m = [], [], [], []
             if p:
-                yield rows(c, f, p)
+                yield rows(c, f, p, m)
 
-    def rows(c: list, f: list, p: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(p, pa.binary())], names=["class", "fragment", "part"])
+    def rows(c: list, f: list, p: list, m: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(f, pa.int32()), pa.array(p, pa.binary()), pa.array(m, pa.list_(pa.int64()))], names=["class", "fragment", "part", "map"])
 
-    return materialize(wholes.mapInArrow(tidy(cut), "class long, fragment int, part binary").where("length(part) > 0"), "fragments")
+    return materialize(wholes.mapInArrow(tidy(cut), "class long, fragment int, part binary, map array<long>").where("fragment < 0 OR length(part) > 0"), "fragments")
 
 
 def _fits(percent: int) -> Column:
@@ -304,6 +313,14 @@ def _across(small: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
     return _able(both.withColumn("c", F.col("c") + F.when(F.expr("ka IS NOT NULL AND kb IS NOT NULL"), F.size(F.array_intersect("ka", "kb"))).otherwise(0)), percent)
 
 
+def _screen(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, na, nb) but those whose parity maps differ in more bits than a link's sets may differ in n-grams: a row per pair, no link lost."""
+    maps = parts.where("fragment < 0").select("class", "map")
+    both = pairs.select("a", "b", "na", "nb").join(maps.withColumnsRenamed({"class": "a", "map": "ma"}), "a").join(maps.withColumnsRenamed({"class": "b", "map": "mb"}), "b")
+    apart = "aggregate(zip_with(ma, mb, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
+    return materialize(both.where(F.expr(f"{100 + percent} * {apart} <= {100 - percent} * (na + nb)")).select("a", "b", "na", "nb"), "screened")
+
+
 def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link: overlaps counted fragment by fragment, summed per pair. Up to `few` pairs are broadcast to the parts of b."""
 
@@ -313,10 +330,11 @@ def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFr
             got = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(left, right)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(got, pa.int64())], names=["a", "b", "na", "nb", "overlap"])
 
+    listed = _screen(pairs, parts, percent)
+    parts = parts.where("fragment >= 0")
     a = parts.select(F.col("class").alias("a"), "fragment", F.col("part").alias("pa"))
     b = parts.select(F.col("class").alias("b"), "fragment", F.col("part").alias("pb"))
-    listed = pairs.select("a", "b", "na", "nb")
-    met = b.join(F.broadcast(listed) if pairs.count() <= few else listed, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
+    met = b.join(F.broadcast(listed) if listed.count() <= few else listed, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
     summed = met.mapInArrow(tidy(overlap), "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
     return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
 
