@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import materialize, partitions, scratch, tune
 
 MAGIC = b"\x1f\x8b\x08"
+VERSION = b"WARC/1."
 DATE = "2024-01-01T00:00:00Z"
 ID = "urn:page:"
 
@@ -110,7 +111,7 @@ class _Window:
 def _member(win: _Window, place: int, keep: bool) -> tuple[bytes | None, int] | None:
     """(content, next place) of the member at `place`; None if there is no sound WARC member. keep=False: the header alone."""
     gz, parts, at, step = zlib.decompressobj(31), [], place, 1 << 12
-    first = True
+    first = b""  # a window may end within a member's first bytes, so these can come in pieces
     try:
         while not gz.eof:
             if at >= win.size:
@@ -118,15 +119,15 @@ def _member(win: _Window, place: int, keep: bool) -> tuple[bytes | None, int] |
             data, step = win.at(at, 1)[:step], min(step * 4, 1 << 18)
             raw = gz.decompress(data)
             at += len(data)
-            if raw and first:
-                if not raw.startswith(b"WARC/1."):
+            if len(first) < len(VERSION):
+                first += raw[: len(VERSION)]
+                if not first.startswith(VERSION[: len(first)]):
                     return None
-                first = False
             if keep:
                 parts.append(raw)
     except zlib.error:
         return None
-    return b"".join(parts), at - len(gz.unused_data)
+    return (b"".join(parts), at - len(gz.unused_data)) if first.startswith(VERSION) else None
 
 
 def _chains(win: _Window, start: int, end: int) -> list[tuple[int, int | None]]:
