@@ -24,7 +24,7 @@ row; an empty table gives no rows; extra columns are ignored, whatever their nam
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RollingHash, doc_key, materialize, mix, partitions, release, text_bytes, tidy, tune
+from .common import RollingHash, distilled, doc_key, materialize, mix, partitions, release, text_bytes, tidy, tune
 from .components import components
 
 _WORD = np.ones(256, bool)
@@ -43,8 +43,10 @@ _LOWER[65:91] += 32
 FRAGMENTS = 4
 #: The count sketch has 2^SKETCH buckets, whatever the corpus; they are sent in pieces of 2^PIECE.
 SKETCH, PIECE = 21, 14
-#: Bits of a set's parity map, as 64-bit numbers.
+#: Least bits of a set's parity map, as 64-bit numbers; a larger set has the power of two that gives each n-gram four or more.
 MAP = 2048
+#: Bytes of maps or sets that pairs are met with in one go; what is more follows in further goes, so scratch is bounded however many pairs there are.
+HELD = 1 << 30
 
 
 def shingle_sets(texts: list[np.ndarray], n: int = 5) -> list[np.ndarray]:
@@ -148,7 +150,7 @@ def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         none, task = pa.nulls(1, pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64())
         for piece in range(1 << SKETCH - PIECE):
             at, count = _pack(counts[piece << PIECE : piece + 1 << PIECE])
-            if at:
+            if count:
                 yield pa.RecordBatch.from_arrays([none, task, none, none, none, pa.array([piece], pa.int32()), pa.array([at], pa.binary()), pa.array([count], pa.binary())], names=names)
 
     both = materialize(_docs(docs).mapInArrow(tidy(run), "doc_id long, d long, h long, n long, class long, piece int, at binary, count binary"), "sets")
@@ -156,17 +158,22 @@ def _sets(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _pack(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Places and values of the counts above 0, in one byte each where they fit, else eight."""
+    """Places and values of the counts above 0, in one byte each where they fit, else eight; no places where all values take less."""
     at = np.flatnonzero(counts).astype("<u2")
-    return at.tobytes(), counts[at].astype("<u1" if not len(at) or counts.max() < 256 else "<u8").tobytes()
+    small = not len(at) or counts.max() < 256
+    if small and 3 * len(at) > len(counts):
+        return b"", counts.astype("<u1").tobytes()
+    return at.tobytes(), counts[at].astype("<u1" if small else "<u8").tobytes()
 
 
 def _unpacked(at: bytes, count: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not at:
+        return np.arange(len(count)), np.frombuffer(count, "<u1")
     return np.frombuffer(at, "<u2").astype(np.int64), np.frombuffer(count, "<u1" if 2 * len(count) == len(at) else "<u8")
 
 
-def _levels(counts: DataFrame) -> np.ndarray:
-    """A level (uint8) for each bucket: 0 for what is within chance of the mean, then the logarithm of what exceeds it.
+def _levels(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """A level (uint8) for each bucket: 0 for what is within chance of the mean, then the logarithm of what exceeds it; and the count of n-grams that chance may hide.
 
     Counts are summed in tasks, first by piece and salt, then by piece; the driver gets 2^SKETCH numbers, whatever the corpus.
     """
@@ -191,7 +198,7 @@ def _levels(counts: DataFrame) -> np.ndarray:
         total[places + (row["piece"] << PIECE)] = values
     mean = np.median(total)
     over = np.maximum(0, total - mean - 5 * np.sqrt(mean) - 4)
-    return np.where(over > 0, 1 + np.log2(1 + over), 0).astype(np.uint8)
+    return np.where(over > 0, 1 + np.log2(1 + over), 0).astype(np.uint8), int(8 * np.sqrt(mean))
 
 
 def _order(s: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,8 +249,12 @@ def _wholes(docs: DataFrame, n: int, wanted: DataFrame, sizes: DataFrame, few: i
 
 
 def parity_map(s: np.ndarray) -> np.ndarray:
-    """Of each of MAP buckets, whether it has an odd number of the set's hashes; maps differ in at most as many bits as the sets in n-grams."""
-    odd = np.bincount((s % np.uint64(MAP)).astype(np.int64), minlength=MAP) & 1
+    """Of each of MAP or more buckets, whether it has an odd number of the set's hashes; maps differ in at most as many bits as the sets in n-grams.
+
+    A map's halves, one over the other, are the map of half the bits, so maps of sets of any two sizes can be compared.
+    """
+    bits = max(MAP, 1 << (4 * len(s) - 1).bit_length())
+    odd = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -307,18 +318,41 @@ def _across(small: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
     ranked = materialize(small.select("key", "class", "n", "root", behind.alias("behind")), "ranked")
     left, right = (ranked.select("key", F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"), F.col("behind").alias(f"behind_{x}")) for x in "ab")
     met = left.join(right, "key").where(F.expr(f"a < b AND ra <> rb AND least(behind_a, behind_b) >= {_least_shared(percent)} - 1") & _fits(percent))
-    pairs = met.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("c")).distinct().unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
+    pairs = materialize(met.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("c")).distinct().unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), "met")
     keys = materialize(ranked.groupBy("class").agg(F.collect_list("key").alias("keys")), "keys")
-    both = pairs.join(keys.withColumnsRenamed({"class": "a", "keys": "ka"}), "a", "left").join(keys.withColumnsRenamed({"class": "b", "keys": "kb"}), "b", "left")
-    return _able(both.withColumn("c", F.col("c") + F.when(F.expr("ka IS NOT NULL AND kb IS NOT NULL"), F.size(F.array_intersect("ka", "kb"))).otherwise(0)), percent)
+
+    def counted(some: DataFrame) -> DataFrame:
+        both = some.join(keys.withColumnsRenamed({"class": "a", "keys": "ka"}), "a", "left").join(keys.withColumnsRenamed({"class": "b", "keys": "kb"}), "b", "left")
+        return _able(both.withColumn("c", F.col("c") + F.when(F.expr("ka IS NOT NULL AND kb IS NOT NULL"), F.size(F.array_intersect("ka", "kb"))).otherwise(0)), percent)
+
+    return _in_goes(pairs, F.lit(256), counted, "counted")
+
+
+def _in_goes(pairs: DataFrame, held: Column, step: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """step (a row for a row) of all pairs (a, b), in as many goes as the bytes that they are met with call for: a go's shuffles are dropped before the next."""
+    goes = -(-(pairs.agg(F.sum(held.cast("long"))).first()[0] or 0) // HELD)
+    if goes < 2:
+        return step(pairs)
+    done = None
+    for i in range(goes):
+        one = materialize(step(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(goes)) == i)), name)
+        done = one if done is None else done.unionByName(one)
+        release(pairs.sparkSession)
+    return done
 
 
 def _screen(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) but those whose parity maps differ in more bits than a link's sets may differ in n-grams: a row per pair, no link lost."""
     maps = parts.where("fragment < 0").select("class", "map")
-    both = pairs.select("a", "b", "na", "nb").join(maps.withColumnsRenamed({"class": "a", "map": "ma"}), "a").join(maps.withColumnsRenamed({"class": "b", "map": "mb"}), "b")
-    apart = "aggregate(zip_with(ma, mb, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
-    return materialize(both.where(F.expr(f"{100 + percent} * {apart} <= {100 - percent} * (na + nb)")).select("a", "b", "na", "nb"), "screened")
+    words = "least(size(ma), size(mb))"
+    folded = lambda m: f"CASE WHEN size({m}) = {words} THEN {m} ELSE transform(sequence(0, {words} - 1), j -> aggregate(sequence(j, size({m}) - 1, {words}), 0L, (t, i) -> t ^ {m}[i])) END"
+    apart = f"aggregate(zip_with({folded('ma')}, {folded('mb')}, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
+
+    def near(some: DataFrame) -> DataFrame:
+        both = some.select("a", "b", "na", "nb").join(maps.withColumnsRenamed({"class": "a", "map": "ma"}), "a").join(maps.withColumnsRenamed({"class": "b", "map": "mb"}), "b")
+        return both.where(F.expr(f"{100 + percent} * {apart} <= {100 - percent} * (na + nb)")).select("a", "b", "na", "nb")
+
+    return materialize(_in_goes(pairs, F.expr(f"greatest(na, nb, {MAP // 8})"), near, "near"), "screened")
 
 
 def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFrame:
@@ -334,9 +368,13 @@ def _count(pairs: DataFrame, parts: DataFrame, percent: int, few: int) -> DataFr
     parts = parts.where("fragment >= 0")
     a = parts.select(F.col("class").alias("a"), "fragment", F.col("part").alias("pa"))
     b = parts.select(F.col("class").alias("b"), "fragment", F.col("part").alias("pb"))
-    met = b.join(F.broadcast(listed) if listed.count() <= few else listed, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
-    summed = met.mapInArrow(tidy(overlap), "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
-    return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
+
+    def linked(some: DataFrame) -> DataFrame:
+        met = b.join(F.broadcast(some) if some.count() <= few else some, "b").join(a, ["a", "fragment"]).select("a", "b", "na", "nb", "pa", "pb")
+        summed = met.mapInArrow(tidy(overlap), "a long, b long, na long, nb long, overlap long").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("o"))
+        return summed.where(F.expr(f"100 * o >= {percent} * (na + nb - o)")).select("a", "b")
+
+    return _in_goes(listed, 8 * F.col("nb"), linked, "linked")
 
 
 def _differences(coded: DataFrame, wholes: DataFrame, percent: int, levels: Broadcast) -> DataFrame:
@@ -407,13 +445,21 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     """documents -> doc_id, n_shingles, component_id: links are pairs with 100 * intersection >= percent * union.
 
     Groups of up to `tiny` rows give their pairs at once. direct is the size up to which a group's pairs across components are listed, so a class has at most that many partners
-    in a group; larger groups go by their differences. few bounds the list of texts that is broadcast to pick out the sets to
+    in a group; larger groups go by their differences. It is raised to the size of groups that the sketch may not tell from
+    rare n-grams (it grows with the square root of the corpus): their classes share little, so their differences would be nearly all of their sets. few bounds the list of texts that is broadcast to pick out the sets to
     verify. Neither bounds the result.
     """
     spark = docs.sparkSession
     tune(spark)
-    sets, counts = _sets(docs, n)
-    levels = spark.sparkContext.broadcast(_levels(counts))
+    order: list = []
+
+    def counted() -> DataFrame:
+        sets, counts = _sets(docs, n)
+        order[:] = _levels(counts)
+        return sets
+
+    sets = distilled(spark, counted, "classes")  # the sketch is not kept
+    levels, direct = spark.sparkContext.broadcast(order[0]), max(direct, order[1])
     release(spark)
     # an n-gram that one class alone has is of no use; frequent ones are kept unseen
     same = Window.partitionBy("key", "salt")
@@ -445,9 +491,8 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     first = materialize(_able(sized.select(*pair, "c").groupBy("a", "b", "na", "nb").agg(F.max("c").alias("c")).unionByName(listed).groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")), percent), "pairs")
     release(spark)
     ends_of = lambda pairs: materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "wanted")
-    parts = _cut(_wholes(docs, n, ends_of(first), sizes, few), levels)
     release(spark)
-    links = materialize(_count(first, parts, percent, few), "links")
+    links = distilled(spark, lambda: _count(first, _cut(_wholes(docs, n, ends_of(first), sizes, few), levels), percent, few), "links")
     roots = components(links)
     release(spark)
     # groups that lie in several components yet
@@ -464,7 +509,7 @@ def ngram_jaccard(docs: DataFrame, n: int = 5, percent: int = 75, direct: int =
     straight, more = _by_differences(large, _wholes(docs, n, ends_of_large, sizes, few), percent, levels)
     across = materialize(across.unionByName(more).distinct().join(first, ["a", "b"], "left_anti"), "across")
     release(spark)
-    found = _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent, few)
+    found = distilled(spark, lambda: _count(across, _cut(_wholes(docs, n, ends_of(across), sizes, few), levels), percent, few), "found")
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(straight).unionByName(found))
     release(spark)
     labelled = sets.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "class")).alias("root"))
