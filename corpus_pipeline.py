@@ -35,13 +35,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near copies: the one with the smallest id, null first, then by the text's hash; rows that repeat an id and a text are one document."""
-    # range-sorted, so the numbers rise with the ids; each distinct row has its own, so nothing is joined by an id that rows share.
-    # texts are no sort keys: the driver samples keys to cut the ranges
+    # a row goes by a hash of its id and text, so texts are read where they lie: neither written again nor shuffled, but those of repeated rows
     inner, names = aside(docs, ["doc_id", "text"])
-    rows = inner.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    gone = distilled(spark, lambda: ngram_jaccard(rows.select(F.col("_row").alias("doc_id"), "text")).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
-    kept = rows.join(F.broadcast(gone) if gone.count() <= FEW_IDS else gone, F.col("_row") == F.col("_gone"), "left_anti")
+    inner = inner.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.col("text").isNull()))
+    rows = materialize(inner.groupBy("_row").agg(F.min(F.struct("doc_id", F.xxhash64("text").alias("h"), "_row")).alias("place"), F.count("*").alias("n")), "rows")
+
+    def copies() -> DataFrame:
+        classes = ngram_jaccard(inner.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id").distinct()
+        placed = materialize(classes.join(rows, "_row").select("_row", "place", "component_id"), "placed")
+        first = placed.groupBy("component_id").agg(F.min("place").alias("first"))  # a null id is the least
+        return placed.join(first, "component_id").where("_row <> first._row").select(F.col("_row").alias("_gone"))
+
+    gone = distilled(spark, copies, "gone")
+    few = lambda ids: F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+    kept = inner.join(few(gone), F.col("_row") == F.col("_gone"), "left_anti")
+    again = rows.where("n > 1").select(F.col("_row").alias("_again"))
+    if not again.isEmpty():
+        once, twice = (kept.join(few(again), F.col("_row") == F.col("_again"), how) for how in ("left_anti", "left_semi"))
+        kept = once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
     return kept.select(*restored(names))
 
 
