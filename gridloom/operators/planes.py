@@ -82,8 +82,18 @@ def heights(fitted: DataFrame, key: str, offset: float = 0.0, rings: str = "ring
     rows = held.withColumn("z", F.explode(F.sequence(F.floor(bound(F.array_min)).cast("long"), F.floor(bound(F.array_max)).cast("long"))))
     spans = lambda f: F.transform(row_spans(f["e"], F.col("z") + 0.5), lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b"), f["plane"].alias("plane")))
     rows = rows.withColumn("_s", F.flatten(F.transform("_f", spans))).where("size(_s) > 0").drop("_f")
-    side = lambda pick, name: pick(F.transform("_s", lambda s: s[name]))
-    cells = rows.withColumn("x", F.explode(F.sequence(side(F.array_min, "a"), side(F.array_max, "b"))))
-    top = lambda p: F.floor(p["y"] + p["slope_x"] * (F.col("x") + 0.5 - p["x"]) + p["slope_z"] * (F.col("z") + 0.5 - p["z"]) + offset)
-    over = F.filter("_s", lambda s: (s["a"] <= F.col("x")) & (F.col("x") <= s["b"]))
-    return cells.select(key, "x", "z", F.array_max(F.transform(over, lambda s: top(s["plane"]))).alias("top")).where("top IS NOT NULL")
+    # where spans begin or end a row is cut, so that a part has the same planes throughout and a cell is plain arithmetic: no function of arrays a cell
+    cuts = F.array_sort(F.array_distinct(F.flatten(F.transform("_s", lambda s: F.array(s["a"], s["b"] + 1)))))
+    over = lambda a, b: F.array_distinct(F.transform(F.filter("_s", lambda s: (s["a"] <= a) & (b <= s["b"])), lambda s: s["plane"]))
+    part = lambda a, b: F.struct(a.alias("a"), b.alias("b"), over(a, b).alias("p"))
+    parts = rows.withColumn("_c", cuts).withColumn("_part", F.explode(F.transform(F.slice("_c", 1, F.size("_c") - 1), lambda c, i: part(c, F.get("_c", i + 1) - 1)))).where("size(_part.p) > 0")
+    parts = parts.select(key, "z", "_part.*")
+    down = lambda p: p["slope_z"] * (F.col("z") + 0.5 - p["z"])
+    top = lambda p, x, z: F.floor(p["y"] + p["slope_x"] * (x + 0.5 - p["x"]) + z + offset)
+    two = [F.struct(*(F.get("p", F.lit(i))[c].alias(c) for c in ("y", "slope_x", "x")), down(F.get("p", F.lit(i))).alias("down")).alias(f"p{i}") for i in (0, 1)]
+    more = F.when(F.size("p") > 2, F.transform(F.sequence("a", "b"), lambda x: F.array_max(F.transform("p", lambda p: top(p, x, down(p))))))
+    flat = parts.select(key, "z", "a", "b", F.size("p").alias("_n"), *two, more.alias("_tops"))
+    flat = flat.select(key, "z", "a", "_n", *(F.col(f"p{i}")[c].alias(f"{c}{i}") for i in (0, 1) for c in ("y", "slope_x", "x", "down")), "_tops", F.explode(F.sequence("a", "b")).alias("_x"))
+    at = lambda i: F.floor(F.col(f"y{i}") + F.col(f"slope_x{i}") * (F.col("_x") + 0.5 - F.col(f"x{i}")) + F.col(f"down{i}") + offset)
+    highest = F.when(F.col("_n") == 1, at(0)).when(F.col("_n") == 2, F.greatest(at(0), at(1))).otherwise(F.get("_tops", F.col("_x") - F.col("a")))
+    return flat.select(key, F.col("_x").alias("x"), "z", highest.alias("top")).where("top IS NOT NULL")
