@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
 #: Metres between stations, from a way's ends, between samples and to the last one; the least rise.
 EVERY, FROM_ENDS, STEP, REACH, RISE = 2.0, 1.0, 0.5, 18.0, 0.08
@@ -69,19 +75,66 @@ def first_rise(profile: Column) -> Column:
     return F.transform(F.array(once), first)[0]  # as a lambda's argument the heights and the end are found once, not per sample
 
 
+def _packed(heights: DataFrame, size: int, halo: int) -> DataFrame:
+    """heights (cx, cz, h, stop) -> tx, tz, at, h, stop: the cells of a tile and its halo, batch by batch, as bytes (places in it as 4 bytes, each less the one before, which shuffles compress; heights as 8, stops as 1)."""
+    wide = size + 2 * halo
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cx, cz = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            h, stop = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64), batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            found = []
+            for dx in range(-1, 2):  # the tile that a cell lies in and those whose halo holds it
+                for dz in range(-1, 2):
+                    tx, tz = cx // size + dx, cz // size + dz
+                    x, z = cx - tx * size + halo, cz - tz * size + halo
+                    i = np.flatnonzero((x >= 0) & (x < wide) & (z >= 0) & (z < wide))
+                    found.append((tx[i], tz[i], (x * wide + z)[i], i))
+            tx, tz, at, i = (np.concatenate(v) for v in zip(*found))
+            order = np.lexsort((at, tz, tx))
+            tx, tz, at, i = tx[order], tz[order], at[order].astype("<i4"), i[order]
+            first = np.flatnonzero(np.concatenate([[True], (tx[1:] != tx[:-1]) | (tz[1:] != tz[:-1])])) if len(tx) else np.zeros(0, int)
+            cut = list(zip(first.tolist(), [*first[1:].tolist(), len(tx)]))
+            steps = [np.diff(at[a:b], prepend=at.dtype.type(0)).tobytes() for a, b in cut]
+            parts = [pa.array(steps, pa.binary()), *(pa.array([v[a:b].tobytes() for a, b in cut], pa.binary()) for v in (h[i], stop[i]))]
+            yield pa.RecordBatch.from_arrays([pa.array(tx[first], pa.int64()), pa.array(tz[first], pa.int64()), *parts], names=["tx", "tz", "at", "h", "stop"])
+
+    return heights.mapInArrow(run, "tx long, tz long, at binary, h binary, stop binary")
+
+
 def kerbs(ways: DataFrame, key: str, heights: DataFrame, cell: float, path: str = "path") -> DataFrame:
-    """key, side, samples, detections, kerb, iqr from heights (cx, cz, h, stop) on a grid of `cell` metres.
+    """key, side, samples, detections, kerb, iqr from heights (cx, cz, h, stop; a row a cell) on a grid of `cell` metres.
 
     kerb is the median distance of a side's rises where at least LEAST_FOUND stations and LEAST_SHARE of them have one, else
-    null; iqr the distance of the quartiles where there are LEAST_FOUND. No side is broadcast: cells made from a small file are many. Unknown heights and NaN are null; cells without a row
-    are unknown and no stop. One equi-join on cells; a profile is an array of 35 samples, so no group grows with the data.
+    null; iqr the distance of the quartiles where there are LEAST_FOUND. Unknown heights and NaN are null; cells without a row
+    are unknown and no stop. Cells are shuffled once, packed by tiles of fixed size with a halo as wide as a profile, and
+    stations once, a row each: their 35 samples are read where both meet. So neither samples nor single cells are shuffled,
+    and a group holds a tile's cells and stations.
     """
-    at = stations(ways, key, path).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(_LAST))))
-    out = (F.col("i") + 1) * STEP
-    at = at.withColumns({"cx": F.floor((F.col("x") + F.col("nx") * out) / cell), "cz": F.floor((F.col("z") + F.col("nz") * out) / cell)})
-    known = heights.select("cx", "cz", F.when(~F.isnan("h"), F.col("h")).alias("h"), F.coalesce("stop", F.lit(False)).alias("stop"))
-    seen = at.join(known.hint("merge"), ["cx", "cz"], "left").select(key, "side", "d", F.struct("i", "h", F.coalesce("stop", F.lit(False)).alias("stop")).alias("s"))
-    profiles = seen.groupBy(key, "side", "d").agg(F.array_sort(F.collect_list("s")).alias("profile"))
+    halo = ceil(REACH / cell) + 2
+    size = max(256, 4 * halo)
+    tile = lambda c: F.floor(F.floor(F.col(c) / cell) / size).cast("long")
+    at = stations(ways, key, path).withColumns({"tx": tile("x"), "tz": tile("z")})
+    known = heights.where("cx IS NOT NULL AND cz IS NOT NULL").select(F.col("cx").cast("long").alias("cx"), F.col("cz").cast("long").alias("cz"), F.coalesce(F.col("h").cast("double"), F.lit(float("nan"))).alias("h"), F.coalesce("stop", F.lit(False)).alias("stop"))
+    wide, out = size + 2 * halo, (np.arange(_LAST + 1) + 1) * STEP
+
+    def read(left: pa.Table, right: pa.Table) -> pa.Table:
+        n = left.num_rows
+        h, stop = np.full(wide * wide if n else 0, np.nan), np.zeros(wide * wide if n else 0, bool)
+        for places, a, b in zip(*(right[c].to_pylist() for c in ("at", "h", "stop"))) if n else ():
+            places = np.cumsum(np.frombuffer(places, "<i4"))
+            h[places], stop[places] = np.frombuffer(a), np.frombuffer(b, bool)
+        x, z, nx, nz, tx, tz = (left[c].to_numpy()[:, None] for c in ("x", "z", "nx", "nz", "tx", "tz"))
+        i, j = (np.floor((p + q * out) / cell) - t * size + halo for p, q, t in ((x, nx, tx), (z, nz, tz)))
+        inside = ((i >= 0) & (i < wide) & (j >= 0) & (j < wide)).ravel()  # all but samples without a place
+        place = np.where(inside, (i * wide + j).ravel(), 0).astype(np.int64)
+        s, e = np.where(inside, h[place], np.nan) if n else h, stop[place] & inside if n else stop
+        item = pa.StructArray.from_arrays([pa.array(np.tile(np.arange(_LAST + 1, dtype=np.int32), n)), pa.array(s, mask=np.isnan(s)), pa.array(e)], ["i", "h", "stop"])
+        profile = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (_LAST + 1)), item)
+        return pa.Table.from_arrays([left[key].combine_chunks(), left["side"].combine_chunks(), profile], names=[key, "side", "profile"])
+
+    kind = StructType([at.schema[key], at.schema["side"], StructField("profile", ArrayType(StructType([StructField("i", IntegerType()), StructField("h", DoubleType()), StructField("stop", BooleanType())])))])
+    profiles = at.groupBy("tx", "tz").cogroup(_packed(known, size, halo).groupBy("tx", "tz")).applyInArrow(read, kind)
     sides = profiles.select(key, "side", first_rise(F.col("profile")).alias("t")).groupBy(key, "side")
     found = sides.agg(F.count("*").alias("samples"), F.count("t").alias("detections"), F.percentile("t", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"))
     enough = F.col("detections") >= F.greatest(F.lit(LEAST_FOUND), LEAST_SHARE * F.col("samples"))
